@@ -94,9 +94,9 @@ def us_date(c) -> Column:
     t = js_trim(c)
     pat = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
     ok = t.rlike(pat)
-    mo = F.regexp_extract(t, pat, 1).cast("int")
-    d = F.regexp_extract(t, pat, 2).cast("int")
-    y = F.regexp_extract(t, pat, 3).cast("int")
+    mo = F.regexp_extract(t, pat, 1).try_cast("int")
+    d = F.regexp_extract(t, pat, 2).try_cast("int")
+    y = F.regexp_extract(t, pat, 3).try_cast("int")
     return F.when(ok, _civil_date(y, mo, d))
 
 
@@ -104,8 +104,8 @@ def next_due_date(c) -> Column:
     """S20b date: ``YYYY/M`` → last day of that month; month outside 1-12 or text → NULL."""
     t = js_trim(c)
     pat = r"^(\d{4})/(\d{1,2})$"
-    y = F.regexp_extract(t, pat, 1).cast("int")
-    mo = F.regexp_extract(t, pat, 2).cast("int")
+    y = F.regexp_extract(t, pat, 1).try_cast("int")
+    mo = F.regexp_extract(t, pat, 2).try_cast("int")
     ok = t.rlike(pat) & (mo >= 1) & (mo <= 12)
     return F.when(ok, F.last_day(F.make_date(y, mo, F.lit(1))))
 
@@ -119,14 +119,14 @@ def next_due_raw(c) -> Column:
 def frequency_months(c) -> Column:
     """Numeric cell → INTEGER months; blank or text → NULL (fractions fail the import)."""
     t = js_trim(c)
-    num = F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), t.cast("double"))
+    num = F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), t.try_cast("double"))
     return F.when(num == F.floor(num), num.cast("int"))
 
 
 def frequency_is_invalid(c) -> Column:
     """Cells that the reference's INTEGER column would reject (fractional numbers)."""
     t = js_trim(c)
-    num = F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), t.cast("double"))
+    num = F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), t.try_cast("double"))
     return F.coalesce(num != F.floor(num), F.lit(False))
 
 
@@ -146,15 +146,15 @@ def due_cell(c) -> Column:
         F.when(s == "", F.lit(None).cast("date"))
         .when(q.rlike(r"(?i)past\s*due"), F.lit(None).cast("date"))
         .when(q.rlike(r"(?i)due\s*now"), F.lit(None).cast("date"))
-        .when(q.rlike(p_mdy), _civil_date(F.regexp_extract(q, p_mdy, 3).cast("int"),
-                                          F.regexp_extract(q, p_mdy, 1).cast("int"),
-                                          F.regexp_extract(q, p_mdy, 2).cast("int")))
-        .when(q.rlike(p_ymd), _civil_date(F.regexp_extract(q, p_ymd, 1).cast("int"),
-                                          F.regexp_extract(q, p_ymd, 2).cast("int"),
-                                          F.regexp_extract(q, p_ymd, 3).cast("int")))
-        .when(q.rlike(p_slash), _civil_date(F.regexp_extract(q, p_slash, 3).cast("int"),
-                                            F.regexp_extract(q, p_slash, 1).cast("int"),
-                                            F.regexp_extract(q, p_slash, 2).cast("int")))
+        .when(q.rlike(p_mdy), _civil_date(F.regexp_extract(q, p_mdy, 3).try_cast("int"),
+                                          F.regexp_extract(q, p_mdy, 1).try_cast("int"),
+                                          F.regexp_extract(q, p_mdy, 2).try_cast("int")))
+        .when(q.rlike(p_ymd), _civil_date(F.regexp_extract(q, p_ymd, 1).try_cast("int"),
+                                          F.regexp_extract(q, p_ymd, 2).try_cast("int"),
+                                          F.regexp_extract(q, p_ymd, 3).try_cast("int")))
+        .when(q.rlike(p_slash), _civil_date(F.regexp_extract(q, p_slash, 3).try_cast("int"),
+                                            F.regexp_extract(q, p_slash, 1).try_cast("int"),
+                                            F.regexp_extract(q, p_slash, 2).try_cast("int")))
         .otherwise(generic)
     )
     note = (

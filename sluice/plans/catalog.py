@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.session import configure
 
@@ -20,11 +21,20 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, text_cols: tuple[str, ...] = ()):
+    """Register a query.  ``text_cols`` (DATE columns) are emitted as ISO ``yyyy-MM-dd`` text on
+    both sides, so that the comparison does not depend on how each engine maps DATE values."""
+    if sql is not None and text_cols:
+        casts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in text_cols)
+        sql = f"WITH __q AS ({sql}) SELECT * REPLACE ({casts}) FROM __q"
+
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return fn(spark, sf_dir)
+            df = fn(spark, sf_dir)
+            for c in text_cols:
+                df = df.withColumn(c, F.col(c).cast("string"))
+            return df
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         _QUERIES[name] = run

@@ -124,7 +124,7 @@ def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("object_key", "version_token")
 
 
-def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+def schedule(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
     """Water-sampling schedule rows derived from ``orders ⋈ customer``."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
@@ -146,12 +146,13 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 7 == 0, F.lit(None).cast("date")).otherwise(due).alias("next_due_date"),
         F.when(F.col("o_orderkey") % 7 == 0, F.lit("none"))
         .otherwise(F.date_format(due, "yyyy/M")).alias("next_due_raw"),
-        F.when(status == "P", "DUE NOW").when((status == "O") & (F.col("o_orderkey") % 5 == 0), "past due - call lab")
+        F.when(status == "P", "DUE NOW").when((status == "O") & (F.col("o_orderkey") % 5 == 0), 'past due, "call" lab')
         .when(status == "O", F.lit(None)).otherwise(F.lit("routine")).alias("notes"),
         F.when(F.col("c_custkey") % 3 == 0, "active_well_2024.csv")
         .when(F.col("c_custkey") % 3 == 1, "Standby_Well_2024.csv")
         .otherwise("schedule_export.csv").alias("source_file"),
         as_instant("o_orderdate").alias("imported_at"),
+        *([F.col("o_orderkey").alias("row_key")] if with_key else []),
     )
 
 
@@ -172,7 +173,7 @@ SELECT 'PS' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS ps_code,
                  || CAST(month(CAST(o_orderdate AS DATE) + to_months(CAST((o_orderkey % 4 + 1) * 12 AS INTEGER))) AS VARCHAR)
        END AS next_due_raw,
        CASE WHEN o_orderstatus = 'P' THEN 'DUE NOW'
-            WHEN o_orderstatus = 'O' AND o_orderkey % 5 = 0 THEN 'past due - call lab'
+            WHEN o_orderstatus = 'O' AND o_orderkey % 5 = 0 THEN 'past due, "call" lab'
             WHEN o_orderstatus = 'O' THEN NULL ELSE 'routine' END AS notes,
        CASE WHEN c_custkey % 3 = 0 THEN 'active_well_2024.csv'
             WHEN c_custkey % 3 = 1 THEN 'Standby_Well_2024.csv'

@@ -33,6 +33,12 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _norm(v):
     if v is None:
         return None
+    if not isinstance(v, (list, tuple, dict)) and not hasattr(v, "__len__") or isinstance(v, str) is False:
+        try:
+            if pd.isna(v):
+                return None
+        except (TypeError, ValueError):
+            pass
     if isinstance(v, float):
         if math.isnan(v):
             return None
