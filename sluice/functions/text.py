@@ -27,12 +27,8 @@ def strip_bom(c) -> Column:
 
 
 def strip_cell_quotes(c) -> Column:
-    """S3: trim, drop one matching pair of '…' or "…" quotes, trim again."""
-    t = js_trim(c)
-    quoted = (F.length(t) >= 2) & (
-        (t.startswith("'") & t.endswith("'")) | (t.startswith('"') & t.endswith('"'))
-    )
-    return js_trim(F.when(quoted, t.substr(F.lit(2), F.length(t) - 2)).otherwise(t))
+    """S3: trim, drop one matching pair of '…' or "…" quotes, trim again (input used once)."""
+    return js_trim(F.regexp_replace(js_trim(c), r"""(?s)^(['"])(.*)\1$""", "$2"))
 
 
 def safe_name(c) -> Column:

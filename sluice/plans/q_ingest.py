@@ -1 +1,144 @@
-"""Registered queries."""
+"""Ingest queries (E1 core): every ``events`` row is rendered as one small device log file —
+five layouts (CSV with named hydro streams, tab header after a junk line with comma or tab
+rows and a repeated header, semicolon, CRLF with a repeated instant, loose key=value) — and
+parsed back into registry, records and readings rows.
+
+No grouping is needed to build the files: each file's text comes from one event row.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sluice.functions.dates import round_half_up as r
+from sluice.operators.readings import parse_files
+from sluice.plans.catalog import register
+from sluice.plans.sqlparts import rnd
+from sluice.sources import config as C
+from sluice.sources import driver_tables as dt
+
+# Headers of the rendered demo files.
+H_CLICK = "time(UTC),error,lowalarm,highalarm,F2 - Wyman Creek Flow Ave (Gpm),F-1 Reservoir By-pass Ave (Gpm)"
+H_VIEW = "time(UTC)\terror\tlowalarm\thighalarm\tBooster Pump Flow Ave (Gpm)\tBooster Pump Flow Ave (Gpm)"
+H_PURCHASE = "time(UTC),error,lowalarm,highalarm,Deep Well Pump Output (Gpm)"
+H_SIGNUP = "time(UTC),error,lowalarm,highalarm,Hydro Plant Power Instantaneous (kW)"
+
+
+def event_files(spark, sf_dir):
+    """(object_key, version_token, last_modified, text) — one rendered log file per event."""
+    e = dt.table(spark, sf_dir, "events")
+    et, eid = F.col("event_type"), F.col("event_id")
+    ts = F.col("ts").cast("timestamp")
+    iso_ms = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    quoted = F.concat(F.lit("'"), F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit("'"))
+    short = F.date_format(ts, "yyyy-M-d H:mm:ss")
+    epoch = F.unix_millis(ts).cast("string")
+    iso_us = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    v = F.col("value").cast("string")
+    low = F.when(F.col("value") < 1, "1").otherwise("0")
+    high = F.when(F.col("value") > 300, "1").otherwise("0")
+    code = (F.when(et == "click", "006").when(et == "view", "003").when(et == "purchase", "008")
+            .when(et == "signup", "005").when(eid % 2 == 0, "001").otherwise("002"))
+    key = F.concat(F.lit("log-gz/SN"), (F.col("user_id") % 5).cast("string"), F.lit("/"),
+                   F.date_format(ts, "yyyy/MM/dd"), F.lit("/Acquisuite_mb-"), code, F.lit("_"),
+                   eid.cast("string"), F.lit(".log.gz"))
+    view_sep = F.when(eid % 2 == 0, F.lit(",")).otherwise(F.lit("\t"))
+    text = (
+        F.when(et == "click", F.concat_ws("\n", F.lit(H_CLICK), F.concat_ws(
+            ",", iso_ms, F.lit("0"), low, high, v, (F.col("value") / 2).cast("string"))))
+        .when(et == "view", F.concat_ws("\n", F.lit("# exported by acquisuite"), F.lit(H_VIEW), F.concat_ws(
+            "", quoted, view_sep, F.lit("0"), view_sep, low, view_sep, high, view_sep, v, view_sep,
+            (F.col("value") + 1).cast("string"))))
+        .when(et == "purchase", F.concat_ws("\n", F.lit(H_PURCHASE),
+                                            F.concat_ws(";", short, F.lit("0"), low, high, v)))
+        .when(et == "signup", F.concat(F.lit(H_SIGNUP), F.lit("\r\n"),
+                                       F.concat_ws(",", epoch, F.lit("0"), low, high, v), F.lit("\r\n"),
+                                       F.concat_ws(",", epoch, F.lit("0"), low, high,
+                                                   (F.col("value") * 2).cast("string")), F.lit("\n\n")))
+        .otherwise(F.concat(F.lit("ts="), iso_us, F.lit(" kw="), v, F.lit(" status=ok")))
+    )
+    return e.select(key.alias("object_key"), F.concat(F.lit("e"), eid.cast("string")).alias("version_token"),
+                    ts.alias("last_modified"), text.alias("text"))
+
+
+def parsed(spark, sf_dir):
+    return parse_files(event_files(spark, sf_dir), C.default_labels(spark), C.default_schemas(spark),
+                       ingested_at="2024-02-01 00:00:00", spread=spark.sparkContext.defaultParallelism * 2)
+
+
+_KEY_SQL = """'log-gz/SN' || CAST(user_id % 5 AS VARCHAR) || '/' || strftime(ts, '%Y/%m/%d') || '/Acquisuite_mb-'
+    || CASE event_type WHEN 'click' THEN '006' WHEN 'view' THEN '003' WHEN 'purchase' THEN '008'
+            WHEN 'signup' THEN '005' ELSE CASE WHEN event_id % 2 = 0 THEN '001' ELSE '002' END END
+    || '_' || CAST(event_id AS VARCHAR) || '.log.gz'"""
+_MS = "make_timestamp((epoch_us(ts) // 1000) * 1000)"
+_SEC = "date_trunc('second', ts)"
+
+
+@register("ingest_readings", sql=f"""
+WITH ev AS (SELECT *, {_KEY_SQL} AS object_key, 'SN' || CAST(user_id % 5 AS VARCHAR) AS serial,
+                   value < 1 AS lo, value > 300 AS hi FROM events),
+r AS (
+  SELECT object_key, serial, {_MS} AS record_ts, 'flow_wyman_avg' AS metric_key, value AS metric_value, 'Gpm' AS unit,
+         'hydro_plant' AS source_system, lo AS low_alarm, hi AS high_alarm, 'mb-006' AS device_address,
+         'hydro_plant' AS physical_group FROM ev WHERE event_type = 'click'
+  UNION ALL
+  SELECT object_key, serial, {_MS}, 'flow_bypass_avg', value / 2, 'Gpm', 'hydro_plant', lo, hi, 'mb-006', 'hydro_plant'
+  FROM ev WHERE event_type = 'click'
+  UNION ALL
+  SELECT object_key, serial, {_SEC}, 'flow_avg_A', value, 'Gpm', 'booster_pump', lo, hi, 'mb-003', 'booster_pump'
+  FROM ev WHERE event_type = 'view'
+  UNION ALL
+  SELECT object_key, serial, {_SEC}, 'flow', value, 'Gpm', 'deep_well', lo, hi, 'mb-008', 'deep_well'
+  FROM ev WHERE event_type = 'purchase'
+  UNION ALL
+  SELECT object_key, serial, {_MS}, 'power_instantaneous', value, 'kW', 'hydro_plant', lo, hi, 'mb-005', 'hydro_plant'
+  FROM ev WHERE event_type = 'signup'
+  UNION ALL
+  SELECT object_key, serial, ts, 'kw', value, NULL, 'unknown', FALSE, FALSE, 'mb-001', 'electrical_grid'
+  FROM ev WHERE event_type = 'error' AND event_id % 2 = 0)
+SELECT object_key, serial, record_ts, metric_key, {rnd('metric_value')} AS metric_value, unit, source_system,
+       FALSE AS error_flag, low_alarm, high_alarm, device_address, physical_group
+FROM r""")
+def ingest_readings(spark, sf_dir):
+    """F1/F2 melt + S1/S2/S4/S13 + P1-P11 + J2/F4 (hasData) + W3 first-wins: parsed readings."""
+    p = parsed(spark, sf_dir)
+    keys = p.registry.select(F.col("file_id").alias("source_file_id"), "object_key")
+    return p.readings.join(keys, "source_file_id").select(
+        "object_key", "serial", "record_ts", "metric_key", r("metric_value", 4).alias("metric_value"), "unit",
+        "source_system", "error_flag", "low_alarm", "high_alarm", "device_address", "physical_group")
+
+
+@register("ingest_records", sql=f"""
+WITH ev AS (SELECT *, {_KEY_SQL} AS object_key FROM events)
+SELECT object_key, CAST(2 AS INTEGER) AS line_no, {_MS} AS record_ts, CAST(6 AS INTEGER) AS n_fields
+FROM ev WHERE event_type = 'click'
+UNION ALL SELECT object_key, 3, {_SEC}, 6 FROM ev WHERE event_type = 'view'
+UNION ALL SELECT object_key, 2, {_SEC}, 5 FROM ev WHERE event_type = 'purchase'
+UNION ALL SELECT object_key, 2, {_MS}, 5 FROM ev WHERE event_type = 'signup'
+UNION ALL SELECT object_key, 3, {_MS}, 5 FROM ev WHERE event_type = 'signup'
+UNION ALL SELECT object_key, 1, ts, 3 FROM ev WHERE event_type = 'error'""")
+def ingest_records(spark, sf_dir):
+    """K2 rows: one record per data line (line numbers over non-blank lines, header counted)."""
+    p = parsed(spark, sf_dir)
+    keys = p.registry.select("file_id", "object_key")
+    return p.records.join(keys, "file_id").select(
+        "object_key", "line_no", "record_ts", F.size("parsed").cast("int").alias("n_fields"))
+
+
+@register("ingest_registry", sql=f"""
+SELECT {_KEY_SQL} AS object_key, 'e' || CAST(event_id AS VARCHAR) AS version_token,
+       'SN' || CAST(user_id % 5 AS VARCHAR) AS serial, 'parsed' AS parse_status,
+       CASE event_type WHEN 'click' THEN 'mb-006' WHEN 'view' THEN 'mb-003' WHEN 'purchase' THEN 'mb-008'
+            WHEN 'signup' THEN 'mb-005' ELSE CASE WHEN event_id % 2 = 0 THEN 'mb-001' ELSE 'mb-002' END END
+            AS device_address,
+       CASE event_type WHEN 'click' THEN 'hydro_plant' WHEN 'view' THEN 'booster_pump' WHEN 'purchase' THEN 'deep_well'
+            WHEN 'signup' THEN 'solar_field' ELSE CASE WHEN event_id % 2 = 0 THEN 'electrical_grid'
+            ELSE 'modhopper_status' END END AS physical_group,
+       CASE event_type WHEN 'click' THEN 'hydro_flex_v1' WHEN 'view' THEN 'booster_flex_v1'
+            WHEN 'purchase' THEN 'deep_well_flex_v1' WHEN 'signup' THEN 'solar_hydro_pulse_v1'
+            ELSE CASE WHEN event_id % 2 = 0 THEN 'power_pulse_v1' ELSE 'status_only_v1' END END AS schema_id
+FROM events""")
+def ingest_registry(spark, sf_dir):
+    """K1 rows: file registry with label device, group and schema."""
+    return parsed(spark, sf_dir).registry.select(
+        "object_key", "version_token", "serial", "parse_status", "device_address", "physical_group", "schema_id")
