@@ -24,6 +24,8 @@ class Parsed:
     registry: DataFrame   # K1 rows
     records: DataFrame    # K2 rows
     readings: DataFrame   # K3 rows (after F3, F4 and W3)
+    lines: DataFrame      # one row per record with parse columns (diagnostics)
+    candidates: DataFrame  # melted readings before F3/W3 (diagnostics)
 
 
 def file_id(key_col="object_key", version_col="version_token"):
@@ -60,8 +62,8 @@ def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, stri
     records = lines.where(ok).select(
         "file_id", "line_no", "raw_text", "parsed", "label_code", "label_name", "record_ts")
 
-    cand = S.candidate_readings(lines.where(ok & F.col("has_data")))
-    cand = cand.where(F.col("record_ts").isNotNull()).select(
+    melted = S.candidate_readings(lines.where(ok & F.col("has_data")))
+    cand = melted.where(F.col("record_ts").isNotNull()).select(
         F.col("file_id").alias("source_file_id"), "serial", "record_ts", "metric_key", "metric_value", "unit",
         "source_system", "error_flag", "low_alarm", "high_alarm", "device_address", "label_group",
         "line_no", "col_idx")
@@ -88,4 +90,5 @@ def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, stri
         F.nullif("schema_id", F.lit("")).alias("schema_id"),
         at.alias("ingested_at"),
     )
-    return Parsed(layout=layout, registry=registry, records=records, readings=readings)
+    return Parsed(layout=layout, registry=registry, records=records, readings=readings, lines=lines,
+                  candidates=melted)

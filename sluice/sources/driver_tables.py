@@ -102,7 +102,7 @@ def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         key.alias("object_key"),
         F.col("o_orderstatus").alias("version_token"),
-        F.col("o_totalprice").cast("long").alias("size"),
+        F.floor("o_totalprice").cast("long").alias("size"),
         as_instant("o_orderdate").alias("last_modified"),
     )
 
@@ -112,7 +112,7 @@ SELECT 'log-gz/SN' || CAST(o_custkey % 5 AS VARCHAR) || '/' || strftime(o_orderd
        || '/Acquisuite_mb-00' || CAST(o_orderkey % 9 + 1 AS VARCHAR) || '_' || CAST(o_orderkey AS VARCHAR)
        || '.log.gz' AS object_key,
        o_orderstatus AS version_token,
-       CAST(o_totalprice AS BIGINT) AS size,
+       CAST(floor(o_totalprice) AS BIGINT) AS size,
        CAST(o_orderdate AS TIMESTAMP) AS last_modified
 FROM orders
 """
