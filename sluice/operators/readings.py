@@ -59,11 +59,13 @@ def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, stri
     lines = S.structure_lines(layout)
     ok = F.col("parse_error").isNull()
 
-    records = lines.where(ok).select(
+    # structure_lines already drops failed files; the F4 (hasData) and F3 (timestamp)
+    # conditions gate the melt itself.
+    records = lines.select(
         "file_id", "line_no", "raw_text", "parsed", "label_code", "label_name", "record_ts")
 
-    melted = S.candidate_readings(lines.where(ok & F.col("has_data")))
-    cand = melted.where(F.col("record_ts").isNotNull()).select(
+    melted = S.candidate_readings(lines, gate=F.col("has_data"))
+    cand = S.candidate_readings(lines, gate=F.col("has_data") & F.col("record_ts").isNotNull()).select(
         F.col("file_id").alias("source_file_id"), "serial", "record_ts", "metric_key", "metric_value", "unit",
         "source_system", "error_flag", "low_alarm", "high_alarm", "device_address", "label_group",
         "line_no", "col_idx")

@@ -208,16 +208,28 @@ def _line_stages() -> tuple[dict[str, Column], ...]:
 
 
 def structure_lines(layout: DataFrame) -> DataFrame:
-    """Explode a file layout into one row per record (structured, headerless or loose)."""
+    """Explode a file layout into one row per record (structured, headerless or loose).
+
+    Files that failed (``parse_error``) explode to nothing, and the data lines are sliced
+    from the header onwards before exploding, so no Filter sits above the parse projections:
+    Catalyst would push such a filter down and inline the expensive parse expressions into
+    it, evaluating them twice."""
     keep = [c for c in layout.columns if c not in ("text", "_lines")]
-    x = layout.select(*keep, F.posexplode("_lines").alias("_i", "raw_text")).where(F.col("_i") >= F.col("start"))
+    data = F.when(F.col("parse_error").isNull(), F.slice("_lines", F.col("start") + 1, F.size("_lines")))
+    # posexplode_outer + a filter on the generated column: a plain explode makes Catalyst infer
+    # size(array) > 0 and push it (with the array expression inlined) below the projections.
+    x = layout.select(*keep, F.posexplode_outer(data).alias("_i", "raw_text")) \
+        .where(F.col("_i").isNotNull()).withColumn("_i", F.col("_i") + F.col("start"))
     for stage in _line_stages():
         x = x.withColumns(stage)
     return x.drop("_i", "_c0", "_alt", "_tcell", "_lts")
 
 
-def candidate_readings(lines: DataFrame) -> DataFrame:
-    """one row per numeric, finite, mapped cell (before de-duplication)."""
+def candidate_readings(lines: DataFrame, gate: Column | None = None) -> DataFrame:
+    """one row per numeric, finite, mapped cell (before de-duplication).
+
+    ``gate``: rows for which the melt is skipped entirely (applied inside the exploded array
+    rather than as a Filter, for the reason given in ``structure_lines``)."""
     n = F.size("headers")
     structured = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.struct(
         i.alias("col_idx"), F.col("specs")[i]["metric"].alias("metric_key"),
@@ -231,8 +243,10 @@ def candidate_readings(lines: DataFrame) -> DataFrame:
                             F.lit(None).cast("string").alias("unit"), F.lit("unknown").alias("source_system"),
                             (~e["key"].rlike(r"(?i)^col_\d+$")).alias("_ok")))
     cand = F.when(F.col("mode") == "loose", loose).when(n > 0, structured)
-    x = lines.withColumn("_cand", F.filter(cand, lambda c: c["_ok"] & is_finite(c["metric_value"])))
-    x = x.select(*[c for c in x.columns if c not in ("_cand",)], F.explode("_cand").alias("_r")).select(
+    kept = F.filter(cand, lambda c: c["_ok"] & is_finite(c["metric_value"]))
+    x = lines.withColumn("_cand", kept if gate is None else F.when(gate, kept))
+    x = x.select(*[c for c in x.columns if c not in ("_cand",)], F.explode_outer("_cand").alias("_r")) \
+        .where(F.col("_r").isNotNull()).select(
         *[c for c in x.columns if c != "_cand"], "_r.col_idx", "_r.metric_key", "_r.metric_value", "_r.unit",
         "_r.source_system")
     is_loose = F.col("mode") == "loose"

@@ -19,8 +19,11 @@ _RESULT_CONF = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
-# Options for runtime re-planning at scale (safe defaults on any cluster).
+# Options for runtime re-planning at scale (safe defaults on any cluster).  Constraint
+# propagation is off: the parsers build wide projections of large expressions, on which the
+# optimizer's constraint inference spends seconds per plan while adding nothing useful.
 _RUNTIME_CONF = {
+    "spark.sql.constraintPropagation.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming: incremental ingest (A10) and stateful alert operators."""
