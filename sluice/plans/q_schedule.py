@@ -132,7 +132,8 @@ SELECT ps_code, NULLIF(TRIM(group_name), '') AS group_name, analyte_number, anal
 FROM schedule""", text_cols=("last_sampled", "next_due_date"))
 def schedule_import(spark, sf_dir):
     """R9 + P5 + S20: parse schedule CSV lines (title row first, quoted notes) back into rows."""
-    return csv.parse_schedule(_schedule_lines(spark, sf_dir)).drop("_bad_frequency")
+    return csv.parse_schedule(_schedule_lines(spark, sf_dir),
+                              spread=spark.sparkContext.defaultParallelism * 2).drop("_bad_frequency")
 
 
 def _lead_copper_lines(spark, sf_dir):
@@ -164,4 +165,4 @@ SELECT 'DST_LCR' AS ps_code, 'LEAD_COPPER' AS group_name, CAST(NULL AS VARCHAR)
 FROM r""", text_cols=("last_sampled", "next_due_date"))
 def schedule_import_lead_copper(spark, sf_dir):
     """R10 + S21 + S22: lead/copper list (``Metal`` / ``Next Sampling Due`` headers) parsed back."""
-    return csv.parse_lead_copper(_lead_copper_lines(spark, sf_dir))
+    return csv.parse_lead_copper(_lead_copper_lines(spark, sf_dir), spread=spark.sparkContext.defaultParallelism * 2)

@@ -62,15 +62,25 @@ def _first_header(lines: DataFrame, is_header: Column, extra: dict[str, Column]
     return cand.groupBy("source_file").agg(F.min_by(payload, F.col("line_no")).alias("h")).select("source_file", "h.*")
 
 
-def parse_schedule(lines: DataFrame) -> DataFrame:
+def _spread(lines: DataFrame, spread: int | None) -> DataFrame:
+    # Tokenizing is CPU-bound and a whole file arrives in one task: optionally re-distribute
+    # the lines (an explicit partition count, which AQE keeps).
+    return lines.repartition(int(spread)) if spread else lines
+
+
+def parse_schedule(lines: DataFrame, spread: int | None = None) -> DataFrame:
     """R9: "last and next sample report" rows.
 
     Header = first line whose normalised cells include ``ps codes`` and ``next due``; files
-    without one produce no rows and are reported by ``schedule_header_missing``.
+    without one produce no rows and are reported by ``schedule_header_missing``.  Only lines
+    that mention both words are tokenized for the header search.
     """
-    tok = lines.withColumn("cells", split_csv("line"))
+    lines = _spread(lines, spread)
+    low = F.lower(F.col("line"))
+    maybe = lines.where(low.rlike(r"ps\s+codes") & low.rlike(r"next\s+due")).withColumn("cells", split_csv("line"))
     norm = F.transform("cells", norm_header)
-    heads = _first_header(tok, F.array_contains(norm, "ps codes") & F.array_contains(norm, "next due"))
+    heads = _first_header(maybe, F.array_contains(norm, "ps codes") & F.array_contains(norm, "next due"))
+    tok = lines.withColumn("cells", split_csv("line"))
     # name → index; a repeated name keeps the last index (LAST_WIN map-key policy).
     heads = heads.withColumn(
         "h_idx", F.map_from_arrays(F.transform("h_cells", norm_header),
@@ -129,13 +139,13 @@ def is_due_header(c) -> Column:
             | (n.contains("due") & (n.contains("next") | n.contains("sampling"))))
 
 
-def parse_lead_copper(lines: DataFrame, ps_code: str = "DST_LCR") -> DataFrame:
+def parse_lead_copper(lines: DataFrame, ps_code: str = "DST_LCR", spread: int | None = None) -> DataFrame:
     """lead/copper due list.
 
     Header = first line (≥ 2 cells) with an analyte column ``a`` and a different due column
     ``b``; the smallest such ``a`` wins, then the smallest ``b``.
     """
-    tok = lines.withColumn("cells", split_csv("line"))
+    tok = _spread(lines, spread).withColumn("cells", split_csv("line"))
     flags = F.transform("cells", lambda c: F.struct(is_analyte_header(c).alias("a"), is_due_header(c).alias("d")))
     idx = F.sequence(F.lit(0), F.size("cells") - 1)
     # analyte candidates that have a due column at another position
