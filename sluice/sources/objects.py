@@ -16,6 +16,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.naming import header_code
 from sluice.functions.text import col_of, norm_header_line, safe_name, strip_bom
@@ -110,7 +111,7 @@ def _inflate(b: bytes | None) -> str | None:
     return data.decode("utf-8", errors="replace")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def inflate_text(content: pd.Series) -> pd.Series:
     """Gunzip, or treat the bytes as UTF-8 text when they are not gzip (Arrow batches)."""
     return content.map(_inflate)
