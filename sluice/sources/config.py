@@ -9,8 +9,6 @@ separate JSON document mapping schema id → ordered header list.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -141,14 +139,21 @@ def load_label_map(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return labels, schemas
 
 
-def load_column_orders(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Column orders file (schema id → ordered headers).  Any read error → no orders."""
+def load_column_orders(spark: SparkSession, path: str) -> DataFrame:
+    """Column orders file (schema id → ordered header list) as a dim ``(schema_id, column_order)``.
+
+    Read with Spark (no driver-side parsing); an unreadable or malformed file yields an empty
+    dim, as the reference falls back to no orders on any error."""
+    empty = spark.createDataFrame([], "schema_id string, column_order array<string>")
     try:
-        text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
-        data = json.loads(text)
-        return {k: list(v) for k, v in data.items() if isinstance(v, list)}
-    except Exception:  # the reference falls back to an empty mapping on any error
-        return {}
+        doc = spark.read.option("multiLine", True).json(path)
+        if doc.columns == ["_corrupt_record"]:
+            return empty
+        orders = doc.select(F.explode(F.from_json(F.to_json(F.struct(*[F.col(f"`{c}`") for c in doc.columns])),
+                                                  "map<string,array<string>>")).alias("schema_id", "column_order"))
+        return orders.where(F.col("column_order").isNotNull())
+    except Exception:  # missing path and similar: no orders
+        return empty
 
 
 def with_column_orders(schemas: DataFrame, orders: DataFrame) -> DataFrame:
