@@ -224,34 +224,39 @@ def column_specs(headers, aliases: Column | None = None, expected: Column | None
     so re-deriving an intermediate in each rule would multiply the work.
     """
     st = F.transform(headers, lambda h: F.struct(js_trim(h).alias("clean")))
+    # Empty, "-" and reserved headers never get a spec: they skip every rule below.
     st = F.transform(st, lambda x: F.struct(
+        x["clean"].alias("clean"),
+        (x["clean"].isNull() | (x["clean"] == "") | (x["clean"] == "-") | x["clean"].isin(RESERVED_HEADERS))
+        .alias("skip")))
+    st = F.transform(st, lambda x: F.when(~x["skip"], F.struct(
         x["clean"].alias("clean"), x["clean"].rlike(_UNIT_RE).alias("has_unit"),
         F.regexp_extract(x["clean"], _UNIT_RE, 1).alias("u0"),
-        js_trim(F.regexp_replace(x["clean"], _UNIT_RE, "")).alias("b0")))
-    st = F.transform(st, lambda x: F.struct(
+        js_trim(F.regexp_replace(x["clean"], _UNIT_RE, "")).alias("b0"))))
+    st = F.transform(st, lambda x: F.when(x.isNotNull(), F.struct(
         x["clean"].alias("clean"),
         F.when(x["has_unit"], _replace_first(_replace_first(js_trim(x["u0"]), "per minute", "/min"),
                                              "per hour", "/hr")).alias("unit"),
-        F.when(x["has_unit"], x["b0"]).otherwise(x["clean"]).alias("base")))
+        F.when(x["has_unit"], x["b0"]).otherwise(x["clean"]).alias("base"))))
     if aliases is not None:
-        st = F.transform(st, lambda x: F.struct(
+        st = F.transform(st, lambda x: F.when(x.isNotNull(), F.struct(
             x["clean"].alias("clean"), x["unit"].alias("unit"),
-            F.try_element_at(aliases, F.lower(x["base"])).alias("mapped"), x["base"].alias("base")))
-        st = F.transform(st, lambda x: F.struct(
+            F.try_element_at(aliases, F.lower(x["base"])).alias("mapped"), x["base"].alias("base"))))
+        st = F.transform(st, lambda x: F.when(x.isNotNull(), F.struct(
             x["clean"].alias("clean"), x["unit"].alias("unit"),
             F.when(x["mapped"].isNotNull() & (x["mapped"] != ""), x["mapped"]).otherwise(x["base"])
-            .alias("canonical")))
+            .alias("canonical"))))
     else:
-        st = F.transform(st, lambda x: F.struct(x["clean"].alias("clean"), x["unit"].alias("unit"),
-                                                x["base"].alias("canonical")))
-    st = F.transform(st, lambda x: F.struct(
+        st = F.transform(st, lambda x: F.when(x.isNotNull(), F.struct(
+            x["clean"].alias("clean"), x["unit"].alias("unit"), x["base"].alias("canonical"))))
+    st = F.transform(st, lambda x: F.when(x.isNotNull(), F.struct(
         x["clean"].alias("clean"), x["unit"].alias("unit"), x["canonical"].alias("canonical"),
-        normalize_source(x["canonical"]).alias("source")))
-    st = F.transform(st, lambda x: F.struct(
+        normalize_source(x["canonical"]).alias("source"))))
+    st = F.transform(st, lambda x: F.when(x.isNotNull(), F.struct(
         x["clean"].alias("clean"), x["unit"].alias("unit"), x["canonical"].alias("canonical"),
         x["source"].alias("source"), _first_rule(x["source"]).alias("label"),
         infer_quantity(x["source"], x["unit"]).alias("q"), _is_gpm(x["unit"]).alias("gpm"),
-        detect_phase(x["source"]).alias("phase"), infer_system(x["source"]).alias("system")))
+        detect_phase(x["source"]).alias("phase"), infer_system(x["source"]).alias("system"))))
 
     def spec(x):
         s, label, q, gpm, phase = x["source"], x["label"], x["q"], x["gpm"], x["phase"]
@@ -271,8 +276,7 @@ def column_specs(headers, aliases: Column | None = None, expected: Column | None
         metric = F.when(phase.isNotNull(), F.concat(metric, F.lit("_"), phase)).otherwise(metric)
         out = F.struct(x["system"].alias("source"), F.coalesce(stream, metric).alias("metric"),
                        x["unit"].alias("unit"))
-        clean = x["clean"]
-        skip = clean.isNull() | (clean == "") | (clean == "-") | clean.isin(RESERVED_HEADERS)
+        skip = x.isNull()
         if strict and expected is not None:
             skip = skip | ((F.size(expected) > 0) & ~F.array_contains(expected, x["canonical"]))
         return F.when(~skip, out)

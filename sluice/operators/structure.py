@@ -83,9 +83,19 @@ def _layout_stages() -> tuple[dict[str, Column], ...]:
     head = F.slice("_lines", 1, HEADER_SCAN_MAX_LINES)
     # The three splits of each of the first 8 lines are computed once, as arrays; the
     # choice below only indexes into them.
-    s2 = {"_tab": F.transform(head, lambda l: F.transform(split_tab(l), norm_csv_header)),
-          "_csv": F.transform(head, lambda l: F.transform(split_csv(l), norm_csv_header)),
-          "_semi": F.transform(head, lambda l: F.transform(split_semicolon(l), norm_csv_header))}
+    # A header needs a cell containing both "time" and "utc", so only such lines are split;
+    # the tab / semicolon splits only run when the line has those characters.
+    def cand(l):
+        low = F.lower(l)
+        return low.contains("time") & low.contains("utc")
+    none = F.array().cast("array<string>")
+    s2 = {"_tab": F.transform(head, lambda l: F.when(cand(l) & l.contains("\t"),
+                                                     F.transform(split_tab(l), norm_csv_header)).otherwise(none)),
+          "_csv": F.transform(head, lambda l: F.when(cand(l), F.transform(split_csv(l), norm_csv_header))
+                              .otherwise(none)),
+          "_semi": F.transform(head, lambda l: F.when(cand(l) & l.contains(";") & ~l.contains(","),
+                                                      F.transform(split_semicolon(l), norm_csv_header))
+                               .otherwise(none))}
     s3 = {"_tt": F.transform("_tab", lambda h: time_column(h).isNotNull()),
           "_ct": F.transform("_csv", lambda h: time_column(h).isNotNull()),
           "_st": F.transform("_semi", lambda h: time_column(h).isNotNull())}
