@@ -55,11 +55,22 @@ def norm_header(c) -> Column:
     return collapse_ws(F.lower(js_trim(c)))
 
 
-def _first_header(lines: DataFrame, is_header: Column, extra: dict[str, Column] | None = None) -> DataFrame:
-    cand = lines.where(is_header)
-    payload = F.struct(F.col("line_no").alias("h_line"), F.col("cells").alias("h_cells"),
-                       *[v.alias(k) for k, v in (extra or {}).items()])
-    return cand.groupBy("source_file").agg(F.min_by(payload, F.col("line_no")).alias("h")).select("source_file", "h.*")
+JOIN_SALTS = 32
+
+
+def join_header(body: DataFrame, heads: DataFrame, salts: int = JOIN_SALTS) -> DataFrame:
+    """Attach each file's header row to its lines.
+
+    A single file can hold most of an import's lines, so the join is salted: the header row
+    (one per file) is replicated ``salts`` times and every line picks one copy by a hash of its
+    line number — a hot file spreads over ``salts`` reducers instead of one (AQE still turns
+    the join into a broadcast when the header table is small)."""
+    h = heads.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    b = body.withColumn("_salt", F.pmod(F.xxhash64("line_no"), F.lit(salts)).cast("int"))
+    return b.join(h, ["source_file", "_salt"]).drop("_salt")
+
+
+JOIN_SALTS = 32
 
 
 def _spread(lines: DataFrame, spread: int | None) -> DataFrame:
@@ -68,6 +79,29 @@ def _spread(lines: DataFrame, spread: int | None) -> DataFrame:
     return lines.repartition(int(spread)) if spread else lines
 
 
+def join_header(body: DataFrame, heads: DataFrame, salts: int = JOIN_SALTS) -> DataFrame:
+    """Attach each file's header row to its lines.
+
+    A single file can hold most of an import's lines, so the join is salted: the header row
+    (one per file) is replicated ``salts`` times and every line picks one copy by a hash of its
+    line number — a hot file spreads over ``salts`` reducers instead of one (AQE still turns
+    the join into a broadcast when the header table is small)."""
+    h = heads.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    b = body.withColumn("_salt", F.pmod(F.xxhash64("line_no"), F.lit(salts)).cast("int"))
+    return b.join(h, ["source_file", "_salt"]).drop("_salt")
+
+
+def _first_header(lines: DataFrame, is_header: Column, extra: dict[str, Column] | None = None) -> DataFrame:
+    """First header line per file: ``min_by`` over a line number that is NULL for non-header
+    lines (such rows are skipped).  No Filter node is used: Catalyst would push it upstream,
+    into whatever produced the lines, and evaluate the header test there per line."""
+    payload = F.struct(F.col("line_no").alias("h_line"), F.col("cells").alias("h_cells"),
+                       *[v.alias(k) for k, v in (extra or {}).items()])
+    agg = lines.groupBy("source_file").agg(
+        F.min_by(F.when(is_header, payload), F.when(is_header, F.col("line_no"))).alias("h"))
+    return agg.where(F.col("h").isNotNull()).select("source_file", "h.*")
+
+
 def parse_schedule(lines: DataFrame, spread: int | None = None) -> DataFrame:
     """R9: "last and next sample report" rows.
 
@@ -77,15 +111,17 @@ def parse_schedule(lines: DataFrame, spread: int | None = None) -> DataFrame:
     """
     lines = _spread(lines, spread)
     low = F.lower(F.col("line"))
-    maybe = lines.where(low.rlike(r"ps\s+codes") & low.rlike(r"next\s+due")).withColumn("cells", split_csv("line"))
+    maybe = low.rlike(r"ps\s+codes") & low.rlike(r"next\s+due")
+    cand = lines.withColumn("cells", F.when(maybe, split_csv("line")))
     norm = F.transform("cells", norm_header)
-    heads = _first_header(maybe, F.array_contains(norm, "ps codes") & F.array_contains(norm, "next due"))
+    heads = _first_header(cand, F.coalesce(F.array_contains(norm, "ps codes") & F.array_contains(norm, "next due"),
+                                           F.lit(False)))
     tok = lines.withColumn("cells", split_csv("line"))
     # name → index; a repeated name keeps the last index (LAST_WIN map-key policy).
     heads = heads.withColumn(
         "h_idx", F.map_from_arrays(F.transform("h_cells", norm_header),
                                    F.sequence(F.lit(0), F.size("h_cells") - 1)))
-    body = tok.join(heads, "source_file").where(F.col("line_no") > F.col("h_line"))
+    body = join_header(tok, heads).where(F.col("line_no") > F.col("h_line"))
 
     fields = {"ps": "ps codes", "grp": "group name", "anum": "analyte number", "aname": "analyte name",
               "last": "last sampled", "freq": "frequency", "due": "next due", "notes": "notes"}
@@ -156,7 +192,7 @@ def parse_lead_copper(lines: DataFrame, ps_code: str = "DST_LCR", spread: int |
     col_d = F.array_min(F.filter(due_pos, lambda j: j != col_a))
     tok = tok.withColumn("_ca", F.when(F.size("cells") >= 2, col_a)).withColumn("_cd", col_d)
     heads = _first_header(tok, F.col("_ca").isNotNull(), {"col_a": F.col("_ca"), "col_d": F.col("_cd")})
-    body = tok.drop("_ca", "_cd").join(heads, "source_file").where(F.col("line_no") > F.col("h_line"))
+    body = join_header(tok.drop("_ca", "_cd"), heads).where(F.col("line_no") > F.col("h_line"))
     name = js_trim(F.try_element_at(F.col("cells"), F.col("col_a") + 1))
     due_raw = F.coalesce(F.try_element_at(F.col("cells"), F.col("col_d") + 1), F.lit(""))
     parsed = D.due_cell(due_raw)
