@@ -194,8 +194,10 @@ def _loose_ts_raw(raw_map: Column) -> Column:
 def _line_stages() -> tuple[dict[str, Column], ...]:
     line = F.col("raw_text")
     n = F.size("headers")
-    s1 = {"line_no": (F.col("_i") + 1).cast("int"), "_c0": split_by(line, F.col("delim")),
-          "_alt": F.when(F.col("mode") != "loose", split_by(line, data_delimiter(line)))}
+    s1 = {"line_no": (F.col("_i") + 1).cast("int"),
+          "_c0": F.when(F.col("mode") != "loose", split_by(line, F.col("delim")))}
+    # P4 re-detection only for rows that split into a single cell under a multi-column header.
+    s1b = {"_alt": F.when((F.size("_c0") <= 1) & (n > 1), split_by(line, data_delimiter(line)))}
     s2 = {"cells": F.when(F.col("mode") != "loose", F.slice(F.concat(
               F.when((F.size("_c0") <= 1) & (n > 1) & (F.size("_alt") > F.size("_c0")), F.col("_alt"))
               .otherwise(F.col("_c0")), F.array_repeat(F.lit(""), n)), 1, n)),
@@ -214,7 +216,7 @@ def _line_stages() -> tuple[dict[str, Column], ...]:
           "high_alarm": F.coalesce(parse_flag(at("high_idx")), F.lit(False)),
           "parsed": F.when(F.col("mode") == "loose", F.transform_values("_raw_map", lambda k, v: coerce_text(v)))
           .otherwise(F.map_from_arrays("keys", "cells"))}
-    return (s1, s2, s3, s4)
+    return (s1, s1b, s2, s3, s4)
 
 
 def structure_lines(layout: DataFrame) -> DataFrame:
