@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The whitespace set of JavaScript's String.prototype.trim and regex \s.
-JS_WS = r"[\t\n\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
+JS_WS_CHARS = r"\t\n\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+JS_WS = f"[{JS_WS_CHARS}]"
 
 
 def col_of(c) -> Column:

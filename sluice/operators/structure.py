@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import metrics as M
-from sluice.functions.text import js_trim, strip_bom
+from sluice.functions.text import JS_WS_CHARS, js_trim, strip_bom
 from sluice.functions.tokenize import split_csv, split_lines, split_semicolon, split_tab
 from sluice.functions.values import coerce_number, coerce_text, is_finite, parse_flag, parse_utc_time
 
@@ -170,7 +170,7 @@ def file_layout(files: DataFrame, strict: bool = False) -> DataFrame:
 
 def _loose_entries(line) -> Column:
     """ARRAY<STRUCT<k, v>> of raw (uncoerced) values in line order."""
-    pieces = F.filter(F.transform(F.split(line, r"[,\s]+", -1), lambda p: js_trim(p)),
+    pieces = F.filter(F.transform(F.split(line, f"[,{JS_WS_CHARS}]+", -1), lambda p: js_trim(p)),
                       lambda p: (p != "") & p.contains("="))
     kv = F.filter(F.transform(pieces, lambda p: F.struct(
         js_trim(F.substring_index(p, "=", 1)).alias("k"),

@@ -142,3 +142,49 @@ def ingest_registry(spark, sf_dir):
     """K1 rows: file registry with label device, group and schema."""
     return parsed(spark, sf_dir).registry.select(
         "object_key", "version_token", "serial", "parse_status", "device_address", "physical_group", "schema_id")
+
+
+# --- loose lines over whole free texts -----------------------------------------------------
+
+def document_files(spark, sf_dir):
+    """Every ``documents`` text as one headerless log file (no time column → loose lines)."""
+    d = dt.table(spark, sf_dir, "documents")
+    key = F.concat(F.lit("docs/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".log"))
+    return d.select(key.alias("object_key"), F.lit("d").alias("version_token"),
+                    F.lit(None).cast("timestamp").alias("last_modified"), F.col("text"))
+
+
+# Whitespace class of the JavaScript regex \s / trim, in RE2 syntax for the oracle.
+_WS = r"\t\n\x0B\f\r \x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
+
+
+@register("loose_documents", sql=f"""
+WITH d AS (SELECT 'docs/' || lang || '/' || CAST(doc_id AS VARCHAR) || '.log' AS object_key,
+                  regexp_replace(text, '^\\x{{feff}}', '') AS t FROM documents),
+s AS (SELECT object_key, string_split_regex(t, '\\r?\\n') AS arr FROM d),
+u AS (SELECT object_key, UNNEST(arr) AS line, UNNEST(range(1, len(arr) + 1)) AS idx FROM s),
+k AS (SELECT object_key, line, row_number() OVER (PARTITION BY object_key ORDER BY idx) AS line_no
+      FROM u WHERE regexp_matches(line, '[^{_WS}]')),
+p AS (SELECT object_key, line, line_no,
+             list_filter(list_transform(string_split_regex(line, '[,{_WS}]+'),
+                                        lambda x: regexp_replace(x, '^[{_WS}]+|[{_WS}]+$', '', 'g')),
+                         lambda x: x <> '' AND contains(x, '=')) AS pieces FROM k)
+SELECT object_key, CAST(line_no AS INTEGER) AS line_no,
+       CAST(CASE WHEN len(pieces) > 0
+                 THEN len(list_distinct(list_filter(list_transform(pieces,
+                          lambda x: regexp_replace(split_part(x, '=', 1), '^[{_WS}]+|[{_WS}]+$', '', 'g')),
+                          lambda x: x <> '')))
+                 ELSE len(string_split(line, ',')) END AS INTEGER) AS n_fields,
+       len(pieces) > 0 AS key_value
+FROM p""")
+def loose_documents(spark, sf_dir):
+    """R4/R5/P10/P11 over whole free texts: every non-blank line of every document becomes a
+    record; ``key=value`` lines give one field per distinct key, other lines one per comma
+    piece."""
+    p = parse_files(document_files(spark, sf_dir), C.default_labels(spark), C.default_schemas(spark),
+                    ingested_at="2024-02-01 00:00:00", spread=spark.sparkContext.defaultParallelism * 2)
+    keys = p.registry.select("file_id", "object_key")
+    kv = F.exists(F.map_keys("parsed"), lambda k: ~k.rlike(r"^col_\d+$"))
+    return p.records.join(keys, "file_id").select(
+        "object_key", "line_no", F.size("parsed").cast("int").alias("n_fields"),
+        (kv | (F.size("parsed") == 0)).alias("key_value"))
