@@ -43,8 +43,12 @@ def attach_dims(files: DataFrame, labels: DataFrame, schemas: DataFrame) -> Data
     return f.join(sch, "schema_id", "left")
 
 
+# Fixed value: the registry's default ``source`` (the data model's column default).
+DEFAULT_SOURCE = "acquisuite"
+
+
 def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, strict: bool = False,
-                ingested_at=None, source: str = "acquisuite", spread: int | None = None) -> Parsed:
+                ingested_at=None, source: str = DEFAULT_SOURCE, spread: int | None = None) -> Parsed:
     """Parse decoded files ``(object_key, version_token, last_modified, text)``.
 
     ``spread``: re-distribute the files over that many tasks first.  Parsing is CPU-bound

@@ -40,13 +40,13 @@ def event_files(spark, sf_dir):
     code = (F.when(et == "click", "006").when(et == "view", "003").when(et == "purchase", "008")
             .when(et == "signup", "005").when(eid % 2 == 0, "001").otherwise("002"))
     key = F.concat(F.lit("log-gz/SN"), (F.col("user_id") % 5).cast("string"), F.lit("/"),
-                   F.date_format(ts, "yyyy/MM/dd"), F.lit("/Acquisuite_mb-"), code, F.lit("_"),
+                   F.date_format(ts, "yyyy/MM/dd"), F.lit("/logger_mb-"), code, F.lit("_"),
                    eid.cast("string"), F.lit(".log.gz"))
     view_sep = F.when(eid % 2 == 0, F.lit(",")).otherwise(F.lit("\t"))
     text = (
         F.when(et == "click", F.concat_ws("\n", F.lit(H_CLICK), F.concat_ws(
             ",", iso_ms, F.lit("0"), low, high, v, (F.col("value") / 2).cast("string"))))
-        .when(et == "view", F.concat_ws("\n", F.lit("# exported by acquisuite"), F.lit(H_VIEW), F.concat_ws(
+        .when(et == "view", F.concat_ws("\n", F.lit("# exported by data logger"), F.lit(H_VIEW), F.concat_ws(
             "", quoted, view_sep, F.lit("0"), view_sep, low, view_sep, high, view_sep, v, view_sep,
             (F.col("value") + 1).cast("string"))))
         .when(et == "purchase", F.concat_ws("\n", F.lit(H_PURCHASE),
@@ -66,7 +66,7 @@ def parsed(spark, sf_dir):
                        ingested_at="2024-02-01 00:00:00", spread=spark.sparkContext.defaultParallelism * 2)
 
 
-_KEY_SQL = """'log-gz/SN' || CAST(user_id % 5 AS VARCHAR) || '/' || strftime(ts, '%Y/%m/%d') || '/Acquisuite_mb-'
+_KEY_SQL = """'log-gz/SN' || CAST(user_id % 5 AS VARCHAR) || '/' || strftime(ts, '%Y/%m/%d') || '/logger_mb-'
     || CASE event_type WHEN 'click' THEN '006' WHEN 'view' THEN '003' WHEN 'purchase' THEN '008'
             WHEN 'signup' THEN '005' ELSE CASE WHEN event_id % 2 = 0 THEN '001' ELSE '002' END END
     || '_' || CAST(event_id AS VARCHAR) || '.log.gz'"""

@@ -97,7 +97,7 @@ def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     day = F.date_format(F.col("o_orderdate"), "yyyy/MM/dd")
     key = F.concat(F.lit("log-gz/SN"), (F.col("o_custkey") % 5).cast("string"), F.lit("/"), day,
-                   F.lit("/Acquisuite_mb-00"), (F.col("o_orderkey") % 9 + 1).cast("string"), F.lit("_"),
+                   F.lit("/logger_mb-00"), (F.col("o_orderkey") % 9 + 1).cast("string"), F.lit("_"),
                    F.col("o_orderkey").cast("string"), F.lit(".log.gz"))
     return o.select(
         key.alias("object_key"),
@@ -109,7 +109,7 @@ def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OBJECTS_SQL = """
 SELECT 'log-gz/SN' || CAST(o_custkey % 5 AS VARCHAR) || '/' || strftime(o_orderdate, '%Y/%m/%d')
-       || '/Acquisuite_mb-00' || CAST(o_orderkey % 9 + 1 AS VARCHAR) || '_' || CAST(o_orderkey AS VARCHAR)
+       || '/logger_mb-00' || CAST(o_orderkey % 9 + 1 AS VARCHAR) || '_' || CAST(o_orderkey AS VARCHAR)
        || '.log.gz' AS object_key,
        o_orderstatus AS version_token,
        CAST(floor(o_totalprice) AS BIGINT) AS size,

@@ -142,7 +142,7 @@ def test_numbers_and_flags(spark):
 
 
 def test_label_codes_and_groups(spark):
-    df = spark.createDataFrame([("Deep_Springs_Acquisuite_mb-002.5880AEA2_2.log.csv",), ("no-code-file.log.gz",),
+    df = spark.createDataFrame([("Site_Logger_mb-002.5880AEA2_2.log.csv",), ("no-code-file.log.gz",),
                                 ("device-mb-5-x.log.gz",)], "n string")
     out = [(r.c, r.h) for r in df.select(label_code("n").alias("c"), header_code("n").alias("h")).collect()]
     assert out == [("002", "002"), ("unknown", None), ("unknown", "005")]
