@@ -77,3 +77,15 @@ def test_sustained(spark):
                                "rule string, tick timestamp, condition boolean")
     out = [r.firing for r in al.sustained(ev, by=["rule"], for_minutes=60).orderBy("tick").collect()]
     assert out == [False, False, False, False, True, False, False]
+
+
+def test_alert_job_cooldown_state(spark, tmp_path):
+    from sluice.plans.alerts_job import run_alerts
+    from sluice.sinks.tables import IngestTables, with_dt
+    t = IngestTables(spark, str(tmp_path / "tables"))
+    t.readings.append(with_dt(_readings(spark, [{"ts": NOW - dt.timedelta(minutes=5), "value": 1.0}])))
+    b, d = run_alerts(spark, str(tmp_path / "tables"), NOW)
+    assert b.first().water_skipped and d.first().send
+    assert t.alert_state.read().count() == 1
+    _, d2 = run_alerts(spark, str(tmp_path / "tables"), NOW + dt.timedelta(minutes=10))
+    assert not d2.first().send and d2.first().reason == "cooldown_same_bundle_payload"
