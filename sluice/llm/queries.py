@@ -44,3 +44,114 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.exact_dedup import exact_groups
 
     return exact_groups(common.table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@_query("""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+                  md5(doc_id::VARCHAR) AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY (source IS NULL), source) - 1 AS k
+      FROM d GROUP BY source),
+w AS (SELECT *, CASE k % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 2.0::DOUBLE * source_size AS cap,
+             CASE k % 3 WHEN 0 THEN 0.5 WHEN 1 THEN 0.0 ELSE -0.5 END::DOUBLE AS slope,
+             (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS budget FROM s),
+l AS (SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / (sum(weight) OVER (ORDER BY cap / weight, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM w),
+m AS (SELECT *, max(CASE WHEN level <= cap / weight THEN level END) OVER () AS mark FROM l),
+t AS (SELECT source, source_size, slope, least(cap, coalesce(mark * weight, cap)) AS target FROM m),
+c AS (SELECT d.doc_id, d.size, t.source_size, t.slope, t.target,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, greatest(0, least(size, floor(target)::BIGINT - pos)) AS a,
+             greatest(0, least(size, floor(target)::BIGINT - source_size - pos)) AS b FROM c)
+SELECT doc_id, size, source_size, target, (a + b)::BIGINT AS taken,
+       CASE WHEN a > 0 THEN 2.0::DOUBLE * (pos / target) / ((1 - slope) + sqrt((1 - slope) * (1 - slope) + 4 * slope * (pos / target))) END AS position
+FROM e""")
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of each document by the mix, in the order of first training."""
+    from sluice.llm.mixing import mix
+
+    return (mix(common.table(spark, sf_dir, "documents"))
+            .select("doc_id", "size", "source_size", "target", "taken", F.get("copies", F.lit(0))["position"].alias("position"))
+            .orderBy(F.asc_nulls_last("position"), "doc_id"))
+
+
+@_query("""
+WITH l AS (SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line
+           FROM documents WHERE text IS NOT NULL),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 15))::BIGINT AS h FROM l),
+r AS (SELECT *, (xor(coalesce(lag(h) OVER w, h) << 1, h) & 3) = 0 AS ends FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+n AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no FROM r),
+c AS (SELECT doc_id, no, min(i) AS start, count(*) AS len, string_agg(line, chr(10) ORDER BY i) AS chunk FROM n GROUP BY doc_id, no),
+d AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, start) > 1 AND len >= 2 AS gone FROM c),
+k AS (SELECT doc_id, sum(len)::BIGINT AS n_lines, sum(CASE WHEN gone THEN len ELSE 0 END)::BIGINT AS n_removed,
+             coalesce(string_agg(CASE WHEN NOT gone THEN chunk END, chr(10) ORDER BY start), '') AS kept FROM d GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(kept) AS kept_sha256
+FROM documents t LEFT JOIN k ON t.doc_id = k.doc_id""")
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document before and after repeated chunks go, and the digest of what stays."""
+    from sluice.llm.line_dedup import dedup_lines
+
+    return (dedup_lines(common.table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")))
+
+
+def _license_sql() -> str:
+    from sluice.llm.licenses import TEMPLATES, THRESHOLD
+
+    rows = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(TEMPLATES))
+    words = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"
+    grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    return f"""
+WITH t AS (SELECT id, license, {grams} AS g FROM (SELECT id, license, {words.format("body")} AS w FROM (VALUES {rows}) v(id, license, body))),
+u AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS line_no, unnest(string_split(text, chr(10))) AS unit FROM documents WHERE text IS NOT NULL
+      UNION ALL SELECT doc_id, 0, text FROM documents WHERE contains(text, chr(10))),
+s AS (SELECT doc_id, line_no, {grams} AS g FROM (SELECT doc_id, line_no, {words.format("unit")} AS w FROM u)),
+d AS (SELECT doc_id, line_no, license, len(s.g) AS n,
+             2.0::DOUBLE * len(list_intersect(s.g, t.g)) / (len(s.g) + len(t.g)) AS dice
+      FROM s JOIN t ON len(s.g) BETWEEN len(t.g) * 0.5 AND len(t.g) * 2)
+SELECT doc_id, line_no::BIGINT AS line_no, license, max(dice) AS dice, n::BIGINT AS n_bigrams
+FROM d WHERE dice >= {THRESHOLD} GROUP BY doc_id, line_no, license, n"""
+
+
+@_query(_license_sql())
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in lines and whole texts of all documents."""
+    from sluice.llm.licenses import scan
+
+    return scan(common.table(spark, sf_dir, "documents"))
+
+
+@_query("""
+WITH c AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, role, text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i FROM conversations),
+a AS (SELECT * FROM c WHERE side = 0), b AS (SELECT * FROM c WHERE side = 1),
+z AS (SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.i, b.i) AS i,
+             a.role IS NOT DISTINCT FROM b.role AND a.text IS NOT DISTINCT FROM b.text AND a.i IS NOT NULL AND b.i IS NOT NULL AS same
+      FROM a FULL JOIN b ON a.pair_id = b.pair_id AND a.i = b.i),
+p AS (SELECT pair_id, coalesce(min(CASE WHEN NOT same THEN i END) - 1, max(i)) AS p FROM z GROUP BY pair_id),
+r AS (SELECT c.pair_id, c.side, c.i, p.p, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS turn,
+             role = 'assistant' AS trained, 13 + length(role) AS head FROM c JOIN p ON c.pair_id = p.pair_id),
+o AS (SELECT *, coalesce(sum(length(turn)) FILTER (WHERE i > p) OVER (PARTITION BY pair_id, side ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM r),
+g AS (SELECT pair_id, any_value(p) AS p,
+             coalesce(string_agg(CASE WHEN side = 0 AND i <= p THEN turn END, '' ORDER BY i), '') AS prompt,
+             coalesce(string_agg(CASE WHEN side = 0 AND i > p THEN turn END, '' ORDER BY i), '') AS chosen,
+             coalesce(string_agg(CASE WHEN side = 1 AND i > p THEN turn END, '' ORDER BY i), '') AS rejected,
+             coalesce(string_agg(CASE WHEN side = 0 AND i > p AND trained THEN (off + head)::BIGINT || '-' || (off + length(turn))::BIGINT END, ',' ORDER BY i), '') AS chosen_mask,
+             coalesce(string_agg(CASE WHEN side = 1 AND i > p AND trained THEN (off + head)::BIGINT || '-' || (off + length(turn))::BIGINT END, ',' ORDER BY i), '') AS rejected_mask
+      FROM o GROUP BY pair_id)
+SELECT pair_id, p::BIGINT AS prompt_turns, prompt, chosen, rejected, chosen_mask, rejected_mask,
+       chosen_mask <> '' AND rejected_mask <> '' AS usable FROM g""")
+def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k (chosen) and 2k + 1 (rejected) as preference examples.  The table names no
+    preferences, so neighbours stand for them; a conversation without a partner has an empty other side."""
+    from sluice.llm.chat import preference_pairs
+
+    conversations = common.table(spark, sf_dir, "conversations")
+    number = F.col("conv_id")
+    pairs = (conversations.filter(number.isNotNull()).groupBy(F.shiftright(number, 1).alias("pair_id"))
+             .agg(F.min(F.when(F.pmod(number, F.lit(2)) == 0, number)).alias("chosen_id"),
+                  F.min(F.when(F.pmod(number, F.lit(2)) == 1, number)).alias("rejected_id")))
+    mask = lambda c: F.array_join(F.transform(c, lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))), ",")
+    return preference_pairs(conversations, pairs).select(
+        "pair_id", "prompt_turns", "prompt", "chosen", "rejected",
+        mask("chosen_spans").alias("chosen_mask"), mask("rejected_spans").alias("rejected_mask"), "usable")
