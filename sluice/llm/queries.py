@@ -155,3 +155,24 @@ def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference_pairs(conversations, pairs).select(
         "pair_id", "prompt_turns", "prompt", "chosen", "rejected",
         mask("chosen_spans").alias("chosen_mask"), mask("rejected_spans").alias("rejected_mask"), "usable")
+
+
+@_query("""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+c AS (SELECT g FROM e GROUP BY g HAVING count(*) > 1),
+f AS (SELECT e.* FROM e JOIN c USING (g)),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS nu, any_value(b.n) AS nv, count(*) AS k
+      FROM f a JOIN f b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+k AS (SELECT u, v FROM p WHERE 100 * k >= 75 * (nu + nv - k)),
+z AS (SELECT u, v FROM k UNION SELECT v, u FROM k),
+r AS (WITH RECURSIVE r(id, m) AS (SELECT doc_id, doc_id FROM documents UNION SELECT z.v, r.m FROM r JOIN z ON z.u = r.id WHERE r.m < z.v)
+      SELECT id, min(m) AS m FROM r GROUP BY id)
+SELECT s.doc_id, len(s)::BIGINT AS n_shingles, r.m AS component_id, s.doc_id = r.m AS kept FROM s JOIN r ON r.id = s.doc_id""")
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    from sluice.llm.near_dedup import near_duplicates
+
+    return near_duplicates(common.table(spark, sf_dir, "documents"))
