@@ -176,3 +176,12 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.near_dedup import near_duplicates
 
     return near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by a model of the documents outside the held-out fold."""
+    from sluice.llm.language_id import fit, held_out, predict
+
+    docs = common.table(spark, sf_dir, "documents")
+    return predict(docs, fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
