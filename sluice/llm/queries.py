@@ -185,3 +185,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = common.table(spark, sf_dir, "documents")
     return predict(docs, fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@_query()
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, one row per document and item."""
+    from sluice.llm.decontaminate import with_matches
+
+    found = with_matches(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
