@@ -194,3 +194,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = with_matches(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
+@_query()
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated strings of 200 bytes take from each document."""
+    from sluice.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(common.table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
