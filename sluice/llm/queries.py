@@ -202,3 +202,11 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.suffix_dedup import remove_repeats
 
     return remove_repeats(common.table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@_query()
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate passages of fifty words or more, each with the first occurrence it repeats."""
+    from sluice.llm.substring_dedup import near_duplicate_passages
+
+    return near_duplicate_passages(common.table(spark, sf_dir, "documents"))
