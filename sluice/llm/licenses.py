@@ -47,13 +47,14 @@ TEMPLATES = [
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def bigrams(text: Column) -> Column:
-    """Distinct word bigrams of a text, joined by a space."""
-    words = F.filter(F.split(lower_az(text), _SEPARATORS), lambda w: w != "")
-    return F.array_distinct(F.zip_with(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
-        F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b)))
+def words(text: Column) -> Column:
+    return F.filter(F.split(lower_az(text), _SEPARATORS), lambda w: w != "")
+
+
+def bigrams(w: Column) -> Column:
+    """Distinct bigrams of an array of words, joined by a space."""
+    n = F.greatest(F.size(w) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
 def _template_bigrams(text: str) -> list[str]:
@@ -70,13 +71,18 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[st
     An empty table gives an empty result; other columns are ignored.
     """
     grams = [(name, g) for name, text in templates if (g := _template_bigrams(text))]
-    low = min(len(g) for _, g in grams) * threshold / (2 - threshold)
+    sizes = [len(g) for _, g in grams]
+    low, high = min(sizes) * threshold / (2 - threshold), max(sizes) * (2 - threshold) / threshold
     lines = F.split("text", "\n")
-    units = docs.filter(F.col("text").isNotNull()).select("doc_id", F.explode(F.concat(
-        F.transform(lines, lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("unit"))),
-        F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("line_no"), F.col("text").alias("unit")))).otherwise(F.array()))).alias("u"))
-    sets = (units.select("doc_id", "u.line_no", bigrams(F.col("u.unit")).alias("grams"))
-            .withColumn("n", F.size("grams")).filter(F.col("n") >= F.lit(low)))
+    units = F.concat(
+        F.transform(lines, lambda x, i: F.struct((i + 1).alias("line_no"), words(x).alias("w"))),
+        F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("line_no"), words(F.col("text")).alias("w")))).otherwise(F.array()))
+    # All in one generator, so that no filter is pushed below it and no step is computed twice.
+    units = F.filter(units, lambda u: F.size(u["w"]) > F.lit(low))
+    units = F.transform(units, lambda u: F.struct(u["line_no"].alias("line_no"), bigrams(u["w"]).alias("grams")))
+    units = F.filter(units, lambda u: F.size(u["grams"]).between(F.lit(low), F.lit(high)))
+    sets = (docs.filter(F.col("text").isNotNull()).select("doc_id", F.explode(units).alias("u"))
+            .select("doc_id", "u.line_no", "u.grams", F.size("u.grams").alias("n")))
     by_name: dict[str, list[list[str]]] = {}
     for name, g in grams:
         by_name.setdefault(name, []).append(g)
