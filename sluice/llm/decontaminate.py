@@ -55,11 +55,11 @@ class Layout:
         has = place[(place + 1) < self.end[w.text]]
         pair[has] = mix64(self.hash[has] * np.uint64(0x9E3779B97F4A7C15) + self.hash[has + 1])
         low = pair.copy()
-        for k in range(1, ANCHOR):
+        for k in range(1, min(ANCHOR, n)):
             low[: n - k] = np.minimum(low[: n - k], pair[k:])
         whole = np.arange(n) + ANCHOR < self.end[text]  # ANCHOR pairs from here lie in the text
         chosen = np.zeros(n, bool)
-        for k in range(ANCHOR):
+        for k in range(min(ANCHOR, n)):
             chosen[k:] |= (low[: n - k] == pair[k:]) & whole[: n - k]
         short = (w.count <= ANCHOR)[text] & (np.arange(n) < self.end[text])
         self.at = np.flatnonzero(chosen | short)

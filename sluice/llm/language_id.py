@@ -192,7 +192,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     language and its calibrated probability, and are rejected below the model's threshold.  An
     empty table gives an empty result.
     """
-    base = docs.drop("lang_pred", "score", "rejected", "_p")
+    base = docs.drop("lang_pred", "score", "rejected", "__p")
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if model is None:
         return base.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0), "rejected": F.lit(True)})
@@ -205,7 +205,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         k = p.argmax(1)
         return pa.StructArray.from_arrays([pa.array([m.languages[i] for i in k], pa.string()), pa.array(p.max(1), pa.float64())], names=["lang", "score"])
 
-    rows = base.withColumn("_p", best(F.col("text")))
-    return rows.select(*base.columns, F.when(letter, F.col("_p.lang")).otherwise("und").alias("lang_pred"),
-                       F.when(letter, F.least(F.col("_p.score"), F.lit(1.0))).otherwise(0.0).alias("score"),
-                       (~letter | (F.col("_p.score") < model.threshold)).alias("rejected"))
+    rows = base.withColumn("__p", best(F.col("text")))
+    return rows.select(*base.columns, F.when(letter, F.col("__p.lang")).otherwise("und").alias("lang_pred"),
+                       F.when(letter, F.least(F.col("__p.score"), F.lit(1.0))).otherwise(0.0).alias("score"),
+                       (~letter | (F.col("__p.score") < model.threshold)).alias("rejected"))

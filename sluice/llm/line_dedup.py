@@ -80,15 +80,15 @@ def dedup_lines(docs: DataFrame, mask: int = MASK, min_lines: int = MIN_LINES) -
     n_removed is replaced.  An empty table gives an empty result.
     """
     gone = (repeated_chunks(docs, mask, min_lines).distinct()
-            .groupBy(F.col("_id").isNull().alias("_n"), F.coalesce("_id", F.lit(0)).alias("_i"), F.col("_t"))
-            .agg(F.collect_list(F.struct("start", "len")).alias("_gone")))
+            .groupBy(F.col("_id").isNull().alias("__null"), F.coalesce("_id", F.lit(0)).alias("__id"), F.col("_t").alias("__hash"))
+            .agg(F.collect_list(F.struct("start", "len")).alias("__gone")))
     base = docs.drop("n_lines", "n_removed")
-    rows = (base.withColumns({"_n": F.col("doc_id").isNull(), "_i": F.coalesce("doc_id", F.lit(0)), "_t": F.xxhash64("text")})
-            .join(gone, ["_n", "_i", "_t"], "left"))
+    rows = (base.withColumns({"__null": F.col("doc_id").isNull(), "__id": F.coalesce("doc_id", F.lit(0)), "__hash": F.xxhash64("text")})
+            .join(gone, ["__null", "__id", "__hash"], "left"))
     lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda x, i: ~F.exists("_gone", lambda g: (i + 1 >= g["start"]) & (i + 1 < g["start"] + g["len"])))
-    removed = F.coalesce(F.aggregate("_gone", F.lit(0), lambda s, g: s + g["len"]), F.lit(0)).cast("long")
+    kept = F.filter(lines, lambda x, i: ~F.exists("__gone", lambda g: (i + 1 >= g["start"]) & (i + 1 < g["start"] + g["len"])))
+    removed = F.coalesce(F.aggregate("__gone", F.lit(0), lambda s, g: s + g["len"]), F.lit(0)).cast("long")
     return rows.select(
-        *[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(c)
+        *[F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(c)
           for c in base.columns],
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), removed.alias("n_removed"))

@@ -72,7 +72,8 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     out, size = x.copy(), 1
     while size < w:
         step = min(size, w - size)
-        out[: len(x) - step] = np.minimum(out[: len(x) - step], out[step:])
+        n = max(0, len(x) - step)
+        out[:n] = np.minimum(out[:n], out[step:])
         size += step
     return out
 
