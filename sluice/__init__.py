@@ -15,6 +15,13 @@ Every operator takes and returns DataFrames; clocks, time zones, windows and thr
 are explicit arguments.
 """
 
-from sluice.session import configure, checkpoint_dir, local_session  # noqa: F401
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel by value: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from sluice.session import configure, checkpoint_dir, local_session  # noqa: E402, F401
 
 __all__ = ["configure", "checkpoint_dir", "local_session"]

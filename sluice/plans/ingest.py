@@ -1,6 +1,6 @@
 """The batch ingest job (A10 batch form).
 
-list → guard (R2) → newest-first batch (R1) → skip checkpointed (J1) → read + inflate (R3)
+list → optional guard (R2) and newest-first batch (R1) → skip checkpointed (J1) → read + inflate (R3)
 → parse (P*, S*, F*, W3) → write registry / records / readings, checkpoint last (K1-K4).
 Re-running it ingests nothing new; failed files are retried on the next run.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import quality as Q
 from sluice.operators.readings import parse_files
-from sluice.session import configure
+from sluice.session import checkpoint_dir, configure
 from sluice.sinks.tables import IngestTables, write_batch
 from sluice.sources import config as C
 from sluice.sources import objects as O
@@ -27,25 +27,32 @@ class IngestResult:
     run_id: str
     stats: DataFrame          # G8 one-row summary
     registry: DataFrame       # this run's registry rows
+    warnings: DataFrame       # Q1-Q3, Q5: one row per file and finding
+    plan: DataFrame | None = None   # Q7: what a dry run would write, per file
+
+
+# Status text of a file without header whose schema has no column order.
+NO_COLUMN_ORDER = "no header line and no column order for its schema"
 
 
 def ingest_files(spark: SparkSession, files: DataFrame, tables: IngestTables, *, run_id: str, now,
                  labels: DataFrame | None = None, schemas: DataFrame | None = None, strict_schema: bool = False,
-                 dry_run: bool = False, spread: int | None = None):
-    """Parse decoded files and write them (the part shared by batch and streaming ingest)."""
+                 column_orders: str | None = None, dry_run: bool = False, spread: int | None = None):
+    """Parse decoded files and write them (the part shared by batch and streaming ingest).
+
+    ``column_orders``: path of the column orders file, read on every run, with which files
+    without a header line are parsed (P9)."""
     labels = labels if labels is not None else C.default_labels(spark)
     schemas = schemas if schemas is not None else C.default_schemas(spark)
-    readable = files.where(F.col("text").isNotNull())
-    p = parse_files(readable.select("object_key", "version_token", "last_modified", "text"), labels, schemas,
-                    strict=strict_schema, ingested_at=now, spread=spread)
-    unreadable = files.where(F.col("text").isNull())
+    if column_orders:
+        schemas = C.with_column_orders(schemas, C.load_column_orders(spark, column_orders))
+    # Objects that could not be read carry no text: they cost no parse and become error rows.
+    failed = "read_error" in files.columns
+    p = parse_files(files.where(F.col("text").isNotNull()).select("object_key", "version_token", "last_modified", "text"),
+                    labels, schemas, strict=strict_schema, ingested_at=now, spread=spread)
     reg = p.registry
-    if "read_error" in files.columns:
-        bad = parse_files(unreadable.select("object_key", "version_token", "last_modified", F.lit("").alias("text")),
-                          labels, schemas, ingested_at=now).registry
-        bad = bad.join(unreadable.select("object_key", "version_token", "read_error"), ["object_key", "version_token"]) \
-            .withColumn("parse_status", F.lit("error")).withColumn("error_text", F.col("read_error")).drop("read_error")
-        reg = reg.unionByName(bad)
+    if failed:
+        reg = reg.unionByName(error_rows(files.where(F.col("text").isNull()), labels, schemas, now))
     if dry_run:
         return p, reg
     # The batch is written by several actions (registry, records, readings, checkpoint):
@@ -61,27 +68,53 @@ def ingest_files(spark: SparkSession, files: DataFrame, tables: IngestTables, *,
     return p, reg
 
 
+def error_rows(unread: DataFrame, labels: DataFrame, schemas: DataFrame, now) -> DataFrame:
+    """Registry rows of objects that could not be read; the next run tries them again."""
+    blank = parse_files(unread.select("object_key", "version_token", "last_modified", F.lit("").alias("text")),
+                        labels, schemas, ingested_at=now).registry
+    return (blank.join(unread.select("object_key", "version_token", "read_error"), ["object_key", "version_token"])
+            .withColumn("parse_status", F.lit("error")).withColumn("error_text", F.col("read_error")).drop("read_error"))
+
+
+def run_warnings(p) -> DataFrame:
+    """Q1-Q3 of this run: (kind, object_key, detail) per file and finding, and files without header
+    whose schema has no column order, which the loose parse takes."""
+    keys = p.layout.select("file_id", "object_key")
+    silent = (p.records.select("file_id").distinct()
+              .join(p.readings.select(F.col("source_file_id").alias("file_id")).distinct(), "file_id", "left_anti")
+              .join(keys, "file_id").select(F.lit("records but no readings").alias("kind"), "object_key", F.lit("").alias("detail")))
+    headerless = (p.layout.where((F.col("mode") == "loose") & (F.size(F.coalesce("column_order", F.array().cast("array<string>"))) <= 0)
+                                 & ~F.exists("_lines", lambda l: l.contains("=")))
+                  .select(F.lit(NO_COLUMN_ORDER).alias("kind"), "object_key", F.col("schema_id").alias("detail")))
+    off = (p.candidates.where(~F.col("has_data")).groupBy("object_key").agg(F.count(F.lit(1)).alias("n"))
+           .select(F.lit("readings of a device marked without data").alias("kind"), "object_key", F.col("n").cast("string").alias("detail"))
+           if {"has_data", "object_key"} <= set(p.candidates.columns) else None)
+    out = silent.unionByName(headerless)
+    return out.unionByName(off) if off is not None else out
+
+
 def run_ingest(spark: SparkSession, root: str, tables_root: str, *, prefix: str = "log-gz/",
-               batch_limit: int = O.DEFAULT_BATCH_LIMIT, scan_cap: int = O.DEFAULT_SCAN_CAP,
+               batch_limit: int | None = None, scan_cap: int | None = None,
                strict_listing: bool = True, skip_processed_first: bool = False, strict_schema: bool = False,
-               labels: DataFrame | None = None, schemas: DataFrame | None = None, dry_run: bool = False,
-               now: _dt.datetime | None = None, run_id: str | None = None) -> IngestResult:
+               labels: DataFrame | None = None, schemas: DataFrame | None = None, column_orders: str | None = None,
+               dry_run: bool = False, now: _dt.datetime | None = None, run_id: str | None = None) -> IngestResult:
+    """One ingest run over everything unprocessed under ``root/prefix``; ``batch_limit`` (the newest
+    so many) and ``scan_cap`` (R2) are opt-in."""
     configure(spark)
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     run_id = run_id or now.strftime("%Y%m%d%H%M%S%f")
     tables = IngestTables(spark, tables_root)
     manifest = O.check_listing(O.list_objects(spark, root, prefix=prefix), scan_cap, strict=strict_listing)
     checkpoints = tables.checkpoint.read()
-    listed = O.newest_first(manifest, batch_limit)
-    if skip_processed_first:
-        listed = O.newest_first(O.unprocessed(manifest, checkpoints), batch_limit)
-    # The batch is bounded by the batch limit; materialise it once (listing + anti-join).
-    listed_rows = listed.collect()
-    listed = spark.createDataFrame(listed_rows, listed.schema) if listed_rows else \
-        spark.createDataFrame([], listed.schema)
+    if batch_limit is not None:
+        manifest = O.newest_first(O.unprocessed(manifest, checkpoints) if skip_processed_first else manifest, batch_limit)
+    # A second look at the store could see other objects: the run works on one stored listing.
+    checkpoint_dir(spark)
+    listed = manifest.checkpoint()
     batch = O.unprocessed(listed, checkpoints)
     files = O.read_objects(spark, batch, root)
-    _, reg = ingest_files(spark, files, tables, run_id=run_id, now=now, labels=labels, schemas=schemas,
-                          strict_schema=strict_schema, dry_run=dry_run)
+    p, reg = ingest_files(spark, files, tables, run_id=run_id, now=now, labels=labels, schemas=schemas,
+                          strict_schema=strict_schema, column_orders=column_orders, dry_run=dry_run)
     stats = Q.run_stats(listed, checkpoints, reg)
-    return IngestResult(run_id=run_id, stats=stats, registry=reg)
+    plan = Q.dry_run(p.layout, p.records, p.readings) if dry_run else None
+    return IngestResult(run_id=run_id, stats=stats, registry=reg, warnings=run_warnings(p), plan=plan)

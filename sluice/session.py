@@ -40,13 +40,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a fresh folder under the system temp
-    directory is created and registered.
+    Only a local session for which the setting is absent (tests) gets a folder of its own under the
+    system temp directory; on a cluster that would be a folder of one machine, so it is an error.
     """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf:
         conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="sluice-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -36,7 +36,8 @@ class Table:
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
 
-    def versions(self) -> list[int]:
+    def versions(self, committed: bool = True) -> list[int]:
+        """Version numbers; with ``committed`` false also those of writes that were cut short."""
         fs, jvm = self._fs()
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         if not fs.exists(root):
@@ -45,7 +46,7 @@ class Table:
         for st in fs.listStatus(root):
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("_v="):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                if not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                     out.append(int(name[3:]))
         return sorted(out)
 
@@ -53,6 +54,11 @@ class Table:
         v = self.versions()
         return v[-1] if v else None
 
+    def _next(self) -> int:
+        """A number no write has used, finished or not: a crashed write never blocks the next one."""
+        v = self.versions(committed=False)
+        return v[-1] + 1 if v else 0
+
     def _vpath(self, v: int) -> str:
         return f"{self.path}/_v={v:012d}"
 
@@ -71,13 +77,12 @@ class Table:
     def append(self, df: DataFrame) -> None:
         v = self.current()
         if v is None:
-            self._writer(df).mode("errorifexists").parquet(self._vpath(0))
+            self._writer(df).mode("errorifexists").parquet(self._vpath(self._next()))
         else:
             self._writer(df).mode("append").parquet(self._vpath(v))
 
     def replace(self, df: DataFrame) -> int:
-        cur = self.current()
-        v = 0 if cur is None else cur + 1
+        v = self._next()
         self._writer(df).mode("errorifexists").parquet(self._vpath(v))
         return v
 
@@ -139,15 +144,20 @@ def with_dt(readings: DataFrame) -> DataFrame:
 
 # --- K1-K4 --------------------------------------------------------------------------------
 
-def upsert_registry(t: IngestTables, new_rows: DataFrame) -> None:
-    """K1: insert new (key, version) rows, update existing ones except ``ingested_at``
-    (copy-on-write of a table with one row per object)."""
+def upsert_registry(t: IngestTables, new_rows: DataFrame) -> bool:
+    """K1: insert new (key, version) rows, update existing ones except ``ingested_at``.  Rows that
+    are all new, the usual case, are appended; only a batch that repeats objects (a retry or a
+    replay) rewrites the table, which has one row per object.  True if there were such rows."""
+    keys = ["object_key", "version_token"]
     old = t.registry.read()
-    keep_at = old.select("object_key", "version_token", F.col("ingested_at").alias("_old_at"))
-    new = new_rows.join(keep_at, ["object_key", "version_token"], "left") \
-        .withColumn("ingested_at", F.coalesce("_old_at", "ingested_at")).drop("_old_at")
-    rest = old.join(new.select("object_key", "version_token"), ["object_key", "version_token"], "left_anti")
+    again = old.join(new_rows.select(*keys), keys, "left_semi").select(*keys, F.col("ingested_at").alias("_old_at"))
+    if not again.head(1):
+        t.registry.append(new_rows)
+        return False
+    new = new_rows.join(again, keys, "left").withColumn("ingested_at", F.coalesce("_old_at", "ingested_at")).drop("_old_at")
+    rest = old.join(new_rows.select(*keys), keys, "left_anti")
     t.registry.replace(rest.unionByName(new.select(*SC.REGISTRY.fieldNames())))
+    return True
 
 
 def write_batch(t: IngestTables, registry: DataFrame, records: DataFrame, readings: DataFrame,
@@ -157,19 +167,20 @@ def write_batch(t: IngestTables, registry: DataFrame, records: DataFrame, readin
     Re-running a batch cut short before its checkpoint (or a replayed file) finds its files
     already registered; for those files only, records are kept insert-if-absent on
     (file_id, line_no) and readings on (serial, record_ts, metric_key, source_file_id) by an
-    anti-join restricted to the batch's file ids.  Failed files get a registry row and no
+    anti-join restricted to the batch's file ids and, for readings, to the days the batch holds.
+    A batch of new files reads none of the stored rows.  Failed files get a registry row and no
     checkpoint, so the next run retries them."""
-    before = t.registry.read().select("file_id").distinct()
-    seen = registry.select("file_id").join(before, "file_id", "left_semi")
-    upsert_registry(t, registry)
-
-    old_records = t.records.read().join(seen, "file_id", "left_semi").select("file_id", "line_no")
-    t.records.append(records.join(old_records, ["file_id", "line_no"], "left_anti"))
-
-    rk = ["serial", "record_ts", "metric_key", "source_file_id"]
-    old_readings = t.readings_df().join(seen.select(F.col("file_id").alias("source_file_id")), "source_file_id",
-                                        "left_semi").select(*rk)
-    t.readings.append(with_dt(readings.join(old_readings, rk, "left_anti")))
+    files = registry.select("file_id")
+    if upsert_registry(t, registry):
+        old_records = t.records.read().join(files, "file_id", "left_semi").select("file_id", "line_no")
+        records = records.join(old_records, ["file_id", "line_no"], "left_anti")
+        rk = ["serial", "record_ts", "metric_key", "source_file_id"]
+        span = readings.agg(F.min(F.to_date("record_ts")).alias("a"), F.max(F.to_date("record_ts")).alias("b")).first()
+        old_readings = (t.readings.read().where(F.col("dt").between(F.lit(span.a), F.lit(span.b)))
+                        .join(files.select(F.col("file_id").alias("source_file_id")), "source_file_id", "left_semi").select(*rk))
+        readings = readings.join(old_readings, rk, "left_anti")
+    t.records.append(records)
+    t.readings.append(with_dt(readings))
 
     ok = registry.where(F.col("parse_status") == "parsed").select(
         "object_key", "version_token", F.lit(run_id).alias("run_id"),
@@ -178,10 +189,67 @@ def write_batch(t: IngestTables, registry: DataFrame, records: DataFrame, readin
 
 
 def mark_processed(t: IngestTables, rows: DataFrame) -> None:
-    """K4: checkpoint insert-if-absent on (key, version)."""
-    old = t.checkpoint.read()
-    new = rows.join(old.select("object_key", "version_token"), ["object_key", "version_token"], "left_anti")
-    t.checkpoint.replace(old.unionByName(new))
+    """K4: checkpoint insert-if-absent on (key, version): an append of the absent rows."""
+    old = t.checkpoint.read().select("object_key", "version_token")
+    t.checkpoint.append(rows.join(old, ["object_key", "version_token"], "left_anti"))
+
+
+# --- K7-K10: stored tables -----------------------------------------------------------------
+
+def replay_devices(t: IngestTables, devices=None) -> dict[str, int]:
+    """K7 as a job: forget the stored rows of some devices' files, so that the next run ingests
+    these files again.  Of the readings only the days that lose rows are rewritten.  Returns the
+    three counts of deleted rows."""
+    from sluice.operators import replay as R
+
+    devices = R.DEFAULT_FLOW_DEVICES if devices is None else devices
+    readings, records, checkpoints = t.readings.read(), t.records.read(), t.checkpoint.read()
+    out = R.replay_flow_devices(t.registry.read(), records, readings, checkpoints, devices)
+    counts = out["counts"].first().asDict()
+    _rewrite_days(t, readings, out["readings"])
+    if counts["raw_deleted"]:
+        t.records.replace(out["records"])
+    if counts["checkpoints_deleted"]:
+        t.checkpoint.replace(out["checkpoints"])
+    return counts
+
+
+def correct_booster(t: IngestTables, device: str = "mb-003") -> None:
+    """K8 as a job: the corrected rows' days are rewritten, no other partition is touched."""
+    from sluice.operators import replay as R
+
+    readings = t.readings.read()
+    _rewrite_days(t, readings, R.correct_booster_group(readings, device))
+
+
+def _rewrite_days(t: IngestTables, before: DataFrame, after: DataFrame) -> None:
+    """Store ``after`` in place of ``before`` in the days (partitions) in which they differ; the days
+    are few and named on the driver, the rows are not.  New contents are first written apart,
+    because a partition cannot be read while it is replaced."""
+    key = F.xxhash64(*[F.col(c) for c in SC.READINGS.fieldNames()]).cast("decimal(38,0)")
+    total = lambda df, n: df.groupBy("dt").agg(F.count(F.lit(1)).alias(f"n_{n}"), F.sum(key).alias(f"s_{n}"))
+    both = total(before, "a").join(total(after, "b"), "dt", "left")
+    days = [r.dt for r in both.where(~(F.col("n_a").eqNullSafe(F.col("n_b")) & F.col("s_a").eqNullSafe(F.col("s_b")))).select("dt").collect()]
+    if not days:
+        return
+    side = Table(t.readings.spark, f"{t.readings.path}_rewrite", t.readings.schema, ["dt"])
+    side.replace(after.where(F.col("dt").isin(days)))
+    new = side.read()
+    kept = {r.dt for r in new.select("dt").distinct().collect()}
+    t.readings.replace_partitions(new, [{"dt": d} for d in days if d not in kept])
+
+
+def forget_object(t: IngestTables, object_key: str, version_token: str | None) -> None:
+    """K9 as a job: one object's checkpoint goes; the next run ingests the object again."""
+    from sluice.operators import replay as R
+
+    t.checkpoint.replace(R.replay_file(t.checkpoint.read(), object_key, version_token))
+
+
+def reset(t: IngestTables) -> None:
+    """K10 as a job: registry, records, readings and checkpoint become empty; the schedule stays."""
+    for table in (t.registry, t.records, t.readings, t.checkpoint):
+        table.replace(table.spark.createDataFrame([], table.schema))
 
 
 # --- K5 ------------------------------------------------------------------------------------

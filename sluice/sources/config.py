@@ -194,7 +194,3 @@ def canonical_header_lines(labels: DataFrame, schemas: DataFrame) -> DataFrame:
     return labels.join(F.broadcast(s), "schema_id").select(
         "code", F.array_join("column_order", "\t").alias("header_line"))
 
-
-def code_column(name: Column) -> Column:
-    from sluice.functions.naming import label_code
-    return label_code(name)

@@ -10,7 +10,7 @@ named ``.gz``.
 
 from __future__ import annotations
 
-import gzip
+import warnings
 import zlib
 
 import pandas as pd
@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.naming import header_code
-from sluice.functions.text import col_of, norm_header_line, safe_name, strip_bom
+from sluice.functions.text import col_of, norm_header_line, safe_name
 
 DEFAULT_BATCH_LIMIT = 200
 DEFAULT_SCAN_CAP = 250_000
+# An object is one row; this is the most bytes Spark puts in one.
+MAX_ROW_BYTES = 2_147_483_647
 
 
 def list_objects(spark: SparkSession, root: str, *, prefix: str = "log-gz/", version: str = "stat") -> DataFrame:
@@ -48,14 +50,16 @@ def _quote(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in s)
 
 
-def check_listing(manifest: DataFrame, scan_cap: int = DEFAULT_SCAN_CAP, *, strict: bool = True) -> DataFrame:
-    """R2: a listing with more than ``scan_cap`` objects is refused (``strict``) or cut to the
-    first ``scan_cap`` keys in key order (what a capped lexicographic listing returns)."""
+def check_listing(manifest: DataFrame, scan_cap: int | None = DEFAULT_SCAN_CAP, *, strict: bool = True) -> DataFrame:
+    """R2, an opt-in check: a listing with more than ``scan_cap`` objects is refused (``strict``) or
+    cut, with a warning, to the first ``scan_cap`` keys in key order (what a capped lexicographic
+    listing returns).  None or 0: no cap."""
     if scan_cap and scan_cap > 0:
         n = manifest.limit(scan_cap + 1).count()
         if n > scan_cap:
             if strict:
                 raise RuntimeError(f"listing truncated at {scan_cap} objects; raise the cap or narrow the prefix")
+            warnings.warn(f"listing truncated at {scan_cap} objects; later keys are not considered", stacklevel=2)
             return manifest.orderBy("object_key").limit(scan_cap)
     return manifest
 
@@ -93,7 +97,9 @@ def select_batch(manifest: DataFrame, checkpoints: DataFrame, k=DEFAULT_BATCH_LI
                  skip_processed_first: bool = False) -> DataFrame:
     """R1 + J1.  Reference order: take the newest ``k`` first, then drop processed ones (a
     batch can shrink to nothing while older objects wait); ``skip_processed_first`` applies
-    the anti-join before the limit instead."""
+    the anti-join before the limit instead.  ``k`` None: everything unprocessed."""
+    if k is None:
+        return unprocessed(manifest, checkpoints)
     if skip_processed_first:
         return newest_first(unprocessed(manifest, checkpoints), k)
     return unprocessed(newest_first(manifest, k), checkpoints)
@@ -104,16 +110,25 @@ def select_batch(manifest: DataFrame, checkpoints: DataFrame, k=DEFAULT_BATCH_LI
 def _inflate(b: bytes | None) -> str | None:
     if b is None:
         return None
-    try:
-        data = gzip.decompress(b)
-    except (OSError, EOFError, zlib.error):
-        data = b
-    return data.decode("utf-8", errors="replace")
+    out, rest = [], b
+    while rest[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        try:
+            part = member.decompress(rest)
+        except zlib.error:
+            break
+        if not member.eof:
+            break
+        out.append(part)
+        rest = member.unused_data
+    # Members up to the first broken one count, bytes after them do not; without any, it is text.
+    return (b"".join(out) if out else b).decode("utf-8", errors="replace")
 
 
 @F.pandas_udf(T.StringType())
 def inflate_text(content: pd.Series) -> pd.Series:
-    """Gunzip, or treat the bytes as UTF-8 text when they are not gzip (Arrow batches)."""
+    """Gunzip member by member (trailing bytes are ignored), or treat the bytes as UTF-8 text
+    when they are not gzip (Arrow batches)."""
     return content.map(_inflate)
 
 
@@ -121,32 +136,57 @@ def is_gzip(content) -> Column:
     return F.substring(col_of(content), 1, 2) == F.unhex(F.lit("1F8B"))
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """``root`` with its scheme, as file sources report paths."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toString()
+
+
+def _existing_folders(spark: SparkSession, batch: DataFrame) -> list[str]:
+    """Folders that hold objects of the batch (device and day: far fewer than objects), escaped for
+    the reader's globs; folders that are gone are left out."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    out = []
+    for r in batch.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("f")).distinct().collect():
+        path = jvm.org.apache.hadoop.fs.Path(r.f)
+        if path.getFileSystem(conf).exists(path):
+            out.append("".join("\\" + ch if ch in "{}[]*?\\" else ch for ch in r.f))
+    return out
+
+
 def read_objects(spark: SparkSession, batch: DataFrame, root: str | None = None, *,
-                 max_bytes: int = 256 << 20) -> DataFrame:
+                 max_bytes: int | None = None) -> DataFrame:
     """Bytes of the selected objects, decoded: ``(object_key, version_token, last_modified, text,
     is_gzip, read_error)``.
 
-    The batch is bounded by the batch limit (the reference's per-run object cap), so its
-    paths are handed to the reader like any file listing.  Objects above ``max_bytes`` keep
-    ``text = NULL`` and a ``read_error`` so the registry records them (never truncated)."""
+    The folders of the batch are read and joined with it on the path, so the objects themselves
+    are never listed on the driver.  An object that has vanished since the listing, or is larger
+    than ``max_bytes`` (default: what fits a row), keeps ``text`` NULL and a ``read_error`` for the
+    registry; the others are not affected.  The size test filters the scan, so oversize bytes are
+    neither read nor inflated."""
     if "path" not in batch.columns:
         if root is None:
             raise ValueError("batch has no path column: pass root")
-        batch = batch.withColumn("path", F.concat(F.lit(root.rstrip("/") + "/"), F.col("object_key")))
+        batch = batch.withColumn("path", F.concat(F.lit(qualified(spark, root) + "/"), F.col("object_key")))
+    most = min(max_bytes or MAX_ROW_BYTES, MAX_ROW_BYTES)
     meta = batch.select("path", "object_key", "version_token")
-    paths = [r.path for r in meta.select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], "object_key string, version_token string, last_modified timestamp, "
-                                         "text string, is_gzip boolean, read_error string")
-    raw = spark.read.format("binaryFile").load(paths)
-    sel = raw.join(F.broadcast(meta), "path")   # one row per batch object: bounded by the batch limit
-    too_big = F.col("length") > max_bytes
-    return sel.select(
+    folders = _existing_folders(spark, meta)
+    columns = "object_key string, version_token string, last_modified timestamp, text string, is_gzip boolean, read_error string"
+    if not folders:
+        return meta.select("object_key", "version_token", F.lit(None).cast("timestamp").alias("last_modified"),
+                           F.lit(None).cast("string").alias("text"), F.lit(None).cast("boolean").alias("is_gzip"),
+                           F.lit("object not found").alias("read_error")).to(spark.createDataFrame([], columns).schema)
+    raw = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(folders)
+    found = raw.where(F.col("length") <= most).join(meta, "path").select(
         "object_key", "version_token", F.col("modificationTime").alias("last_modified"),
-        F.when(too_big, F.lit(None)).otherwise(inflate_text(F.col("content"))).alias("text"),
-        is_gzip("content").alias("is_gzip"),
-        F.when(too_big, F.lit(f"object larger than {max_bytes} bytes")).alias("read_error"),
-    )
+        inflate_text(F.col("content")).alias("text"), is_gzip("content").alias("is_gzip"), F.lit(None).cast("string").alias("read_error"))
+    sizes = raw.select("path", "length", "modificationTime")   # metadata only: no bytes are read
+    failed = meta.join(sizes, "path", "left").where(F.col("length").isNull() | (F.col("length") > most)).select(
+        "object_key", "version_token", F.col("modificationTime").alias("last_modified"), F.lit(None).cast("string").alias("text"),
+        F.lit(None).cast("boolean").alias("is_gzip"),
+        F.when(F.col("length").isNull(), F.lit("object not found")).otherwise(F.lit(f"object larger than {most} bytes")).alias("read_error"))
+    return found.unionByName(failed)
 
 
 # --- K11: landing layout --------------------------------------------------------------
@@ -203,6 +243,3 @@ def normalise_header(files: DataFrame, canonical: DataFrame, default_code: str |
         "text", F.when(status == "prepended", F.concat(F.col("_hdr"), F.lit("\n"), F.col("text"))).otherwise(F.col("text"))
     ).withColumn("csv_header_code", F.when(status.isNotNull(), F.col("_code"))).drop("_code", "_hdr")
 
-
-def strip_text_bom(c) -> Column:
-    return strip_bom(c)

@@ -1,66 +1,34 @@
-"""A10 streaming form: new objects → the same parse and sinks as the batch job.
+"""A10 streaming form: new objects and new versions of objects → the same parse and sinks as the batch job.
 
-The ``binaryFile`` stream source remembers the files it has handed out in its checkpoint, so
-each object reaches ``foreachBatch`` once; the batch function additionally skips objects already
-in the checkpoint table (so batch and streaming runs can be mixed) and writes the checkpoint
-last.  ``availableNow`` processes the backlog in bounded micro-batches and stops.
+A file stream source remembers paths, not versions, and would miss an object that is replaced.  The
+stream is therefore a clock only: at each trigger the store is listed and the (key, version) pairs
+that are not in the checkpoint table are ingested, checkpoint last, exactly as by the batch job.
+Batch and streaming runs can be mixed.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from sluice.plans.ingest import ingest_files
+from sluice.plans.ingest import run_ingest
 from sluice.session import configure
-from sluice.sinks.tables import IngestTables
-from sluice.sources import objects as O
-
-BINARY_FILE_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("modificationTime", T.TimestampType()),
-    T.StructField("length", T.LongType()),
-    T.StructField("content", T.BinaryType()),
-])
-
-
-def object_stream(spark: SparkSession, root: str, prefix: str = "log-gz/", max_files_per_trigger: int = 200,
-                  max_bytes: int = 256 << 20) -> DataFrame:
-    """Streaming manifest + decoded text of new objects under ``root/prefix``."""
-    base = root.rstrip("/")
-    s = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-         .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files_per_trigger)
-         .load(f"{base}/{prefix}"))
-    key = F.regexp_replace(F.col("path"), r"^.*?" + O._quote(base.split("://")[-1]) + "/", "")
-    token = F.md5(F.concat_ws(":", F.col("length").cast("string"),
-                              F.unix_millis(F.col("modificationTime")).cast("string")))
-    too_big = F.col("length") > max_bytes
-    return s.select(key.alias("object_key"), token.alias("version_token"),
-                    F.col("modificationTime").alias("last_modified"),
-                    F.when(too_big, F.lit(None)).otherwise(O.inflate_text(F.col("content"))).alias("text"),
-                    O.is_gzip("content").alias("is_gzip"),
-                    F.when(too_big, F.lit(f"object larger than {max_bytes} bytes")).alias("read_error"))
-
 
 def start_ingest_stream(spark: SparkSession, root: str, tables_root: str, checkpoint_location: str, *,
-                        prefix: str = "log-gz/", max_files_per_trigger: int = 200, available_now: bool = True,
-                        processing_time: str | None = None, **parse_opts):
-    """Start the incremental ingest; returns the ``StreamingQuery``."""
+                        prefix: str = "log-gz/", available_now: bool = True,
+                        processing_time: str | None = None, **ingest_opts):
+    """Start the incremental ingest; returns the ``StreamingQuery``.  With ``available_now`` the
+    backlog is ingested once and the query ends; otherwise the store is listed again at every
+    ``processing_time`` (default one minute)."""
     configure(spark)
-    tables = IngestTables(spark, tables_root)
 
-    def batch(df: DataFrame, epoch_id: int) -> None:
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        todo = O.unprocessed(df, tables.checkpoint.read())
-        ingest_files(df.sparkSession, todo, tables, run_id=f"stream-{epoch_id}", now=now, **parse_opts)
+    def tick(df: DataFrame, epoch_id: int) -> None:
+        run_ingest(spark, root, tables_root, prefix=prefix, run_id=f"stream-{epoch_id}-{uuid.uuid4().hex[:8]}", **ingest_opts)
 
-    w = (object_stream(spark, root, prefix, max_files_per_trigger).writeStream
-         .foreachBatch(batch).option("checkpointLocation", checkpoint_location))
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    w = clock.writeStream.foreachBatch(tick)
     if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+        # One look at the store per start: a one-off trigger over a fresh clock.
+        return w.option("checkpointLocation", f"{checkpoint_location}/{uuid.uuid4().hex}").trigger(availableNow=True).start()
+    return w.option("checkpointLocation", checkpoint_location).trigger(processingTime=processing_time or "1 minute").start()
