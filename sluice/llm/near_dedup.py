@@ -13,7 +13,10 @@ with the smallest one only; pairs are estimated by the joint likelihood of the r
 and dropped if any similarity of ``percent`` or more is e^-12 times less likely than the best one;
 the rest is verified on the full sets.  Where members of a bucket end up in different components,
 the members outside its largest component are then paired with all others in the bucket, so no
-candidate pair that could join two components stays unverified.
+candidate pair that could join two components stays unverified.  Before that, members are peeled
+off that provably have no link there: two sets of sizes a and b at the threshold share at least
+percent * (a + b) / (100 + percent) elements, so a member needs that many elements which other open
+members hold too; peeling is repeated, as elements lose their other holders.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ M, ROWS = 128, 4        # registers; registers per band: P(no shared band) at 0.
 BASE = 1.001
 LEVEL_0 = 8000          # level of a minimum of 1; levels span e^8 .. e^-57
 MARGIN = 12.0           # log-likelihood ratio below which an estimate rejects a pair
+PEELS = 2               # rounds of peeling; each is sound, more of them only prune more
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -126,6 +130,15 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(equal.astype(np.int32))], names=["u", "v", "equal"]).filter(pa.array(ok))
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = encode(batch.column("text"))
+        for a, b in slices(texts):
+            sets = shingle_sets(texts[a:b])
+            rows = pa.array(np.repeat(np.arange(a, b), [len(x) for x in sets]))
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(rows), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "h"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left, right = encode(batch.column("text_u")), encode(batch.column("text_v"))
@@ -166,10 +179,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         joined = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "n_u", "n_v", "regs_u", "regs_v")
         return scratch.put(name, joined.mapInArrow(_estimate, "u bigint, v bigint, equal int"))
 
+    # Texts of all bucket members, once; every later check reads this table.
+    texts = scratch.put("texts", docs.select(F.col("doc_id").alias("id"), "text").join(buckets.select("id").distinct(), "id", "left_semi"))
+
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        ids = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-        heads_ids = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
-        texts = scratch.put(f"{name}_texts", heads_ids)
         side = lambda s: texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
         joined = pairs.select("u", "v").join(side("u"), "u").join(side("v"), "v").select("u", "v", "text_u", "text_v")
         return scratch.put(name, joined.mapInArrow(_verify, "u bigint, v bigint").distinct())
@@ -197,9 +210,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     split = parts.groupBy("key").agg(F.max_by("component", "size").alias("big"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", "big")
     open_ = scratch.put("open", placed.join(split, "key"))
+    # Least overlap that any partner in the member's buckets would need.
+    least = open_.groupBy("key").agg(F.min("n").alias("least"))
+    alive = (open_.join(least, "key").groupBy("id").agg(F.max("n").alias("n"), F.min("least").alias("least"))
+             .select("id", "n", F.greatest("least", F.ceil(F.col("n") * PERCENT / 100)).alias("least")))
+    for k in range(PEELS):
+        held = texts.join(alive.select("id"), "id").mapInArrow(_elements, "id bigint, h bigint")
+        alone = (held.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).filter("k = 1")
+                 .groupBy("id").agg(F.count(F.lit(1)).alias("alone")))
+        shared = F.col("n") - F.coalesce("alone", F.lit(0))
+        alive = scratch.put(f"alive{k}", alive.drop("shared").join(alone, "id", "left").select("id", "n", "least", shared.alias("shared"))
+                            .filter(F.col("shared") * (100 + PERCENT) >= (F.col("n") + F.col("least")) * PERCENT))
+    open_ = open_.drop("n").join(alive.select("id", "n", "shared"), "id")
     a, b = open_.filter("component <> big").alias("a"), open_.alias("b")
+    possible = F.least("a.shared", "b.shared") * (100 + PERCENT) >= (F.col("a.n") + F.col("b.n")) * PERCENT
     crossing = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
-                       & ((F.col("b.component") == F.col("b.big")) | (F.col("a.id") < F.col("b.id"))) & enough(F.col("a.n"), F.col("b.n")))
+                       & ((F.col("b.component") == F.col("b.big")) | (F.col("a.id") < F.col("b.id"))) & enough(F.col("a.n"), F.col("b.n")) & possible)
                 .select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v")).distinct()
                 .join(stars.select("u", "v"), ["u", "v"], "left_anti"))
     rest = credible(crossing, "crossing")
