@@ -155,17 +155,6 @@ def infer_quantity(source, unit) -> Column:
             .when(s.contains("pulse"), "pulse"))
 
 
-def detect_metric(source, unit) -> Column:
-    """quantity_label for aggregate labels, the bare label otherwise; no suffix →
-    ``pulse_total`` for pulses, the quantity, or ``value``."""
-    s = col_of(source)
-    label = _first_rule(s)
-    q = infer_quantity(s, unit)
-    with_label = F.when(q.isNotNull() & label.isin(AGG_LABELS), F.concat(q, F.lit("_"), label)).otherwise(label)
-    no_label = F.when(q == "pulse", "pulse_total").otherwise(F.coalesce(q, F.lit("value")))
-    return F.when(label.isNotNull(), with_label).otherwise(no_label)
-
-
 def detect_phase(source) -> Column:
     """First phase hint contained in the source."""
     s = col_of(source)
@@ -188,22 +177,6 @@ def _is_gpm(unit) -> Column:
     return F.lower(F.coalesce(col_of(unit), F.lit(""))).contains("gpm")
 
 
-def named_stream_key(source, unit) -> Column:
-    """``flow_wyman[_label]`` / ``flow_bypass[_label]`` for the named hydro streams."""
-    s, gpm = col_of(source), _is_gpm(unit)
-    label = _first_rule(s)
-    agg = F.when(label.isin(AGG_LABELS), label)
-    wyman = s.contains("wyman") & s.contains("creek")
-    bypass_word = s.contains("by-pass") | s.contains("bypass")
-    bypass = (s.contains("f-1") & bypass_word) | (s.contains("reservoir") & bypass_word)
-    named = (F.when(wyman & agg.isNotNull(), F.concat(F.lit("flow_wyman_"), agg))
-             .when(wyman & gpm, F.lit("flow_wyman"))
-             .when(wyman, F.lit(None))
-             .when(bypass & agg.isNotNull(), F.concat(F.lit("flow_bypass_"), agg))
-             .when(bypass & gpm, F.lit("flow_bypass")))
-    return F.when(s.contains("flow") | gpm, named)
-
-
 def is_measurable(header) -> Column:
     """Header mentions pulse / power / flow / pressure / energy."""
     h = F.lower(F.coalesce(col_of(header), F.lit("")))

@@ -86,8 +86,14 @@ def is_finite(c) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
 
 
+_DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_RADIX = r"^0([xX][0-9a-fA-F]+|[oO][0-7]+|[bB][01]+)$"
+
+
 def parse_flag(value) -> Column:
-    """A finite number other than 0 → true; empty, text and quoted cells → false."""
-    n = js_trim(value).try_cast("double")
-    v = col_of(value)
-    return F.coalesce(is_finite(n) & (n != 0) & (js_trim(v) != ""), F.lit(False))
+    """A finite number other than 0 → true; empty, text and quoted cells → false.  Numbers are
+    decimals and 0x / 0o / 0b integers; a type suffix (``1d``) makes a text."""
+    v = js_trim(value)
+    n = F.when(v.rlike(_DECIMAL), v.try_cast("double"))
+    whole = v.rlike(_RADIX) & ~v.rlike(r"^0[xXoObB]0+$")
+    return F.coalesce((is_finite(n) & (n != 0)) | whole, F.lit(False))

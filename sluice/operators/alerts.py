@@ -39,9 +39,19 @@ def js_number_text(x: float) -> str:
 
 
 def to_fixed2(v) -> Column:
-    """``Number.prototype.toFixed(2)``: nearest hundredth, ties away from zero."""
-    mag = F.floor(F.abs(v) * 100.0 + 0.5) / 100.0
-    return F.format_string("%.2f", F.when(v < 0, -mag).otherwise(mag))
+    """``Number.prototype.toFixed(2)``: the hundredth nearest to the exact binary value (so 10.235,
+    which is stored a little below, gives 10.23), ties away from zero."""
+    x = F.abs(v)
+    product = x * F.lit(100.0)
+    # x * 100 = product + error exactly: x is split into halves whose products need no rounding.
+    c = x * F.lit(134217729.0)
+    high = c - (c - x)
+    error = (high * F.lit(100.0) - product) + (x - high) * F.lit(100.0)
+    whole = F.floor(product)
+    n = whole + F.when((product - whole) - F.lit(0.5) + error >= 0, 1).otherwise(0)
+    text = F.concat(F.floor(n / 100).cast("string"), F.lit("."), F.lpad(F.pmod(n, F.lit(100)).cast("string"), 2, "0"))
+    small = x < F.lit(1e13)
+    return F.when(small, F.concat(F.when((v < 0) & (n > 0), F.lit("-")).otherwise(F.lit("")), text)).otherwise(F.format_string("%.2f", v))
 
 
 # --- A1 / G1 ---------------------------------------------------------------------------
@@ -110,19 +120,30 @@ def below_threshold_rule(readings: DataFrame, ts_from, ts_to, *, threshold: floa
 # --- A5 ---------------------------------------------------------------------------------
 
 def sustained(evaluations: DataFrame, *, by: Sequence[str], ts: str = "tick", cond: str = "condition",
-              for_minutes: int) -> DataFrame:
+              for_minutes: int, slice_ms: int = 86_400_000) -> DataFrame:
     """A5 ``evaluate_for``: a rule fires at a tick once its condition has held at every tick
-    for at least ``for_minutes`` (gaps-and-islands over the evaluation ticks).
-
-    Ticks are the rule's own evaluations (one per interval), partitioned by rule; the running
-    count of false ticks numbers the islands of consecutive true ticks."""
-    w = Window.partitionBy(*by).orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = evaluations.withColumn("_island", F.sum(F.when(F.col(cond), 0).otherwise(1)).over(w))
-    wi = Window.partitionBy(*by, "_island").orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = x.withColumn("_since", F.min(F.when(F.col(cond), F.col(ts))).over(wi))
-    held = (F.unix_millis(F.col(ts)) - F.unix_millis("_since")) >= for_minutes * 60_000
-    return x.withColumn("firing", F.coalesce(F.col(cond) & held, F.lit(False))) \
-        .withColumn("pending", F.coalesce(F.col(cond) & ~held, F.lit(False))).drop("_island", "_since")
+    for at least ``for_minutes``.
+
+    A run of true ticks starts at the tick after the last false one.  Ticks are windowed by (rule,
+    time slice), so a rule's history is not one task; per slice only its first tick and the start
+    it leaves open are carried to the others (a row per rule and slice)."""
+    keys = [*by, "_slice"]
+    x = evaluations.withColumn("_slice", F.floor(F.unix_millis(F.col(ts)) / F.lit(slice_ms)))
+    within = Window.partitionBy(*keys).orderBy(ts)
+    slices = Window.partitionBy(*by).orderBy("_slice")
+    first = (x.groupBy(*keys).agg(F.min(ts).alias("_first"))
+             .withColumn("_after", F.lead("_first").over(slices)).withColumn("_origin", F.min("_first").over(Window.partitionBy(*by))))
+    held = F.coalesce(F.col(cond), F.lit(False))
+    x = (x.join(first.select(*keys, "_after", "_origin"), keys)
+         .withColumn("_start", F.when(~held, F.coalesce(F.lead(ts).over(within), F.col("_after")))))
+    left = (x.groupBy(*keys).agg(F.max("_start").alias("_open"))
+            .withColumn("_carried", F.max("_open").over(slices.rowsBetween(Window.unboundedPreceding, -1))))
+    running = F.max("_start").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    x = (x.withColumn("_run", running).join(left.select(*keys, "_carried"), keys)
+         .withColumn("_since", F.coalesce("_run", "_carried", "_origin")))
+    long_enough = (F.unix_millis(F.col(ts)) - F.unix_millis("_since")) >= for_minutes * 60_000
+    return (x.withColumn("firing", held & long_enough).withColumn("pending", held & ~long_enough)
+            .drop("_slice", "_after", "_origin", "_start", "_run", "_carried", "_since"))
 
 
 # --- T2 ---------------------------------------------------------------------------------
@@ -149,16 +170,17 @@ def water_due(schedule: DataFrame | None, as_of) -> DataFrame:
 
 def bundle(readings: DataFrame, schedule: DataFrame | None, as_of, *, stale_after_minutes: int = 240,
            hydro_recent_minutes: int = 60, hydro_min_kw: float = 5.0, alarm_lookback_minutes: int = 240,
-           alarm_limit: int = 40) -> DataFrame:
+           alarm_limit: int = 40, recent: DataFrame | None = None) -> DataFrame:
     """A7 + A8 + G9: one row with every section, the any-fire flag, the firing-section labels
-    and the cooldown fingerprint."""
+    and the cooldown fingerprint.  ``recent``: the readings for the alarm section, if the caller can
+    read fewer of them (a pruned scan that covers the look-back window)."""
     stale = stale_groups(readings, as_of, stale_after_minutes).agg(
         F.collect_list(F.struct("physical_group", "latest_ts")).alias("stale"))
     hydro = hydro_out(readings, as_of, recent_minutes=hydro_recent_minutes, min_kw=hydro_min_kw).agg(
         F.first(F.struct("value", "record_ts", "metric_key", "age_minutes", "recent", "fire", "reason"),
                 ignorenulls=True).alias("hydro"))
     water = water_due(schedule, as_of).select(F.struct("count", "skipped").alias("water"))
-    alarms = alarm_rows(readings, as_of, lookback_minutes=alarm_lookback_minutes, limit=alarm_limit).agg(
+    alarms = alarm_rows(readings if recent is None else recent, as_of, lookback_minutes=alarm_lookback_minutes, limit=alarm_limit).agg(
         F.collect_list(F.struct("serial", "metric_key", "record_ts", "low_alarm", "high_alarm",
                                 "physical_group")).alias("alarms"))
     # Each piece is one row: stack them and take the first non-null of each column (no join).

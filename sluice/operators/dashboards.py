@@ -141,13 +141,10 @@ def hud_series(readings: DataFrame, panel: str, interval: str, ts_from, ts_to) -
 
 
 def labelled_series(readings: DataFrame, panels: dict[str, str], interval: str, ts_from, ts_to) -> DataFrame:
-    """UNION ALL of labelled bucket series, done in one pass — each row is tagged with the
-    label of the panel it belongs to, then bucketed by (label, bucket)."""
-    label = None
-    for name, panel in panels.items():
-        cond = panel_predicate(panel)
-        label = F.when(cond, name) if label is None else label.when(cond, name)
-    rows = readings.where(in_range(ts_from, ts_to)).withColumn("metric", label).where(F.col("metric").isNotNull())
+    """UNION ALL of labelled bucket series, done in one pass — each row appears once
+    for every panel it belongs to, then rows are bucketed by (label, bucket)."""
+    labels = F.array_compact(F.array(*[F.when(panel_predicate(panel), F.lit(name)) for name, panel in panels.items()]))
+    rows = readings.where(in_range(ts_from, ts_to)).withColumn("metric", F.explode(labels))
     return (rows.groupBy(F.window("record_ts", interval).start.alias("time"), "metric")
             .agg(F.avg("metric_value").alias("value")))
 

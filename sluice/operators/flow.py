@@ -4,10 +4,10 @@ Scale notes
 -----------
 * ``flow_intervals`` needs each reading's predecessor in one global (ts, tiebreak) order.
   A ``Window.orderBy`` without ``partitionBy`` would pull the whole series into one task,
-  so the series is cut into time chunks (one day by default); chunks that hold more than
-  ``rows_per_chunk`` readings are split further into equal time slices.  ``lag`` runs per
-  chunk in parallel, and the first row of every chunk takes its predecessor from the last
-  row of the previous non-empty chunk (a carry table with one row per chunk).
+  so the series is cut into time slices (one hour by default), a key each row has by itself:
+  the first shuffle is already on (series, slice).  ``lag`` runs per slice in parallel, and the
+  first row of every slice takes its predecessor from the last row of the previous non-empty
+  slice (a carry table with one row per slice).
 * The monthly summary is a partial (map-side) aggregate keyed by month: its shuffle carries
   one row per (task, month).  The month spine is bounded by the report window (≤ 12 rows
   per year) and is the only side ever broadcast explicitly.
@@ -26,7 +26,7 @@ from sluice.functions.dates import (
     report_window, year_month_in_tz,
 )
 
-DAY_MS = 86_400_000
+HOUR_MS = 3_600_000
 
 
 # --- predicates -------------------------------------------------------------------------
@@ -108,7 +108,7 @@ def distinct_on_instant(rows: DataFrame, priority: Sequence[str] = ("flow_avg_A"
 
 def flow_intervals(rows: DataFrame, period_start, *, ts: str = "record_ts", value: str = "metric_value",
                    tiebreak: Sequence[str] = ("serial", "source_file_id"), series: Sequence[str] = (),
-                   chunk_ms: int = DAY_MS, rows_per_chunk: int = 2_000_000, scale: float = 1.0) -> DataFrame:
+                   slice_ms: int = HOUR_MS, scale: float = 1.0) -> DataFrame:
     """Gallons and minutes for every reading interval.
 
     Row i (in (ts, tiebreak) order within ``series``): the interval ends at its own
@@ -116,6 +116,10 @@ def flow_intervals(rows: DataFrame, period_start, *, ts: str = "record_ts", valu
     start at the previous reading and use the mean of both rates.  Negative intervals count
     0 gallons / 0 minutes and non-finite gallons count 0.  Adds ``gpm`` (scaled value),
     ``dt_minutes`` and ``gallons``.
+
+    Rows are windowed by (series, time slice), a key that each row has by itself, so the first
+    shuffle already spreads a busy day over its slices.  Between slices only the last row of each
+    is carried; their number follows the time span, not the number of rows.
     """
     scale = check_flow_scale(scale)
     start_ms = F.unix_millis(period_start if isinstance(period_start, Column)
@@ -124,26 +128,16 @@ def flow_intervals(rows: DataFrame, period_start, *, ts: str = "record_ts", valu
     order = [F.col(ts)] + [F.col(c) for c in tiebreak]
     base = (rows.withColumn("_t", epoch_ms(ts))
             .withColumn("gpm", F.col(value).cast("double") * F.lit(scale))
-            .withColumn("_chunk", F.floor(F.col("_t") / F.lit(chunk_ms))))
-
-    # Split hot chunks: k equal time slices for a chunk with n rows (k = ceil(n / rows_per_chunk)).
-    sizes = (base.groupBy(*series, "_chunk").count()
-             .select(*series, "_chunk",
-                     F.greatest(F.lit(1), F.ceil(F.col("count") / F.lit(rows_per_chunk))).alias("_k")))
-    base = base.join(sizes, [*series, "_chunk"])
-    base = base.withColumn(
-        "_slice", F.floor((F.col("_t") - F.col("_chunk") * F.lit(chunk_ms)) * F.col("_k") / F.lit(chunk_ms)))
-    part = [*series, "_chunk", "_slice"]
+            .withColumn("_slice", F.floor(F.col("_t") / F.lit(slice_ms))))
+    part = [*series, "_slice"]
 
     w = Window.partitionBy(*part).orderBy(*order)
     lagged = (base.withColumn("_pt", F.lag("_t").over(w))
               .withColumn("_pv", F.lag("gpm").over(w))
               .withColumn("_is_last", F.lead("_t").over(w).isNull()))
 
-    # Carry: last row of the previous non-empty chunk of the same series.  Taken from the
-    # same windowed frame, so both branches share one shuffle (exchange reuse).
-    ws = Window.partitionBy(*series).orderBy("_chunk", "_slice") if series else \
-        Window.orderBy("_chunk", "_slice")
+    # Carry: last row of the previous non-empty slice of the same series.
+    ws = Window.partitionBy(*series).orderBy("_slice") if series else Window.orderBy("_slice")
     carry = (lagged.where("_is_last")
              .select(*part, F.struct(F.col("_t").alias("t"), F.col("gpm").alias("v")).alias("_last"))
              .select(*part, F.lag("_last").over(ws).alias("_carry")))
@@ -160,7 +154,7 @@ def flow_intervals(rows: DataFrame, period_start, *, ts: str = "record_ts", valu
     return (x.withColumn("dt_minutes", F.when(dt_ms < 0, F.lit(0.0)).otherwise(dt_min))
             .withColumn("gallons", F.when(dt_ms < 0, F.lit(0.0))
                         .when(finite(gal), gal).otherwise(F.lit(0.0)))
-            .drop("_t", "_chunk", "_k", "_slice", "_pt", "_pv", "_carry", "_is_last"))
+            .drop("_t", "_slice", "_pt", "_pv", "_carry", "_is_last"))
 
 
 # --- K12 / G6 / G7 / J6 ---------------------------------------------------------------

@@ -61,21 +61,6 @@ def time_column(headers) -> Column:
     return F.coalesce(exact, lower, loose)
 
 
-def header_choice(line) -> Column:
-    """struct(delim, headers, is_header) for one candidate header line."""
-    tab_h = F.transform(split_tab(line), norm_csv_header)
-    csv_h = F.transform(split_csv(line), norm_csv_header)
-    semi_h = F.transform(split_semicolon(line), norm_csv_header)
-    has_tab = line.contains("\t")
-    semi_ok = line.contains(";") & ~line.contains(",")
-    delim = (F.when(has_tab & time_column(tab_h).isNotNull(), F.lit(TAB))
-             .when(time_column(csv_h).isNotNull(), F.lit(CSV))
-             .when(semi_ok & time_column(semi_h).isNotNull(), F.lit(SEMI))
-             .otherwise(F.lit(CSV)))
-    headers = F.when(delim == TAB, tab_h).when(delim == SEMI, semi_h).otherwise(csv_h)
-    return F.struct(delim.alias("delim"), headers.alias("headers"))
-
-
 @functools.lru_cache(maxsize=None)
 def _layout_stages() -> tuple[dict[str, Column], ...]:
     """File-level stages up to (mode, headers, delim, start); built once per process."""
@@ -136,7 +121,7 @@ def _layout_stages() -> tuple[dict[str, Column], ...]:
 
 @functools.lru_cache(maxsize=None)
 def _header_stages(strict: bool) -> tuple[dict[str, Column], ...]:
-    """Header-level stages: keys, specs and column indexes (evaluated per distinct layout)."""
+    """Header-level stages: keys, specs and column indexes (evaluated per file)."""
     h = F.col("headers")
     aliases = F.col("header_aliases") if strict else None
     expected = F.col("expected_headers") if strict else None

@@ -26,7 +26,8 @@ def run_alerts(spark: SparkSession, tables_root: str, as_of: _dt.datetime, *, st
     schedule = t.schedule.read() if t.schedule.current() is not None else None   # A6: skipped when absent
     b = al.bundle(t.readings_df(), schedule, as_of, stale_after_minutes=stale_after_minutes,
                   hydro_recent_minutes=hydro_recent_minutes, hydro_min_kw=hydro_min_kw,
-                  alarm_lookback_minutes=alarm_lookback_minutes, alarm_limit=alarm_limit)
+                  alarm_lookback_minutes=alarm_lookback_minutes, alarm_limit=alarm_limit,
+                  recent=t.readings_df(as_of - _dt.timedelta(minutes=alarm_lookback_minutes)))
     b = spark.createDataFrame(b.collect(), b.schema)   # one row: evaluate the bundle once
     decision, new_state = al.cooldown(b, t.alert_state.read(), as_of, cooldown_minutes=cooldown_minutes,
                                       force=force)

@@ -132,8 +132,15 @@ class IngestTables:
         self.schedule = Table(spark, f"{r}/schedule", SC.SCHEDULE, ["source_file"])
         self.alert_state = Table(spark, f"{r}/alert_state", SC.ALERT_STATE)
 
-    def readings_df(self) -> DataFrame:
-        return self.readings.read().drop("dt")
+    def readings_df(self, ts_from=None, ts_to=None) -> DataFrame:
+        """Stored readings; with bounds on ``record_ts`` only the partitions that can hold such rows
+        are read (days of any zone: a day wider on both sides).  The bounds prune, they do not filter."""
+        df = self.readings.read()
+        if ts_from is not None:
+            df = df.where(F.col("dt") >= F.date_sub(F.lit(ts_from).cast("timestamp").cast("date"), 1))
+        if ts_to is not None:
+            df = df.where(F.col("dt") <= F.date_add(F.lit(ts_to).cast("timestamp").cast("date"), 1))
+        return df.drop("dt")
 
 
 def with_dt(readings: DataFrame) -> DataFrame:
@@ -255,9 +262,12 @@ def reset(t: IngestTables) -> None:
 # --- K5 ------------------------------------------------------------------------------------
 
 def replace_schedule_files(t: IngestTables, rows: DataFrame, imported_files: Sequence[str], imported_at) -> None:
-    """K5: an import replaces every row of its source file (and nothing else); a file whose
-    import produced no rows is cleared."""
+    """K5: an import replaces every row of its source files (and nothing else); a file whose
+    import produced no rows is cleared.  The parsed rows are written once, apart, before any stored
+    row is touched: an import that fails leaves the table as it was."""
     rows = rows.withColumn("imported_at", F.lit(imported_at).cast("timestamp"))
-    present = {r.source_file for r in rows.select("source_file").distinct().collect()}  # ≤ imported files
-    emptied = [{"source_file": f} for f in imported_files if f not in present]
-    t.schedule.replace_partitions(rows.select(*SC.SCHEDULE.fieldNames()), emptied)
+    parsed = Table(t.schedule.spark, f"{t.schedule.path}_import", SC.SCHEDULE, ["source_file"])
+    parsed.replace(rows.select(*SC.SCHEDULE.fieldNames()))
+    new = parsed.read()
+    present = {r.source_file for r in new.select("source_file").distinct().collect()}  # ≤ imported files
+    t.schedule.replace_partitions(new, [{"source_file": f} for f in imported_files if f not in present])

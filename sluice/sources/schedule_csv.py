@@ -24,19 +24,16 @@ SCHEDULE_COLUMNS = ["ps_code", "group_name", "analyte_number", "analyte_name", "
                     "frequency_months", "next_due_date", "next_due_raw", "notes", "source_file"]
 
 
-def read_lines(spark: SparkSession, paths, max_file_bytes: int = 256 << 20) -> DataFrame:
-    """Whole text files → ``(source_file, line_no, line)``; 1-based over non-empty lines.
+def read_files(spark: SparkSession, paths) -> DataFrame:
+    """Whole text files → ``(source_file, text)``; ``source_file`` is the base name (imports
+    are keyed by file name)."""
+    return spark.read.text(paths, wholetext=True).select(
+        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file"), F.col("value").alias("text"))
 
-    ``source_file`` is the base name (the reference keys imports by file name).  Files above
-    ``max_file_bytes`` are rejected rather than truncated.
-    """
-    raw = spark.read.text(paths, wholetext=True).select(
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file"),
-        F.col("_metadata.file_size").alias("_size"), "value")
-    too_big = raw.where(F.col("_size") > max_file_bytes)
-    if too_big.limit(1).count():
-        raise ValueError(f"schedule file larger than {max_file_bytes} bytes")
-    return text_to_lines(raw.select("source_file", F.col("value").alias("text")))
+
+def read_lines(spark: SparkSession, paths) -> DataFrame:
+    """Whole text files → ``(source_file, line_no, line)``; 1-based over non-empty lines."""
+    return text_to_lines(read_files(spark, paths))
 
 
 def text_to_lines(files: DataFrame, key: str = "source_file", keep=lambda line: F.length(line) > 0) -> DataFrame:
@@ -58,21 +55,6 @@ def norm_header(c) -> Column:
 JOIN_SALTS = 32
 
 
-def join_header(body: DataFrame, heads: DataFrame, salts: int = JOIN_SALTS) -> DataFrame:
-    """Attach each file's header row to its lines.
-
-    A single file can hold most of an import's lines, so the join is salted: the header row
-    (one per file) is replicated ``salts`` times and every line picks one copy by a hash of its
-    line number — a hot file spreads over ``salts`` reducers instead of one (AQE still turns
-    the join into a broadcast when the header table is small)."""
-    h = heads.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    b = body.withColumn("_salt", F.pmod(F.xxhash64("line_no"), F.lit(salts)).cast("int"))
-    return b.join(h, ["source_file", "_salt"]).drop("_salt")
-
-
-JOIN_SALTS = 32
-
-
 def _spread(lines: DataFrame, spread: int | None) -> DataFrame:
     # Tokenizing is CPU-bound and a whole file arrives in one task: optionally re-distribute
     # the lines (an explicit partition count, which AQE keeps).
@@ -106,7 +88,7 @@ def parse_schedule(lines: DataFrame, spread: int | None = None) -> DataFrame:
     """R9: "last and next sample report" rows.
 
     Header = first line whose normalised cells include ``ps codes`` and ``next due``; files
-    without one produce no rows and are reported by ``schedule_header_missing``.  Only lines
+    without one produce no rows (the import job rejects them).  Only lines
     that mention both words are tokenized for the header search.
     """
     lines = _spread(lines, spread)
@@ -121,8 +103,33 @@ def parse_schedule(lines: DataFrame, spread: int | None = None) -> DataFrame:
     heads = heads.withColumn(
         "h_idx", F.map_from_arrays(F.transform("h_cells", norm_header),
                                    F.sequence(F.lit(0), F.size("h_cells") - 1)))
-    body = join_header(tok, heads).where(F.col("line_no") > F.col("h_line"))
+    return _schedule_rows(join_header(tok, heads).where(F.col("line_no") > F.col("h_line")))
+
+
+def parse_schedule_files(files: DataFrame) -> DataFrame:
+    """R9 over whole files ``(source_file, text)``: the header is looked up in the file's own array of
+    lines, so there is neither an aggregate nor a join.  A file without header gives one row with a
+    null ``ps_code`` and ``_no_header`` true."""
+    lines = F.filter(split_lines(strip_bom(F.col("text"))), lambda line: F.length(line) > 0)
+
+    def header(line: Column) -> Column:
+        low = F.lower(line)
+        names = F.transform(split_csv(line), norm_header)
+        return (F.when(low.rlike(r"ps\s+codes") & low.rlike(r"next\s+due"),
+                       F.array_contains(names, "ps codes") & F.array_contains(names, "next due")).otherwise(F.lit(False)))
 
+    f = files.select("source_file", lines.alias("_lines"))
+    f = f.withColumn("_at", F.array_position(F.transform("_lines", header), F.lit(True)).cast("int"))
+    names = F.transform(split_csv(F.try_element_at("_lines", F.col("_at"))), norm_header)
+    f = f.withColumn("h_idx", F.when(F.col("_at") > 0, F.map_from_arrays(names, F.sequence(F.lit(0), F.size(names) - 1))))
+    body = f.select("source_file", "h_idx", F.explode(F.slice("_lines", F.col("_at") + 1, F.size("_lines"))).alias("line"))
+    rows = _schedule_rows(body.where(F.col("h_idx").isNotNull()).withColumn("cells", split_csv("line")))
+    missing = f.where(F.col("_at") == 0).select("source_file").withColumn("_no_header", F.lit(True))
+    return rows.withColumn("_no_header", F.lit(False)).unionByName(missing, allowMissingColumns=True)
+
+
+def _schedule_rows(body: DataFrame) -> DataFrame:
+    """Schedule rows of lines that carry their cells and their file's name → position map."""
     fields = {"ps": "ps codes", "grp": "group name", "anum": "analyte number", "aname": "analyte name",
               "last": "last sampled", "freq": "frequency", "due": "next due", "notes": "notes"}
 
@@ -154,14 +161,6 @@ def parse_schedule(lines: DataFrame, spread: int | None = None) -> DataFrame:
     )
 
 
-def schedule_header_missing(lines: DataFrame) -> DataFrame:
-    """Files for which R9 finds no header row (the reference aborts such an import)."""
-    tok = lines.withColumn("cells", split_csv("line"))
-    norm = F.transform("cells", norm_header)
-    ok = tok.where(F.array_contains(norm, "ps codes") & F.array_contains(norm, "next due")).select("source_file")
-    return lines.select("source_file").distinct().join(ok.distinct(), "source_file", "left_anti")
-
-
 def is_analyte_header(c) -> Column:
     """Analyte column names."""
     n = norm_header(c)
@@ -181,17 +180,7 @@ def parse_lead_copper(lines: DataFrame, ps_code: str = "DST_LCR", spread: int |
     Header = first line (≥ 2 cells) with an analyte column ``a`` and a different due column
     ``b``; the smallest such ``a`` wins, then the smallest ``b``.
     """
-    tok = _spread(lines, spread).withColumn("cells", split_csv("line"))
-    flags = F.transform("cells", lambda c: F.struct(is_analyte_header(c).alias("a"), is_due_header(c).alias("d")))
-    idx = F.sequence(F.lit(0), F.size("cells") - 1)
-    # analyte candidates that have a due column at another position
-    due_pos = F.filter(idx, lambda j: flags[j]["d"])
-    a_pos = F.filter(idx, lambda i: flags[i]["a"]
-                     & (F.size(F.filter(due_pos, lambda j: j != i)) > 0))
-    col_a = F.array_min(a_pos)
-    col_d = F.array_min(F.filter(due_pos, lambda j: j != col_a))
-    tok = tok.withColumn("_ca", F.when(F.size("cells") >= 2, col_a)).withColumn("_cd", col_d)
-    heads = _first_header(tok, F.col("_ca").isNotNull(), {"col_a": F.col("_ca"), "col_d": F.col("_cd")})
+    tok, heads = _lead_copper_heads(_spread(lines, spread))
     body = join_header(tok.drop("_ca", "_cd"), heads).where(F.col("line_no") > F.col("h_line"))
     name = js_trim(F.try_element_at(F.col("cells"), F.col("col_a") + 1))
     due_raw = F.coalesce(F.try_element_at(F.col("cells"), F.col("col_d") + 1), F.lit(""))
@@ -208,3 +197,24 @@ def parse_lead_copper(lines: DataFrame, ps_code: str = "DST_LCR", spread: int |
         parsed["notes"].alias("notes"),
         "source_file",
     )
+
+
+def lead_copper_headers(lines: DataFrame) -> DataFrame:
+    """Header row per file of R10; files without one have no row."""
+    return _lead_copper_heads(lines)[1]
+
+
+def _lead_copper_heads(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(tokenized lines, header row per file) of R10."""
+    tok = lines.withColumn("cells", split_csv("line"))
+    flags = F.transform("cells", lambda c: F.struct(is_analyte_header(c).alias("a"), is_due_header(c).alias("d")))
+    idx = F.sequence(F.lit(0), F.size("cells") - 1)
+    # analyte candidates that have a due column at another position
+    due_pos = F.filter(idx, lambda j: flags[j]["d"])
+    a_pos = F.filter(idx, lambda i: flags[i]["a"]
+                     & (F.size(F.filter(due_pos, lambda j: j != i)) > 0))
+    col_a = F.array_min(a_pos)
+    col_d = F.array_min(F.filter(due_pos, lambda j: j != col_a))
+    tok = tok.withColumn("_ca", F.when(F.size("cells") >= 2, col_a)).withColumn("_cd", col_d)
+    heads = _first_header(tok, F.col("_ca").isNotNull(), {"col_a": F.col("_ca"), "col_d": F.col("_cd")})
+    return tok, heads

@@ -79,6 +79,28 @@ def test_sustained(spark):
     assert out == [False, False, False, False, True, False, False]
 
 
+def test_sustained_is_the_same_for_any_slice(spark):
+    import random
+    r = random.Random(4)
+    rows = [(k, NOW + dt.timedelta(minutes=15 * i), r.random() < 0.8) for k in ("a", "b") for i in range(200)]
+    ev = spark.createDataFrame(rows, "rule string, tick timestamp, condition boolean")
+    want, since = {}, {}
+    for k, t, c in rows:
+        since[k] = (since.get(k) or t) if c else None
+        want[k, t] = bool(c and t - since[k] >= dt.timedelta(minutes=60))
+    for ms in (60_000, 3_600_000, 10**12):
+        assert {(x.rule, x.tick): x.firing for x in al.sustained(ev, by=["rule"], for_minutes=60, slice_ms=ms).collect()} == want
+
+
+def test_fixed_two_decimals_follow_the_binary_value(spark):
+    cases = {10.235: "10.23", 1.005: "1.00", 8.345: "8.35", 0.125: "0.13", -0.125: "-0.13", 10.24: "10.24", 0.0: "0.00", 1e6 + 0.555: "1000000.56", -0.001: "0.00"}
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "x double, want string")
+    from decimal import ROUND_HALF_UP, Decimal
+    for r in df.select("x", "want", al.to_fixed2(F.col("x")).alias("got")).collect():
+        assert abs(Decimal(r.got)) == abs(Decimal(r.x)).quantize(Decimal("0.01"), ROUND_HALF_UP), (r.x, r.got)
+        assert r.got == r.want
+
+
 def test_alert_job_cooldown_state(spark, tmp_path):
     from sluice.plans.alerts_job import run_alerts
     from sluice.sinks.tables import IngestTables, with_dt

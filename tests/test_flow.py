@@ -65,15 +65,15 @@ def _global(rows):
     return dict(out)
 
 
-@pytest.mark.parametrize("rows_per_chunk", [2_000_000, 7])
-def test_chunked_equals_global(spark, rows_per_chunk):
+@pytest.mark.parametrize("slice_ms", [3_600_000, 60_000, 86_400_000])
+def test_chunked_equals_global(spark, slice_ms):
     rnd = random.Random(7)
     data = []
     for i in range(3000):
         ts = START + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 20), milliseconds=rnd.randint(0, 999))
         data.append((ts, round(rnd.uniform(0, 500), 2), f"S{rnd.randint(0, 2)}", rnd.randint(0, 9)))
     rows = _rows(spark, data)
-    iv = flow.flow_intervals(rows, F.lit(START), rows_per_chunk=rows_per_chunk, chunk_ms=3_600_000)
+    iv = flow.flow_intervals(rows, F.lit(START), slice_ms=slice_ms)
     got = {(r.record_ts, r.serial, r.source_file_id): r.gallons for r in iv.collect()}
     want = _global(data)
     assert got.keys() == want.keys()
@@ -88,3 +88,14 @@ def test_distinct_on_prefers_flow_avg_a(spark):
     ], "record_ts timestamp, metric_value double, serial string, source_file_id long, metric_key string")
     out = {r.record_ts.day: r.metric_value for r in flow.distinct_on_instant(rows).collect()}
     assert out == {2: 2.0, 3: 3.0}
+
+
+def test_first_shuffle_is_on_the_slice(spark):
+    rows = spark.createDataFrame([(dt.datetime(2024, 1, 1), 1.0, "a", 1)], "record_ts timestamp, metric_value double, serial string, source_file_id bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = flow.flow_intervals(rows, F.lit(START))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and all("_slice" in line for line in exchanges)

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -117,3 +119,50 @@ def test_split_csv_matches_quote_toggle_reader(spark, lines):
     got = {r.i: list(r.c) for r in df.select("i", split_csv("l").alias("c")).collect()}
     for i, l in enumerate(lines):
         assert got[i] == _js_split(l), l
+
+
+HEADER = "PS Codes,Group Name,Analyte Number,Analyte Name,Last Sampled,Frequency,Next Due,Notes"
+
+
+def _stored(t):
+    return sorted((r.source_file, r.ps_code, r.frequency_months, r.next_due_raw) for r in t.schedule.read().collect())
+
+
+def test_schedule_import_job(spark, tmp_path):
+    from sluice.plans.schedule_job import ImportRejected, import_schedule
+
+    root = str(tmp_path / "t")
+    t = IngestTables(spark, root)
+    good = tmp_path / "active.csv"
+    good.write_text("\ufefftitle,,\n\n" + HEADER + '\nP1,G,1,Iron,1-2-2024,12,Jan 2025,"a ""b"", c"\nP2,G,2,Lead,,,none,\n,skipped,,,,,,\n', encoding="utf-8")
+    assert import_schedule(spark, str(good), root).first()["count"] == 2
+    want = [("active.csv", "P1", 12, "Jan 2025"), ("active.csv", "P2", None, "none")]
+    assert _stored(t) == want
+    for bad in ("no header here\nP9,G,1,Iron,,1,,\n", HEADER + "\nP9,G,1,Iron,,1.5,,\n"):
+        good.write_text(bad)
+        with pytest.raises(ImportRejected):
+            import_schedule(spark, str(good), root)
+        assert _stored(t) == want
+    good.write_text(HEADER + "\nP3,G,1,Iron,,3,,\n")
+    other = tmp_path / "standby.csv"
+    other.write_text(HEADER + "\n")
+    import_schedule(spark, [str(good), str(other)], root)
+    assert _stored(t) == [("active.csv", "P3", 3, None)]
+    lead = tmp_path / "lead.csv"
+    lead.write_text("Metal,Sample Site,Next Sampling Due\nLead,x,01-31-2025\n")
+    import_schedule(spark, str(lead), root, kind="lead_copper")
+    assert len(_stored(t)) == 2
+    lead.write_text("nothing,useful\n")
+    with pytest.raises(ImportRejected):
+        import_schedule(spark, str(lead), root, kind="lead_copper")
+    assert len(_stored(t)) == 2
+
+
+def test_files_and_lines_give_the_same_rows(spark, tmp_path):
+    from sluice.sources import schedule_csv as R
+
+    f = tmp_path / "a.csv"
+    f.write_text("x\n" + HEADER + "\nP1,G,1,Iron,1-2-2024,12,Jan 2025,n\n" + HEADER + "\nP2,,,Lead,,bi,none,\n")
+    files = R.parse_schedule_files(R.read_files(spark, str(f))).drop("_no_header")
+    lines = R.parse_schedule(R.read_lines(spark, str(f)))
+    assert sorted(map(repr, files.collect())) == sorted(map(repr, lines.select(files.columns).collect()))
