@@ -171,7 +171,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                         .select("id", "n", "words", "regs").dropDuplicates(["id", "words"]))
 
     band = heads.select("id", "n", F.posexplode("regs").alias("no", "value")).select(F.xxhash64("no", "value").alias("key"), "id", "n")
-    firsts = band.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    firsts = scratch.put("firsts", band.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1"))
     buckets = scratch.put("buckets", band.join(firsts, "key"))
 
     def credible(pairs: DataFrame, name: str) -> DataFrame:

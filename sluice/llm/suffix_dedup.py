@@ -257,7 +257,8 @@ def repeated_spans(docs: DataFrame, tree_limit: int = TREE_LIMIT) -> tuple[DataF
     scratch = Scratch(docs.sparkSession, "suffix")
     rows = docs.select(*_row_key(F.col("doc_id"), F.col("text")), "doc_id", "text")
     anchors = rows.select("ua", "ub", "text").mapInArrow(_anchor_batches, _ANCHOR)
-    repeated = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    # A table of its own: the join with it is then one that Spark can split at a hot anchor string.
+    repeated = scratch.put("repeated", anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
     found = scratch.put("anchors", anchors.join(repeated, "gram"))
 
     kinds = found.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ua", "ub", "place")).alias("one"))
