@@ -188,3 +188,62 @@ def loose_documents(spark, sf_dir):
     return p.records.join(keys, "file_id").select(
         "object_key", "line_no", F.size("parsed").cast("int").alias("n_fields"),
         (kv | (F.size("parsed") == 0)).alias("key_value"))
+
+
+# --- headerless files: line items of an order as the data rows of one device file ----------------
+
+# Fixed value: the column order of the rendered headerless files.
+HEADERLESS_ORDER = ["time(UTC)", "error", "lowalarm", "highalarm", "F2 - Wyman Creek Flow Ave (Gpm)", "Hydro Plant Power Instantaneous (kW)"]
+
+_LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag", "l_discount"]
+
+
+def order_files(spark, sf_dir):
+    """One file per order without a header line, a row per line item.  Times come plain, past
+    midnight (hour 24) and with a zone; rows come whole, one cell short and one cell long."""
+    li = dt.table(spark, sf_dir, "lineitem")
+    day, n = F.col("l_shipdate").cast("timestamp"), F.col("l_linenumber").cast("int")
+    minute = F.lpad(n.cast("string"), 2, "0")
+    time = (F.when(n % 3 == 0, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T12:"), minute, F.lit(":00+01:00")))
+            .when(n % 3 == 1, F.concat(F.date_format(day, "yyyy-M-d"), F.lit(" 24:"), minute, F.lit(":00")))
+            .otherwise(F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 08:"), minute, F.lit(":00"))))
+    flag = F.col("l_returnflag")
+    cells = F.concat(
+        F.array(time, F.when(F.col("l_discount") > 0.05, "1").otherwise("0"), F.lit("0x0"),
+                F.when(flag == "N", "1d").otherwise("0x10"), F.col("l_quantity").cast("string")),
+        F.when(flag != "R", F.array(F.col("l_extendedprice").cast("string"))).otherwise(F.array()),
+        F.when(flag == "A", F.array(F.lit("99"))).otherwise(F.array()))
+    rows = li.select("l_orderkey", F.struct(*_LINE_ORDER, F.array_join(cells, "\t").alias("line")).alias("row"))
+    # An order has a handful of line items: its file is bounded.
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("row")), lambda x: x["line"]), "\n")
+    files = rows.groupBy("l_orderkey").agg(text.alias("text"))
+    key = F.concat(F.lit("log-gz/SN"), (F.col("l_orderkey") % 5).cast("string"), F.lit("/logger_mb-006_"),
+                   F.col("l_orderkey").cast("string"), F.lit(".log.gz"))
+    return files.select(key.alias("object_key"), F.lit("v1").alias("version_token"),
+                        F.lit("2024-02-01 00:00:00").cast("timestamp").alias("last_modified"), "text")
+
+
+@register("ingest_headerless", sql="""
+WITH l AS (SELECT *, CAST(l_shipdate AS TIMESTAMP) + to_minutes(CAST(l_linenumber AS BIGINT)) + CASE l_linenumber % 3
+                         WHEN 0 THEN INTERVAL 11 HOUR WHEN 1 THEN INTERVAL 24 HOUR ELSE INTERVAL 8 HOUR END AS record_ts,
+                  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+                                     l_extendedprice, l_shipdate, l_returnflag, l_discount) AS n
+           FROM lineitem),
+m AS (SELECT l_orderkey, n, record_ts, 'flow_wyman_avg' AS metric_key, l_quantity AS metric_value, 'Gpm' AS unit,
+             l_discount > 0.05 AS error_flag, l_returnflag <> 'N' AS high_alarm FROM l
+      UNION ALL
+      SELECT l_orderkey, n, record_ts, 'power_instantaneous', l_extendedprice, 'kW', l_discount > 0.05, l_returnflag <> 'N'
+      FROM l WHERE l_returnflag <> 'R'),
+f AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, record_ts, metric_key ORDER BY n) AS k FROM m)
+SELECT l_orderkey AS file_key, record_ts, metric_key, metric_value, unit, error_flag, FALSE AS low_alarm, high_alarm
+FROM f WHERE k = 1""")
+def ingest_headerless(spark, sf_dir):
+    """Files without a header line, parsed by their schema's column order."""
+    labels = C.default_labels(spark)
+    schema = labels.where("code = '006'").first().schema_id
+    p = parse_files(order_files(spark, sf_dir), labels, C.default_schemas(spark, {schema: HEADERLESS_ORDER}),
+                    ingested_at="2024-02-01 00:00:00")
+    keys = p.registry.select(F.col("file_id").alias("source_file_id"),
+                             F.regexp_extract("object_key", r"_(\d+)\.log", 1).cast("long").alias("file_key"))
+    return p.readings.join(keys, "source_file_id").select(
+        "file_key", "record_ts", "metric_key", "metric_value", "unit", "error_flag", "low_alarm", "high_alarm")
