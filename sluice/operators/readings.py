@@ -8,6 +8,7 @@ shuffle (W3) for the readings.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -48,13 +49,15 @@ DEFAULT_SOURCE = "acquisuite"
 
 
 def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, strict: bool = False,
-                ingested_at=None, source: str = DEFAULT_SOURCE, spread: int | None = None) -> Parsed:
+                ingested_at=None, source: str = DEFAULT_SOURCE, spread: int | None = None,
+                carry: Sequence[str] = ()) -> Parsed:
     """Parse decoded files ``(object_key, version_token, last_modified, text)``.
 
     ``spread``: re-distribute the files over that many tasks first.  Parsing is CPU-bound
     and a listing or a small input split can hold many files in one partition; an explicit
     partition count is kept as is by AQE (it would coalesce a count-free repartition of such
-    small-in-bytes data back into one task).
+    small-in-bytes data back into one task).  ``carry``: file columns (such as ``object_key``) that
+    records and readings keep, which saves a join with the registry.
     """
     if spread:
         files = files.repartition(int(spread))
@@ -66,13 +69,13 @@ def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, stri
     # structure_lines already drops failed files; the F4 (hasData) and F3 (timestamp)
     # conditions gate the melt itself.
     records = lines.select(
-        "file_id", "line_no", "raw_text", "parsed", "label_code", "label_name", "record_ts")
+        "file_id", "line_no", "raw_text", "parsed", "label_code", "label_name", "record_ts", *carry)
 
     melted = S.candidate_readings(lines, gate=F.col("has_data"))
     cand = S.candidate_readings(lines, gate=F.col("has_data") & F.col("record_ts").isNotNull()).select(
         F.col("file_id").alias("source_file_id"), "serial", "record_ts", "metric_key", "metric_value", "unit",
         "source_system", "error_flag", "low_alarm", "high_alarm", "device_address", "label_group",
-        "line_no", "col_idx")
+        "line_no", "col_idx", *carry)
     dedup = S.first_wins(cand)
     readings = dedup.select(
         "serial", "record_ts", "metric_key", "metric_value", "unit",
@@ -82,6 +85,7 @@ def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, stri
         "error_flag", "low_alarm", "high_alarm",
         F.coalesce(F.nullif("device_address", F.lit("")), F.lit("unknown")).alias("device_address"),
         physical_group("source_system", "label_group").alias("physical_group"),
+        *carry,
     )
 
     at = F.current_timestamp() if ingested_at is None else F.lit(ingested_at).cast("timestamp")

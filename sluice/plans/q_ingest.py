@@ -61,9 +61,9 @@ def event_files(spark, sf_dir):
                     ts.alias("last_modified"), text.alias("text"))
 
 
-def parsed(spark, sf_dir):
+def parsed(spark, sf_dir, carry=()):
     return parse_files(event_files(spark, sf_dir), C.default_labels(spark), C.default_schemas(spark),
-                       ingested_at="2024-02-01 00:00:00", spread=spark.sparkContext.defaultParallelism * 2)
+                       ingested_at="2024-02-01 00:00:00", spread=spark.sparkContext.defaultParallelism * 2, carry=carry)
 
 
 _KEY_SQL = """'log-gz/SN' || CAST(user_id % 5 AS VARCHAR) || '/' || strftime(ts, '%Y/%m/%d') || '/logger_mb-'
@@ -101,9 +101,8 @@ SELECT object_key, serial, record_ts, metric_key, {rnd('metric_value')} AS metri
 FROM r""")
 def ingest_readings(spark, sf_dir):
     """F1/F2 melt + S1/S2/S4/S13 + P1-P11 + J2/F4 (hasData) + W3 first-wins: parsed readings."""
-    p = parsed(spark, sf_dir)
-    keys = p.registry.select(F.col("file_id").alias("source_file_id"), "object_key")
-    return p.readings.join(keys, "source_file_id").select(
+    p = parsed(spark, sf_dir, carry=["object_key"])
+    return p.readings.select(
         "object_key", "serial", "record_ts", "metric_key", r("metric_value", 4).alias("metric_value"), "unit",
         "source_system", "error_flag", "low_alarm", "high_alarm", "device_address", "physical_group")
 
@@ -119,9 +118,8 @@ UNION ALL SELECT object_key, 3, {_MS}, 5 FROM ev WHERE event_type = 'signup'
 UNION ALL SELECT object_key, 1, ts, 3 FROM ev WHERE event_type = 'error'""")
 def ingest_records(spark, sf_dir):
     """K2 rows: one record per data line (line numbers over non-blank lines, header counted)."""
-    p = parsed(spark, sf_dir)
-    keys = p.registry.select("file_id", "object_key")
-    return p.records.join(keys, "file_id").select(
+    p = parsed(spark, sf_dir, carry=["object_key"])
+    return p.records.select(
         "object_key", "line_no", "record_ts", F.size("parsed").cast("int").alias("n_fields"))
 
 
@@ -242,8 +240,6 @@ def ingest_headerless(spark, sf_dir):
     labels = C.default_labels(spark)
     schema = labels.where("code = '006'").first().schema_id
     p = parse_files(order_files(spark, sf_dir), labels, C.default_schemas(spark, {schema: HEADERLESS_ORDER}),
-                    ingested_at="2024-02-01 00:00:00")
-    keys = p.registry.select(F.col("file_id").alias("source_file_id"),
-                             F.regexp_extract("object_key", r"_(\d+)\.log", 1).cast("long").alias("file_key"))
-    return p.readings.join(keys, "source_file_id").select(
-        "file_key", "record_ts", "metric_key", "metric_value", "unit", "error_flag", "low_alarm", "high_alarm")
+                    ingested_at="2024-02-01 00:00:00", carry=["object_key"])
+    return p.readings.select(
+        F.regexp_extract("object_key", r"_(\d+)\.log", 1).cast("long").alias("file_key"), "record_ts", "metric_key", "metric_value", "unit", "error_flag", "low_alarm", "high_alarm")
