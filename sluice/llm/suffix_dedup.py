@@ -176,21 +176,31 @@ def prefix_intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((x, first))
 
 
-def maximal_repeats(lefts: list[bytes], rights: list[bytes], length: int) -> Iterator[tuple[int, dict[int, int]]]:
-    """For each interval of suffixes with a common right context: its length and, for occurrences
-    that together with another one are repeated over ``length`` bytes, how far they extend left."""
+def maximal_repeats(lefts: list[bytes], rights: list[bytes], length: int) -> Iterator[tuple[int, int, list[int]]]:
+    """Maximal repeats of at least ``length`` bytes around the occurrences of an anchor string, as
+    (bytes to the left, bytes to the right, all occurrences).
+
+    Every interval of the suffix array is a set of occurrences with a common right context that no
+    longer context keeps together.  Within it, the left contexts sorted from right to left form
+    intervals too; such a group has differing bytes (or a text's start) before its common left
+    context - the left-extension diversity that makes a repeat maximal.  Groups that share more to
+    the right than the interval does belong to a deeper interval and are left to it."""
     order = sorted(range(len(rights)), key=rights.__getitem__)
+    rank = {x: k for k, x in enumerate(order)}
     back = [x[::-1] for x in lefts]
     lcp = [common_prefix(rights[a], rights[b]) for a, b in zip(order, order[1:])]
+    longest = max(map(len, lefts), default=0)
     for depth, first, last in prefix_intervals(lcp):
+        if depth + longest < length:
+            continue
         by_left = sorted(order[first:last + 1], key=back.__getitem__)
         shared = [common_prefix(back[a], back[b]) for a, b in zip(by_left, by_left[1:])]
-        reach = {i: max(shared[k - 1] if k else 0, shared[k] if k < len(shared) else 0) for k, i in enumerate(by_left)}
-        # Left-extension diversity: an interval whose occurrences all extend left without limit repeats
-        # as a whole; otherwise each occurrence extends as far as its nearest neighbour does.
-        found = {i: r for i, r in reach.items() if r + depth >= length}
-        if found:
-            yield depth, found
+        for reach, i, j in prefix_intervals(shared):
+            if reach + depth >= length:
+                group = by_left[i:j + 1]
+                ranks = [rank[x] for x in group]
+                if min(lcp[min(ranks):max(ranks)]) == depth:
+                    yield reach, depth, group
 
 
 def _tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,16 +210,13 @@ def _tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out: list[list] = [[], [], [], []]
 
     def scan() -> None:
-        best: dict[int, list[tuple[int, int]]] = {}
-        for depth, found in maximal_repeats([r[4] for r in rows], [r[5] for r in rows], LENGTH):
-            for i, reach in found.items():
-                if rows[i][0]:
-                    best.setdefault(i, []).append((reach, depth))
-        for i, spans in best.items():
-            for reach, depth in spans:
-                _, ua, ub, p, _, _ = rows[i]
-                for column, value in zip(out, (ua, ub, p - reach, p + depth)):
-                    column.append(value)
+        spans: set[tuple[int, int, int]] = set()
+        for reach, depth, group in maximal_repeats([r[4] for r in rows], [r[5] for r in rows], LENGTH):
+            spans.update((i, reach, depth) for i in group if rows[i][0])
+        for i, reach, depth in sorted(spans):
+            _, ua, ub, p, _, _ = rows[i]
+            for column, value in zip(out, (ua, ub, p - reach, p + depth)):
+                column.append(value)
 
     last = None
     for batch in batches:

@@ -163,6 +163,27 @@ def test_prefix_intervals_are_those_of_the_definition():
         assert got == want
 
 
+def test_maximal_repeats_are_those_of_the_definition():
+    r = random.Random(8)
+    for _ in range(40):
+        lefts = ["".join(r.choice("ab") for _ in range(r.randint(0, 5))).encode() for _ in range(r.randint(2, 9))]
+        rights = ["".join(r.choice("ab") for _ in range(r.randint(1, 5))).encode() for _ in lefts]
+        got = {(x, y, frozenset(g)) for x, y, g in S.maximal_repeats(lefts, rights, 3)}
+        want = set()
+        for x in range(6):
+            for y in range(6):
+                groups = {}
+                for k, (a, b) in enumerate(zip(lefts, rights)):
+                    if len(a) >= x and len(b) >= y:
+                        groups.setdefault((a[len(a) - x:], b[:y]), set()).add(k)
+                for g in groups.values():
+                    left = {lefts[k][len(lefts[k]) - x - 1:len(lefts[k]) - x] for k in g}
+                    right = {rights[k][y:y + 1] for k in g}
+                    if len(g) > 1 and x + y >= 3 and (len(left) > 1 or left == {b""}) and (len(right) > 1 or right == {b""}):
+                        want.add((x, y, frozenset(g)))
+        assert got == want
+
+
 # --- passages ---------------------------------------------------------------------------------
 
 def test_compact_windows_partition_all_long_runs():
