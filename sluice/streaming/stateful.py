@@ -21,6 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
+def in_order(pdfs: Iterator[pd.DataFrame], ts: str):
+    """Rows of one key in one micro-batch, in time order however Arrow has cut them up.  These are the
+    evaluations of a rule or an alert since the last trigger: a handful."""
+    return pd.concat(list(pdfs)).sort_values(ts, kind="stable").itertuples(index=False)
+
+
 def bucket_avg_stream(readings: DataFrame, interval: str = "1 hour", watermark: str = "2 hours",
                       by: tuple[str, ...] = ()) -> DataFrame:
     """G3 on a stream: average per (bucket, *by); a bucket is emitted once the watermark passes it."""
@@ -73,18 +79,17 @@ def cooldown_stream(bundles: DataFrame, cooldown_minutes: int = 360) -> DataFram
         (alert_key,) = key
         last_at, last_payload = state.get if state.exists else (None, None)
         out = []
-        for pdf in pdfs:
-            for row in pdf.sort_values("eval_ts").itertuples(index=False):
-                t = int(pd.Timestamp(row.eval_ts).value // 1_000_000)
-                if not row.any_fire:
-                    out.append((alert_key, row.eval_ts, False, "nothing_firing"))
-                    continue
-                same = last_payload is not None and last_payload == row.fingerprint
-                if same and last_at is not None and t - last_at < cool_ms:
-                    out.append((alert_key, row.eval_ts, False, "cooldown_same_bundle_payload"))
-                    continue
-                last_at, last_payload = t, row.fingerprint
-                out.append((alert_key, row.eval_ts, True, None))
+        for row in in_order(pdfs, "eval_ts"):
+            t = int(pd.Timestamp(row.eval_ts).value // 1_000_000)
+            if not row.any_fire:
+                out.append((alert_key, row.eval_ts, False, "nothing_firing"))
+                continue
+            same = last_payload is not None and last_payload == row.fingerprint
+            if same and last_at is not None and t - last_at < cool_ms:
+                out.append((alert_key, row.eval_ts, False, "cooldown_same_bundle_payload"))
+                continue
+            last_at, last_payload = t, row.fingerprint
+            out.append((alert_key, row.eval_ts, True, None))
         if last_at is not None:
             state.update((last_at, last_payload))
         if out:
@@ -105,16 +110,15 @@ def sustained_stream(evaluations: DataFrame, for_minutes: int) -> DataFrame:
         (rule,) = key
         (since,) = state.get if state.exists else (None,)
         out = []
-        for pdf in pdfs:
-            for row in pdf.sort_values("tick").itertuples(index=False):
-                t = int(pd.Timestamp(row.tick).value // 1_000_000)
-                if row.condition:
-                    since = t if since is None else since
-                    held = t - since >= need_ms
-                    out.append((rule, row.tick, True, held, not held))
-                else:
-                    since = None
-                    out.append((rule, row.tick, False, False, False))
+        for row in in_order(pdfs, "tick"):
+            t = int(pd.Timestamp(row.tick).value // 1_000_000)
+            if row.condition:
+                since = t if since is None else since
+                held = t - since >= need_ms
+                out.append((rule, row.tick, True, held, not held))
+            else:
+                since = None
+                out.append((rule, row.tick, False, False, False))
         state.update((since,))
         if out:
             yield pd.DataFrame(out, columns=["rule", "tick", "condition", "firing", "pending"])

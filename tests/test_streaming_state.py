@@ -57,3 +57,18 @@ def test_cooldown_and_sustained_streams(spark, tmp_path):
     es = spark.readStream.schema("rule string, tick timestamp, condition boolean").parquet(str(tmp_path / "e"))
     fired = [r.firing for r in _drain(sustained_stream(es, 60), "a5s").orderBy("tick").collect()]
     assert fired == [False, False, False, False, True, False, False]
+
+
+def test_result_does_not_depend_on_arrow_batches(spark, tmp_path):
+    rows = [("r", T0 + dt.timedelta(minutes=15 * i), True) for i in range(8)]
+    schema = "rule string, tick timestamp, condition boolean"
+    spark.createDataFrame(list(reversed(rows)), schema).coalesce(1).write.parquet(str(tmp_path / "e"))
+    fired = {}
+    for n in ("10000", "2"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+        try:
+            s = spark.readStream.schema(schema).parquet(str(tmp_path / "e"))
+            fired[n] = [r.firing for r in _drain(sustained_stream(s, 60), f"a5n{n}").orderBy("tick").collect()]
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert fired["2"] == fired["10000"] == [False] * 4 + [True] * 4
