@@ -35,6 +35,7 @@ SIZES = (4, 6, 9, 13, 19, 28, 42, 63, 95, 142, 213, 320, 480, 720, 1080)
 ANCHOR = 7
 BLOCK_WORDS = 500_000
 BLOOM_BITS = 22
+WALK_BYTES = 1 << 18        # bytes of text walked at a time: the walk's arrays stay in the cache
 
 MATCH = "struct<item_id:bigint,item_words:bigint,edits:bigint,start_word:bigint,end_word:bigint>"
 
@@ -88,17 +89,21 @@ def _plan(sizes: list[int]):
 
 def window_keys(lay: Layout, sizes: list[int]):
     """Yield (size, key of every anchor's window) for each repeat."""
-    ends = lay.end[lay.text]
+    step = np.empty(len(lay.at), np.uint64)
     for r, (odd, sampled) in enumerate(_plan(sizes)):
         cur = lay.at.copy()
         keys = {s: np.full(len(cur), np.uint64(s * 1000 + r)) for s in sizes}
         for t in range(max(sampled) + 1):
-            word = lay.hash[cur]
+            # The zero after a text has a bit of 0 in every step: no walk leaves its text.
+            np.take(lay.hash, cur, out=step, mode="clip")
             for s in sampled.get(t, ()):
-                keys[s] = (keys[s] ^ word) * np.uint64(0xBF58476D1CE4E5B9)
-                keys[s] ^= keys[s] >> np.uint64(31)
-            cur += ((word * odd[t]) >> np.uint64(63)).astype(np.int64)
-            np.minimum(cur, ends, out=cur)
+                k = keys[s]
+                k ^= step
+                k *= np.uint64(0xBF58476D1CE4E5B9)
+                k ^= k >> np.uint64(31)
+            step *= odd[t]
+            step >>= np.uint64(63)
+            cur += step.view(np.int64)
         for s in sizes:
             yield s, mix64(keys[s])
 
@@ -147,11 +152,33 @@ class Index:
                 found.update(zip(lay.text[who].tolist(), self.item[which].tolist(), (offset[who] - self.offset[which]).tolist()))
         return found
 
+    def possible(self, lay: Layout, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        """Candidates that the words leave possible: each item word that is absent from the words
+        looked at is an edit.  All candidates are counted together."""
+        if not found:
+            return found
+        text, item, start = np.array(found, np.int64).T
+        size = np.array([len(w) for w in self.words], np.int64)[item]
+        allowed = size * EDITS_PERCENT // 100
+        slack = allowed + allowed // 2 + 1
+        low = lay.first[text] + np.maximum(0, start - slack)
+        high = np.minimum(lay.first[text] + np.maximum(0, start + size + slack), lay.end[text])
+        seen = np.maximum(high - low, 0)
+        k = np.arange(len(found))
+        tag = mix64(k.astype(np.uint64) + np.uint64(1))
+        at = np.repeat(low - (np.cumsum(seen) - seen), seen) + np.arange(seen.sum())
+        have = np.sort(lay.hash[at] ^ np.repeat(tag, seen))
+        want = np.concatenate([self.words[i] for i in item.tolist()]) ^ np.repeat(tag, size)
+        spot = np.minimum(np.searchsorted(have, want), max(len(have) - 1, 0))
+        absent = np.bincount(np.repeat(k, size), weights=have[spot] != want if len(have) else np.ones(len(want)), minlength=len(found))
+        return [c for c, ok in zip(found, (absent <= allowed).tolist()) if ok]
+
     def matches(self, texts: list[bytes | None]) -> list[list[dict]]:
         lay = Layout(texts)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         tried: set[tuple[int, int, int]] = set()
-        for text, item, start in sorted(self.candidates(lay)):
+        found = sorted(self.candidates(lay))
+        for text, item, start in (c for k in range(0, len(found), 1 << 13) for c in self.possible(lay, found[k:k + (1 << 13)])):
             goal = self.words[item]
             allowed = len(goal) * EDITS_PERCENT // 100
             # Starts that differ by no more than the allowance look at nearly the same words.
@@ -223,7 +250,7 @@ def _remote(shared):
     @F.arrow_udf(f"array<{MATCH}>")
     def run(column: pa.Array) -> pa.Array:
         index, texts, out = shared.value, encode(column), []
-        for a, b in slices(texts):
+        for a, b in slices(texts, WALK_BYTES):
             out += index.matches(texts[a:b])
         return pa.array(out, pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "item_words", "edits", "start_word", "end_word")])))
 
