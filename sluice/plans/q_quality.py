@@ -58,6 +58,24 @@ def quality_run_stats(spark, sf_dir):
     return qa.run_stats(ob.newest_first(dt.objects(spark, sf_dir), K), dt.checkpoints(spark, sf_dir))
 
 
+@register("quality_run_outcome", sql=with_views("objects") + """
+, o AS (SELECT version_token = 'F' AS done, size FROM objects)
+SELECT CAST(count(*) AS BIGINT) AS listed, CAST(count(*) FILTER (WHERE done) AS BIGINT) AS skipped,
+       CAST(count(*) FILTER (WHERE NOT done AND size % 11 <> 0 AND size % 7 <> 0) AS BIGINT) AS succeeded,
+       CAST(count(*) FILTER (WHERE NOT done AND size % 11 <> 0 AND size % 7 = 0) AS BIGINT) AS failed,
+       CAST(count(*) FILTER (WHERE NOT done AND size % 11 = 0) AS BIGINT) AS pending,
+       bool_and(done) AS all_skipped
+FROM o""")
+def quality_run_outcome(spark, sf_dir):
+    """G8 + J1 without a batch limit: a run over every object that is not checkpointed, some of which
+    failed to parse (sizes divisible by 7) or were not reached (by 11)."""
+    listed, done = dt.objects(spark, sf_dir), dt.checkpoints(spark, sf_dir)
+    todo = ob.select_batch(listed, done, None)
+    registry = todo.where(F.col("size") % 11 != 0).select(
+        "object_key", "version_token", F.when(F.col("size") % 7 == 0, "error").otherwise("parsed").alias("parse_status"))
+    return qa.run_stats(listed, done, registry)
+
+
 _T0 = utc_of_local(f"{YEAR}-01-01 00:00:00")
 _T1 = utc_of_local("2024-04-01 00:00:00")
 
