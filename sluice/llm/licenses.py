@@ -1,6 +1,6 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates (DataFrame functions only).
 
-Every line of a text, and the text as a whole, is normalised (A-Z lower-cased, ASCII punctuation to
+Every line of a text, and the text as a whole, is normalised (lower-cased, ASCII punctuation to
 spaces) and turned into its set of word bigrams.  With sizes a and b, Dice = 2|A n B| / (a + b) can
 reach t only if a lies between b*t/(2-t) and b*(2-t)/t, so only templates of a fitting size are
 compared.  The scan is one pass over the rows without any shuffle; templates are a fixed, small list
@@ -14,8 +14,6 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import lower_az
-
 THRESHOLD = 0.75
 
 # Wording of well-known public licence notices.
@@ -48,7 +46,7 @@ _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(lower_az(text), _SEPARATORS), lambda w: w != "")
+    return F.filter(F.split(F.lower(text), _SEPARATORS), lambda w: w != "")
 
 
 def bigrams(w: Column) -> Column:
@@ -74,11 +72,13 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[st
     sizes = [len(g) for _, g in grams]
     low, high = min(sizes) * threshold / (2 - threshold), max(sizes) * (2 - threshold) / threshold
     lines = F.split("text", "\n")
-    units = F.concat(
-        F.transform(lines, lambda x, i: F.struct((i + 1).alias("line_no"), words(x).alias("w"))),
-        F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("line_no"), words(F.col("text")).alias("w")))).otherwise(F.array()))
-    # All in one generator, so that no filter is pushed below it and no step is computed twice.
-    units = F.filter(units, lambda u: F.size(u["w"]) > F.lit(low))
+    by_line = F.transform(lines, lambda x, i: F.struct((i + 1).alias("line_no"), words(x).alias("w")))
+    # The text as a whole has its lines' words in a row; a lambda names the lines, so they are split once.
+    whole = lambda us: F.array(F.struct(F.lit(0).alias("line_no"), F.flatten(F.transform(us, lambda u: u["w"])).alias("w")))
+    units = F.element_at(F.transform(F.array(by_line), lambda us: F.concat(us, F.when(F.size(us) > 1, whole(us)).otherwise(F.array()))), 1)
+    # All in one generator, so that no filter is pushed below it and no step is computed twice.  A set
+    # of bigrams is no larger than the number of words less one, and no smaller than that of distinct words.
+    units = F.filter(units, lambda u: (F.size(u["w"]) > F.lit(low)) & ((F.size(u["w"]) - 1 <= F.lit(high)) | (F.size(F.array_distinct(u["w"])) - 1 <= F.lit(high))))
     units = F.transform(units, lambda u: F.struct(u["line_no"].alias("line_no"), bigrams(u["w"]).alias("grams")))
     units = F.filter(units, lambda u: F.size(u["grams"]).between(F.lit(low), F.lit(high)))
     sets = (docs.filter(F.col("text").isNotNull()).select("doc_id", F.explode(units).alias("u"))

@@ -99,7 +99,7 @@ def _license_sql() -> str:
     from sluice.llm.licenses import TEMPLATES, THRESHOLD
 
     rows = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(TEMPLATES))
-    words = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"
+    words = "regexp_extract_all(lower({}), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"
     grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
     return f"""
 WITH t AS (SELECT id, license, {grams} AS g FROM (SELECT id, license, {words.format("body")} AS w FROM (VALUES {rows}) v(id, license, body))),
