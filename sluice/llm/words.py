@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
