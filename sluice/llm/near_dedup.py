@@ -210,18 +210,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     split = parts.groupBy("key").agg(F.max_by("component", "size").alias("big"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", "big")
     open_ = scratch.put("open", placed.join(split, "key"))
-    # Least overlap that any partner in the member's buckets would need.
-    least = open_.groupBy("key").agg(F.min("n").alias("least"))
-    alive = (open_.join(least, "key").groupBy("id").agg(F.max("n").alias("n"), F.min("least").alias("least"))
-             .select("id", "n", F.greatest("least", F.ceil(F.col("n") * PERCENT / 100)).alias("least")))
     for k in range(PEELS):
-        held = texts.join(alive.select("id"), "id").mapInArrow(_elements, "id bigint, h bigint")
+        held = texts.join(open_.select("id").distinct(), "id").mapInArrow(_elements, "id bigint, h bigint")
         alone = (held.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).filter("k = 1")
                  .groupBy("id").agg(F.count(F.lit(1)).alias("alone")))
-        shared = F.col("n") - F.coalesce("alone", F.lit(0))
-        alive = scratch.put(f"alive{k}", alive.drop("shared").join(alone, "id", "left").select("id", "n", "least", shared.alias("shared"))
-                            .filter(F.col("shared") * (100 + PERCENT) >= (F.col("n") + F.col("least")) * PERCENT))
-    open_ = open_.drop("n").join(alive.select("id", "n", "shared"), "id")
+        # The smallest partner that a member can have in a bucket asks for the least overlap.
+        least = open_.groupBy("key").agg(F.min("n").alias("least"))
+        partner = F.greatest("least", F.ceil(F.col("n") * PERCENT / 100))
+        able = (open_.drop("shared").join(alone, "id", "left").join(least, "key")
+                .withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
+                .filter(F.col("shared") * (100 + PERCENT) >= (F.col("n") + partner) * PERCENT).drop("alone", "least"))
+        # Buckets in which one component is left are settled, and support no one any more.
+        still = (able.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                 .filter("lo <> hi").select("key"))
+        open_ = scratch.put(f"open{k}", able.join(still, "key"))
     a, b = open_.filter("component <> big").alias("a"), open_.alias("b")
     possible = F.least("a.shared", "b.shared") * (100 + PERCENT) >= (F.col("a.n") + F.col("b.n")) * PERCENT
     crossing = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
