@@ -245,3 +245,27 @@ def test_passages_of_messy_rows(spark):
     assert {1, 2, 6, 7, 9} <= named and not named & {3, 4, 5, 8, 10, 11, 12, 13, 14}
     assert P.near_duplicate_passages(empty(spark)).collect() == []
     assert Words([b"", None], white_table()).n == 0
+
+
+def test_equal_passages_beside_an_edited_first_one(spark):
+    # Document a holds b's passage with words replaced: below the threshold, yet with common window keys.
+    r = random.Random(3)
+    rows, lost = [], 0
+    for g in range(60):
+        words = sentences(8000 + g, 52).split()
+        edited = list(words)
+        for k in r.sample(range(52), 3 + g % 4):
+            edited[k] = "edit%d" % k
+        for k, passage in enumerate((edited, words, words)):
+            rows.append((3 * g + k, " ".join([sentences(10 * g + k + 20000, 40), *passage, sentences(10 * g + k + 30000, 40)])))
+    out = {(r.first_id, r.doc_id) for r in P.near_duplicate_passages(docs(spark, rows)).collect()}
+    for g in range(60):
+        a, b, c = 3 * g, 3 * g + 1, 3 * g + 2
+        lost += not ((b, c) in out or {(a, b), (a, c)} <= out)
+    assert lost == 0
+
+
+def test_common_line_in_different_texts_ends(spark):
+    line = sentences(77, 12)
+    rows = [(k, " ".join([sentences(40000 + k, 60), line, sentences(50000 + k, 60)])) for k in range(150)]
+    assert P.near_duplicate_passages(docs(spark, rows)).collect() == []
