@@ -99,7 +99,7 @@ def mix(docs: DataFrame, carry: list[str] | None = None, weights=WEIGHTS, slopes
     def copy(epoch: int) -> Column:
         at = start + F.col("source_size") * epoch
         words = F.greatest(F.lit(0), F.least(F.col("size"), wanted - at)).cast("long")
-        return F.struct(F.lit(epoch).alias("epoch"), demand_time(at / F.col("target"), F.col("slope")).alias("position"), words.alias("words"))
+        return F.struct(F.lit(epoch).alias("epoch"), demand_time(F.try_divide(at, F.col("target")), F.col("slope")).alias("position"), words.alias("words"))
 
     copies = F.filter(F.array(*[copy(e) for e in range(max_copies)]), lambda c: c["words"] > 0)
     return (rows.withColumn("copies", copies)

@@ -49,6 +49,13 @@ def test_mix_sources_get_their_targets(spark):
     assert mix(empty(spark)).collect() == [] and training_order(mix(empty(spark))).collect() == []
 
 
+def test_mix_of_a_source_without_words(spark):
+    rows = [(1, None, "en", "void"), (2, "", "en", "void"), (3, " \n", "en", "void"), (4, sentences(4, 30), "en", "full")]
+    out = {r.doc_id: r for r in mix(docs(spark, rows)).collect()}
+    assert [(out[k].taken, out[k].target, out[k].copies) for k in (1, 2, 3)] == [(0, 0.0, [])] * 3 and out[4].taken == 45
+    assert [(r.doc_id, r.epoch, r.words) for r in training_order(mix(docs(spark, rows))).collect()] == [(4, 0, 30), (4, 1, 15)]
+
+
 def test_demand_time_inverts_the_integral(spark):
     for a in (0.5, 0.0, -0.5):
         for t in (0.0, 0.1, 0.7, 1.0):
