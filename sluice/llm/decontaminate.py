@@ -12,6 +12,9 @@ samples ``SAMPLED`` emissions per window size; a document window whose samples e
 candidate.  Candidates are verified by the exact semi-global word edit distance between the item
 and the document around the place it should stand at.
 
+Items of fewer than ``MIN_WORDS`` words are searched too, by the hash of their whole run of words
+and without edits.  Characters of scripts written without blanks are words of their own.
+
 Unedited passages are always found (equal windows have equal anchors and walks); the repeats are
 chosen so that at the full allowance of edits the measured recall is above 0.9 (see the tests).
 
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.words import Words, encode, mix64, punctuation_table, slices
 
-MIN_WORDS = 10              # items of fewer words are no evidence and are not searched
+MIN_WORDS = 10              # items of fewer words are searched without edits
 EDITS_PERCENT = 15          # edits allowed, as a share of the item's words
 REPEATS, SAMPLED = 4, 4
 SIZES = (4, 6, 9, 13, 19, 28, 42, 63, 95, 142, 213, 320, 480, 720, 1080)
@@ -44,7 +47,7 @@ class Layout:
     """Word hashes of texts with a zero after each text, and the anchors."""
 
     def __init__(self, texts: list[bytes | None]):
-        w = Words(texts, punctuation_table())
+        w = Words(texts, punctuation_table(), True)
         self.count, self.first = w.count, w.first + np.arange(len(texts))
         self.hash = np.zeros(w.n + len(texts), np.uint64)
         place = np.arange(w.n) + w.text
@@ -71,6 +74,14 @@ class Layout:
         return self.hash[a + max(0, start):min(a + end, self.end[text])]
 
 
+def run_keys(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each run of n words."""
+    k = np.zeros(max(0, len(hashes) - n + 1), np.uint64)
+    for j in range(n):
+        k = mix64(k + hashes[j:len(k) + j])
+    return k
+
+
 def _plan(sizes: list[int]):
     """For each repeat: multipliers of its steps, and which sizes sample which step."""
     out = []
@@ -121,6 +132,12 @@ class Index:
         self.words = [lay.words(i, 0, int(lay.count[i])) for i in range(len(texts))]
         use = [i for i in range(len(texts)) if lay.count[i] >= MIN_WORDS]
         self.ids = ids
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by number of words: run hashes and items
+        for n in sorted({len(w) for w in self.words if 0 < len(w) < MIN_WORDS}):
+            items = np.array([i for i, w in enumerate(self.words) if len(w) == n])
+            runs = np.array([run_keys(self.words[i], n)[0] for i in items], np.uint64)
+            order = np.argsort(runs, kind="stable")
+            self.short[n] = runs[order], items[order]
         per_item = {i: set(item_sizes(int(lay.count[i]))) for i in use}
         self.sizes = sorted(set().union(*per_item.values())) if per_item else []
         keys, items, offsets = [], [], []
@@ -152,6 +169,21 @@ class Index:
                 found.update(zip(lay.text[who].tolist(), self.item[which].tolist(), (offset[who] - self.offset[which]).tolist()))
         return found
 
+    def exact(self, lay: Layout) -> dict[tuple[int, int], tuple[int, int, int]]:
+        """First place of each short item in each text."""
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for n, (runs, items) in self.short.items():
+            k = run_keys(lay.hash, n)
+            lo, hi = np.searchsorted(runs, k, "left"), np.searchsorted(runs, k, "right")
+            at = np.flatnonzero(hi > lo)
+            text = np.searchsorted(lay.first, at, "right") - 1
+            _, once = np.unique(np.stack([text, lo[at]]), axis=1, return_index=True)
+            for p, t in zip(at[once].tolist(), text[once].tolist()):
+                for i in items[lo[p]:hi[p]].tolist():
+                    if np.array_equal(lay.hash[p:p + n], self.words[i]):
+                        best[t, i] = (0, p - int(lay.first[t]), p - int(lay.first[t]) + n)
+        return best
+
     def possible(self, lay: Layout, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Candidates that the words leave possible: each item word that is absent from the words
         looked at is an edit.  All candidates are counted together."""
@@ -175,7 +207,7 @@ class Index:
 
     def matches(self, texts: list[bytes | None]) -> list[list[dict]]:
         lay = Layout(texts)
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        best = self.exact(lay)
         tried: set[tuple[int, int, int]] = set()
         found = sorted(self.candidates(lay))
         for text, item, start in (c for k in range(0, len(found), 1 << 13) for c in self.possible(lay, found[k:k + (1 << 13)])):
@@ -216,10 +248,15 @@ def edit_match(goal: np.ndarray, words: np.ndarray, allowed: int) -> tuple[int,
     return (edits, int(n - row[end] % scale), end) if edits <= allowed else None
 
 
+# All but the characters that are words of their own.
+_SPACED = r"[^\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3000-\u9FFF\uF900-\uFAFF\uFF00-\uFFFF\x{20000}-\x{3FFFF}]"
+
+
 def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[Index]:
     """Indexes of the benchmark's items, each of at most about ``block_words`` words."""
     items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct()
-    size = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    characters = F.length(F.regexp_replace("text", _SPACED, ""))
+    size = items.agg(F.sum(F.size(F.split("text", r"\s+")) + characters)).first()[0] or 0
     n = -(-size // block_words)
     blocks = []
     for k in range(n):
@@ -232,9 +269,11 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, column: str = "matches")
     """All rows and columns of ``docs`` plus an array of the benchmark items found in the text: item_id,
     item_words, edits, and the matching run of words (start_word, end_word).
 
-    Words are runs of ASCII letters and digits and of characters above ASCII, A-Z lower-cased.  An
+    Words are runs of ASCII letters and digits and of characters above ASCII, A-Z lower-cased; each
+    character of Thai, Lao, Myanmar, Khmer, Kana and Han is a word.  An
     item is reported once per row, with its best match (fewest edits, then first).  Items that are
-    null, have a null id or fewer than ``MIN_WORDS`` words are not searched; items that share an id
+    null, have a null id or no word are not searched, those of fewer than ``MIN_WORDS`` words are
+    found unedited only; items that share an id
     are searched each.  Null and empty texts have no matches.  Rows are judged one by one, so null
     and repeated doc_ids change nothing.  An empty benchmark gives empty arrays, an empty table an
     empty result.  A column that is already called ``column`` is replaced.

@@ -43,6 +43,23 @@ def punctuation_table() -> np.ndarray:
     return t
 
 
+def character_edges(b: np.ndarray) -> np.ndarray | None:
+    """Places in UTF-8 bytes where a character of a script written without blanks (Thai, Lao, Myanmar,
+    Khmer, Kana, Han and their punctuation) starts or has just ended; None if there are none."""
+    lead = np.flatnonzero(b >= 0xE0)
+    lead = lead[lead + 2 < len(b)]
+    x, y, z = b[lead], b[lead + 1], b[lead + 2]
+    four = (x == 0xF0) & (y >= 0xA0)
+    ok = (((x == 0xE0) & (y >= 0xB8) & (y <= 0xBB)) | ((x == 0xE1) & ((y < 0x82) | ((y == 0x82) & (z < 0xA0)) | (y == 0x9E) | (y == 0x9F)))
+          | ((x >= 0xE3) & (x <= 0xE9)) | ((x == 0xEF) & (((y >= 0xA4) & (y <= 0xAB)) | (y >= 0xBC))) | four)
+    if not ok.any():
+        return None
+    edge = np.zeros(len(b) + 4, bool)
+    edge[lead[ok]] = True
+    edge[lead[ok] + 3 + four[ok]] = True
+    return edge[:len(b)]
+
+
 def lower_bytes(b: np.ndarray) -> np.ndarray:
     return b + ((b >= 65) & (b <= 90)).astype(np.uint8) * np.uint8(32)
 
@@ -67,7 +84,8 @@ _POW = np.cumprod(np.full(64, 0xD6E8FEB86659FD93, np.uint64), dtype=np.uint64)
 class Words:
     """Words of some texts: byte range, text and 64-bit hash of each, in order."""
 
-    def __init__(self, texts: list[bytes | None], separators: np.ndarray):
+    def __init__(self, texts: list[bytes | None], separators: np.ndarray, characters: bool = False):
+        """With ``characters`` each character of a script written without blanks is a word."""
         lens = np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts))
         # A separator stands between texts, so that no word crosses.
         self.buf = b = lower_bytes(np.frombuffer(b" ".join([t or b"" for t in texts]) + b" ", np.uint8))
@@ -75,6 +93,10 @@ class Words:
         sep = separators[b]
         edge = np.flatnonzero(np.diff(np.concatenate(([True], sep, [True])).astype(np.int8)))
         self.start, self.end = edge[0::2], edge[1::2]
+        cut = character_edges(b) if characters else None
+        if cut is not None:
+            within = np.flatnonzero(cut[1:] & ~sep[1:] & ~sep[:-1]) + 1
+            self.start, self.end = np.sort(np.concatenate((self.start, within))), np.sort(np.concatenate((self.end, within)))
         self.text = np.searchsorted(self.base, self.start, "right") - 1
         self.n = len(self.start)
         self.count = np.bincount(self.text, minlength=len(texts)) if self.n else np.zeros(len(texts), np.int64)

@@ -161,3 +161,16 @@ def test_blocks_give_the_same(spark, block, monkeypatch):
     rows = [(k, sentences(k, 20) + " " + t) for k, t in items]
     out = D.with_matches(docs(spark, rows), bench(spark, items)).collect()
     assert all([m.item_id for m in r.matches] == [r.doc_id] for r in out)
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    han = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(1, 41))
+    thai = "".join(chr(0x0E01 + 7 * k % 45) for k in range(1, 31))
+    items = bench(spark, [(1, "Who wrote it?"), (2, "who wrote it"), (3, han), (4, "東京はどこ"), (5, thai), (6, "...")])
+    edited = han[:20] + chr(0x9F00) + han[21:]
+    rows = [(1, "x y z who WROTE, it today"), (2, "who wrote that"), (3, "前" * 30 + edited + "後" * 30), (4, "我说東京はどこで"),
+            (5, "กข " * 20 + thai + "ฃ" * 9), (6, "who wrote"), (7, "it was who wrote"), (8, ""), (9, "... it")]
+    out = {r.doc_id: [(m.item_id, m.edits, m.start_word, m.end_word) for m in r.matches] for r in D.with_matches(docs(spark, rows), items).collect()}
+    assert out[1] == [(1, 0, 3, 6), (2, 0, 3, 6)]
+    assert [m[:2] for m in out[3]] == [(3, 1)] and out[4] == [(4, 0, 2, 7)] and [m[:2] for m in out[5]] == [(5, 0)]
+    assert not any(out[k] for k in (2, 6, 7, 8, 9))
