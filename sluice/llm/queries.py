@@ -210,3 +210,54 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.substring_dedup import near_duplicate_passages
 
     return near_duplicate_passages(common.table(spark, sf_dir, "documents"))
+
+
+def _merkle_sql(levels: int = 8) -> str:
+    """Eight levels a tree (16 million leaves a language), then as many over the languages."""
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode({0}::VARCHAR)) || ':' || {0}::VARCHAR END"
+    leaf = lambda text: "sha256(concat({}))".format(", ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)))
+    parts = [f"""
+crc AS (SELECT doc_id AS id, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+               lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+               lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END), 4294967295) % 3 = 0 AS hit
+        FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+d AS (SELECT doc_id, lang, {leaf("text")} AS leaf,
+             CASE WHEN hit THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other
+      FROM documents LEFT JOIN crc ON doc_id = id),
+p0 AS (SELECT doc_id, lang, leaf, coalesce(other, leaf) AS fold, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, '' AS proof FROM d),
+n0 AS (SELECT lang, i, leaf AS h FROM p0)"""]
+
+    def climb(n: str, p: str, group: str, same: str, k: int) -> str:
+        return f"""
+{n}{k + 1} AS (SELECT {group}, i // 8 AS i, CASE WHEN any_value(c) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+        FROM (SELECT *, count(*) OVER (PARTITION BY {group}) AS c FROM {n}{k}) GROUP BY {group}, i // 8),
+{n}w{k} AS (SELECT a.*, coalesce(string_agg(a.h, '') OVER (PARTITION BY {group}, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+               coalesce(string_agg(a.h, '') OVER (PARTITION BY {group}, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after,
+               count(*) OVER (PARTITION BY {group}) AS c FROM {n}{k} a),
+{p}{k + 1} AS (SELECT p.* EXCLUDE (fold, i, proof), CASE WHEN c = 1 THEN fold ELSE sha256(before || fold || after) END AS fold, p.i // 8 AS i,
+               proof || before || after AS proof FROM {p}{k} p JOIN {n}w{k} w ON {same} AND p.i = w.i)"""
+
+    parts += [climb("n", "p", "lang", "p.lang IS NOT DISTINCT FROM w.lang", k) for k in range(levels)]
+    parts.append(f"""
+s AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS i FROM n{levels}),
+m0 AS (SELECT 0 AS g, i, subroot AS h FROM s),
+q0 AS (SELECT doc_id, leaf, subroot, fold, s.i, proof, 0 AS g FROM p{levels} p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang)""")
+    parts += [climb("m", "q", "g", "p.g = w.g", k) for k in range(levels)]
+    return "WITH " + ",".join(parts) + f"""
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = h AS verified
+FROM q{levels}, m{levels}"""
+
+
+@_query(_merkle_sql())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents by language, and what every proof says of a row of which some are tampered."""
+    from sluice.llm.merkle import fold, leaf_digest, proof_digest, prove
+
+    docs = common.table(spark, sf_dir, "documents")
+    leaf = lambda text: leaf_digest([F.col(c) for c in ("doc_id", "source", "lang", "n_chars")] + [text])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, leaf(common.lower_az(F.col("text"))))
+    rows = docs.select("doc_id", "lang", leaf(F.col("text")).alias("leaf"), tampered.alias("tampered"))
+    proved = prove(rows, "lang", "doc_id", carry=["doc_id", "leaf", "tampered"])
+    checked = proved.withColumn("folded_root", fold(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return checked.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
+                          "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
