@@ -170,8 +170,9 @@ def prove(rows: DataFrame, part: str, order: str, leaf: str = "leaf", carry: Seq
     spark = rows.sparkSession
     scratch = Scratch(spark, "merkle")
     kept = [f"c{k}" for k in range(len(carry))]
-    given = rows.select(F.col(part).alias("part"), F.col(order).alias("ord"), F.unhex(leaf).alias("leaf"),
-                        *[F.col(c).alias(k) for c, k in zip(carry, kept)])
+    # The range sort samples its input first: what it samples is the digests, not the rows they are made of.
+    given = scratch.put("digests", rows.select(F.col(part).alias("part"), F.col(order).alias("ord"), F.unhex(leaf).alias("leaf"),
+                                               *[F.col(c).alias(k) for c, k in zip(carry, kept)]))
     placed = positions(given, ["part"], ["ord", "leaf"], scratch, "leaves")
     # One row per part, numbered in the order of the parts.
     parts = placed.groupBy("part").agg(F.first("size").alias("n_leaves"))
