@@ -261,3 +261,19 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = proved.withColumn("folded_root", fold(F.coalesce("tampered", "leaf"), F.col("proof")))
     return checked.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
                           "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@_query("""
+WITH v AS (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), TRUE)),
+s AS (SELECT a.vec_id AS query_id, a.r, b.vec_id, list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM v a JOIN v b ON a.r <> b.r AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS n FROM s)
+SELECT query_id, n::INTEGER AS rank, vec_id, score FROM k WHERE n <= 10""")
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors, by integer inner product, of every vector whose id 100 divides."""
+    from sluice.llm.top_k import finite, to_integers, top_k
+
+    embeddings = common.table(spark, sf_dir, "embeddings").filter(finite(F.col("embedding")))
+    rows = embeddings.select("vec_id", to_integers(F.col("embedding")).alias("v"))
+    return top_k(rows, "vec_id", "v", F.col("vec_id") % 100 == 0)
