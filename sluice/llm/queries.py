@@ -277,3 +277,12 @@ def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = common.table(spark, sf_dir, "embeddings").filter(finite(F.col("embedding")))
     rows = embeddings.select("vec_id", to_integers(F.col("embedding")).alias("v"))
     return top_k(rows, "vec_id", "v", F.col("vec_id") % 100 == 0)
+
+
+@_query()
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' tokens of every document group and link, and how common the links are."""
+    from sluice.llm.align import alignment
+
+    return alignment(common.table(spark, sf_dir, "documents"), keep_groups=False).select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
