@@ -10,8 +10,9 @@ of an A id and a B id that overlap).  How many documents hold a pair is counted
 second pass looks the counts up: the most frequent pairs, at most ``HEAD`` of them, are broadcast as
 sorted arrays, and only links beyond those are shuffled to a join, whose keys are rare by construction.
 
-Long texts go piece by piece.  A piece ends before a single blank between two word characters, where
-both sides end a token, so pieces align by themselves and give what the whole text would.
+A single blank between two word characters is a place where both sides end a token, so what lies
+between such blanks aligns by itself and gives what the whole text would.  Words are therefore aligned
+once for all their places, and long texts go piece by piece.
 """
 
 from __future__ import annotations
@@ -36,6 +37,10 @@ SLICE_BYTES = 1 << 20
 HEAD = 1 << 20
 MODEL_BYTES = 64 << 20
 _CUT = re.compile(r"\w (?=\w)")
+_BETWEEN = re.compile(r"(?<=\w) (?=\w)")
+# Words whose alignment a task keeps, and their characters.
+WORDS = 1 << 19
+WORD_CHARS = 1 << 24
 
 
 def byte_level_alphabet() -> dict[str, int]:
@@ -71,16 +76,15 @@ class Tokenizers:
         texts_a, texts_b = ([str(i) for i in range(len(t))] for t in (self.a_bytes, self.b_bytes))
         self.parts = [s + c for texts, c in ((texts_a, ","), (texts_a, "|"), (texts_b, ","), (texts_b, ";")) for s in texts]
 
-    def pieces(self, text: str, most: int) -> list[str]:
-        out, at = [], 0
+    def pieces(self, text: str, most: int) -> Iterator[str]:
+        at = 0
         while self.cuts and len(text) - at > most:
             m = _CUT.search(text, at + most)
             if not m:
                 break
-            out.append(text[at:m.start() + 1])
+            yield text[at:m.start() + 1]
             at = m.end()
-        out.append(text[at:])
-        return out
+        yield text[at:]
 
     def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
         """Ids of both sides, and whether both give the piece, with a blank before it, byte for byte."""
@@ -134,52 +138,97 @@ class _Document:
             self.text.append(groups)
 
 
-def align_pieces(tok: Tokenizers, units: list[tuple[int, str]], docs: dict[int, _Document]) -> None:
-    """Aligns (document, piece) units together and adds the results to their documents."""
-    ids_a, ids_b, ok = tok.encode([p for _, p in units])
-    for (d, _), good in zip(units, ok):
-        docs[d].ok &= good
-    use = [k for k, (d, _) in enumerate(units) if ok[k] and docs[d].ok]
-    if not use:
-        return
-    n_a, n_b = (np.array([len(x[k]) for k in use], np.int64) for x in (ids_a, ids_b))
-    a = np.concatenate([np.array(ids_a[k], np.int64) for k in use])
-    b = np.concatenate([np.array(ids_b[k], np.int64) for k in use])
-    # Pieces abut, and both sides have the same bytes, so that a piece's end is an end on both sides.
-    a_end, b_end = np.cumsum(tok.a_len[a]), np.cumsum(tok.b_len[b])
-    of_a, of_b = terminals(a_end, b_end)
-    unit_a, unit_b = np.repeat(np.arange(len(use)), n_a), np.repeat(np.arange(len(use)), n_b)
-    last = np.flatnonzero(of_b == np.arange(len(b)))
-    n_groups = np.bincount(unit_b[last], minlength=len(use))
-
-    first = np.searchsorted(b_end, a_end - tok.a_len[a], "right")
-    span = np.searchsorted(b_end, a_end, "left") - first + 1
-    n_links = np.bincount(unit_a, span, len(use)).astype(np.int64)
-    at = np.arange(int(span.sum())) - np.repeat(np.cumsum(span) - span, span) + np.repeat(first, span)
-    width = len(tok.b_bytes)
-    size = len(tok.a_bytes) * width
-    code, times = np.unique(np.repeat(unit_a, span) * size + np.repeat(a, span) * width + b[at], return_counts=True)
-    edge = np.searchsorted(code, np.arange(len(use) + 1) * size)
-
-    # A's ids of a group, then B's, each with the mark that follows it.
-    next_a, next_b = np.append(of_a[1:], -1), np.append(of_b[1:], -1)
-    part_a = a + np.where(of_a != next_a, len(tok.a_bytes), 0)
-    part_b = 2 * len(tok.a_bytes) + b + np.where(of_b != next_b, width, 0)
-    order = np.argsort(np.concatenate((of_a * 2, of_b * 2 + 1)), kind="stable")
-    text = np.concatenate((part_a, part_b))[order]
-    begin = np.concatenate(([0], np.cumsum(n_a + n_b)))
-    counts = np.stack((n_a, n_b, n_groups, n_links), 1)
-    for u, k in enumerate(use):
-        groups = "".join(map(tok.parts.__getitem__, text[begin[u]:begin[u + 1]].tolist()))[:-1]
-        s, e = edge[u], edge[u + 1]
-        docs[units[k][0]].add(counts[u], code[s:e] - u * size, times[s:e], groups)
+class Aligner:
+    """Alignment of pieces of text, word by word: between two words (see ``_CUT``) both sides end a
+    token, so a word's groups and links are the same wherever it stands.  What was found of the words
+    seen is kept for the next pieces, up to ``WORDS`` of them and ``WORD_CHARS`` characters."""
+
+    def __init__(self, tok: Tokenizers):
+        self.tok = tok
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.chars = 0
+        self.ok, self.counts, self.groups = np.zeros(0, bool), np.zeros((0, 4), np.int64), []
+        self.codes, self.edge = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def learn(self, words: list[str]) -> None:
+        """Aligns words not seen before, all of them together."""
+        tok, n = self.tok, len(words)
+        ids_a, ids_b, ok = tok.encode(words)
+        use = np.flatnonzero(ok)
+        n_a, n_b = (np.zeros(n, np.int64) for _ in range(2))
+        n_a[use], n_b[use] = [len(ids_a[k]) for k in use], [len(ids_b[k]) for k in use]
+        a, b = (np.array([i for k in use for i in ids[k]], np.int64) for ids in (ids_a, ids_b))
+        # Words abut here, and both sides have the same bytes, so that a word's end is an end on both sides.
+        a_end, b_end = np.cumsum(tok.a_len[a]), np.cumsum(tok.b_len[b])
+        of_a, of_b = terminals(a_end, b_end)
+        word_a, word_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
+        n_groups = np.bincount(word_b[of_b == np.arange(len(b))], minlength=n)
+
+        first = np.searchsorted(b_end, a_end - tok.a_len[a], "right")
+        span = np.searchsorted(b_end, a_end, "left") - first + 1
+        n_links = np.bincount(word_a, span, n).astype(np.int64)
+        at = np.arange(int(span.sum())) - np.repeat(np.cumsum(span) - span, span) + np.repeat(first, span)
+        codes = np.repeat(a, span) * len(tok.b_bytes) + b[at]
+
+        # A's ids of a group, then B's, each with the mark that follows it.
+        part_a = a + np.where(of_a != np.append(of_a[1:], -1), len(tok.a_bytes), 0)
+        part_b = 2 * len(tok.a_bytes) + b + np.where(of_b != np.append(of_b[1:], -1), len(tok.b_bytes), 0)
+        order = np.argsort(np.concatenate((of_a * 2, of_b * 2 + 1)), kind="stable")
+        text = list(map(tok.parts.__getitem__, np.concatenate((part_a, part_b))[order].tolist()))
+        begin = np.concatenate(([0], np.cumsum(n_a + n_b))).tolist()
+        self.groups += ["".join(text[s:e])[:-1] for s, e in zip(begin, begin[1:])]
+        self.ok = np.concatenate((self.ok, ok))
+        self.counts = np.concatenate((self.counts, np.stack((n_a, n_b, n_groups, n_links), 1)))
+        self.codes = np.concatenate((self.codes, codes))
+        self.edge = np.concatenate((self.edge, self.edge[-1] + np.cumsum(n_links)))
+
+    def add(self, units: list[tuple[int, str]], docs: dict[int, _Document]) -> None:
+        """Aligns (document, piece) units and adds the results to their documents."""
+        if not units:
+            return
+        if len(self.known) > WORDS or self.chars > WORD_CHARS:
+            self.forget()
+        known, fresh, words, n = self.known, [], [], []
+        for _, piece in units:
+            mine = _BETWEEN.split(piece) if self.tok.cuts else [piece]
+            n.append(len(mine))
+            for w in mine:
+                k = known.get(w)
+                if k is None:
+                    known[w] = k = len(known)
+                    fresh.append(w)
+                words.append(k)
+        if fresh:
+            self.chars += sum(map(len, fresh))
+            self.learn(fresh)
+        words, n = np.array(words), np.array(n)
+        unit = np.repeat(np.arange(len(n)), n)
+        edge = np.concatenate(([0], np.cumsum(n)))
+        good = np.bincount(unit, ~self.ok[words], len(n)) == 0
+        counts = np.stack([np.bincount(unit, self.counts[words, k], len(n)).astype(np.int64) for k in range(4)], 1)
+        span = self.edge[words + 1] - self.edge[words]
+        at = np.arange(int(span.sum())) - np.repeat(np.cumsum(span) - span, span) + np.repeat(self.edge[words], span)
+        size = len(self.tok.a_bytes) * len(self.tok.b_bytes)
+        code, times = np.unique(np.repeat(unit, span) * size + self.codes[at], return_counts=True)
+        cut = np.searchsorted(code, np.arange(len(n) + 1) * size)
+        words = words.tolist()
+        for u, (d, _) in enumerate(units):
+            docs[d].ok &= bool(good[u])
+            if docs[d].ok:
+                s, e = cut[u], cut[u + 1]
+                docs[d].add(counts[u], code[s:e] - u * size, times[s:e], ";".join(map(self.groups.__getitem__, words[edge[u]:edge[u + 1]])))
 
 
 def _align(models, keep: bool, piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = None
+        tok = aligner = None
         for batch in batches:
-            tok = tok or Tokenizers(*models.value)
+            if tok is None:
+                tok = Tokenizers(*models.value)
+                aligner = Aligner(tok)
             docs: dict[int, _Document] = {}
             units, volume = [], 0
             texts = batch.column("text")
@@ -190,9 +239,9 @@ def _align(models, keep: bool, piece: int):
                     units.append((d, p))
                     volume += len(p)
                     if volume >= SLICE_BYTES:
-                        align_pieces(tok, units, docs)
+                        aligner.add(units, docs)
                         units, volume = [], 0
-            align_pieces(tok, units, docs)
+            aligner.add(units, docs)
             none = _Document(keep)
             out = [x if x.ok and x.some else none for x in docs.values()]
             edge = pa.array(np.concatenate(([0], np.cumsum([len(x.pairs) for x in out]))), pa.int32())
