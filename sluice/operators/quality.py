@@ -17,7 +17,8 @@ def has_data_conflicts(layout: DataFrame) -> DataFrame:
 
 
 def file_diagnostics(layout: DataFrame, lines: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Q2/Q3: per-file record and melted-reading counts with the two warning flags.
+    """Q2/Q3: per-file record and melted-reading counts with the two warning flags, which only files of
+    devices with data get.
 
     ``candidates`` are melted readings before the timestamp filter (F3) and de-duplication.
     Both counts are partial aggregates keyed by file (one row per file after the shuffle)."""
@@ -84,9 +85,10 @@ def run_stats(listed: DataFrame, checkpoints: DataFrame, registry: DataFrame | N
     return s.withColumn("all_skipped", (F.col("listed") > 0) & (F.col("skipped") == F.col("listed")))
 
 
-def dry_run(parsed_layout: DataFrame, records: DataFrame, readings: DataFrame) -> DataFrame:
-    """Q7: what a run would write, per file, without writing anything."""
+def dry_run(parsed_layout: DataFrame, records: DataFrame, melted: DataFrame) -> DataFrame:
+    """Q7: per file, the records and the melted readings, before hasData, the timestamp filter and
+    de-duplication, that a run would find, without writing anything."""
     rec = records.groupBy("file_id").agg(F.count(F.lit(1)).alias("rows"))
-    tall = readings.groupBy(F.col("source_file_id").alias("file_id")).agg(F.count(F.lit(1)).alias("tall"))
+    tall = melted.groupBy("file_id").agg(F.count(F.lit(1)).alias("tall"))
     return parsed_layout.select("file_id", "object_key", "label_code").join(rec, "file_id", "left") \
         .join(tall, "file_id", "left").fillna(0, ["rows", "tall"])

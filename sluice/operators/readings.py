@@ -22,11 +22,13 @@ from sluice.sources import config as C
 @dataclass
 class Parsed:
     layout: DataFrame     # one row per file: mode, headers, specs, status
+    blocks: DataFrame     # one row per block: the same, and the block's lines
     registry: DataFrame   # K1 rows
     records: DataFrame    # K2 rows
     readings: DataFrame   # K3 rows (after F3, F4 and W3)
     lines: DataFrame      # one row per record with parse columns (diagnostics)
     candidates: DataFrame  # melted readings before F3/W3 (diagnostics)
+    melted: DataFrame     # the same of all files, F4 (hasData) left out (Q7)
 
 
 def file_id(key_col="object_key", version_col="version_token"):
@@ -48,10 +50,18 @@ def attach_dims(files: DataFrame, labels: DataFrame, schemas: DataFrame) -> Data
 DEFAULT_SOURCE = "acquisuite"
 
 
+def plan_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, strict: bool = False, spread: int | None = None) -> DataFrame:
+    """Parse plan of every block of ``files``: rows with ``text``, or blocks of lines."""
+    if spread:
+        files = files.repartition(int(spread))
+    return S.file_layout(attach_dims(files.withColumn("file_id", file_id()), labels, schemas), strict=strict)
+
+
 def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, strict: bool = False,
                 ingested_at=None, source: str = DEFAULT_SOURCE, spread: int | None = None,
                 carry: Sequence[str] = ()) -> Parsed:
-    """Parse decoded files ``(object_key, version_token, last_modified, text)``.
+    """Parse decoded files ``(object_key, version_token, last_modified, text)``, or their blocks of lines
+    (``sources.blocks``), of which a file has any number.
 
     ``spread``: re-distribute the files over that many tasks first.  Parsing is CPU-bound
     and a listing or a small input split can hold many files in one partition; an explicit
@@ -59,11 +69,16 @@ def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, stri
     small-in-bytes data back into one task).  ``carry``: file columns (such as ``object_key``) that
     records and readings keep, which saves a join with the registry.
     """
-    if spread:
-        files = files.repartition(int(spread))
-    f = attach_dims(files.withColumn("file_id", file_id()), labels, schemas)
-    layout = S.file_layout(f, strict=strict)
-    lines = S.structure_lines(layout)
+    blocks = plan_files(files, labels, schemas, strict=strict, spread=spread)
+    if "lines" in files.columns:
+        blocks = S.mark_failed(blocks, S.failed_files(blocks))
+    return parse_plan(blocks, ingested_at=ingested_at, source=source, carry=carry)
+
+
+def parse_plan(blocks: DataFrame, *, ingested_at=None, source: str = DEFAULT_SOURCE, carry: Sequence[str] = ()) -> Parsed:
+    """The rows that follow from the parse plan of blocks."""
+    layout = S.files_of(blocks)
+    lines = S.structure_lines(blocks)
     ok = F.col("parse_error").isNull()
 
     # structure_lines already drops failed files; the F4 (hasData) and F3 (timestamp)
@@ -100,5 +115,5 @@ def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, stri
         F.nullif("schema_id", F.lit("")).alias("schema_id"),
         at.alias("ingested_at"),
     )
-    return Parsed(layout=layout, registry=registry, records=records, readings=readings, lines=lines,
-                  candidates=melted)
+    return Parsed(layout=layout, blocks=blocks, registry=registry, records=records, readings=readings, lines=lines,
+                  candidates=melted, melted=S.candidate_readings(lines))

@@ -1,13 +1,15 @@
 """Device log → records and readings.
 
-Input: one row per file with its decoded ``text`` plus the label/schema columns attached by
+Input: one row per file with its decoded ``text``, plus the label/schema columns attached by
 ``sources.config.resolve_label`` (schema_id, has_data, column_order, header_aliases,
 expected_headers).
 
-Per file (inside the file's own row — no shuffle): drop blank lines, find the header among
-the first 8 lines with the delimiter that exposes a time column (P1-P3), or fall back to
-the schema's column order (P9) or to loose ``key=value`` lines (P10/P11).  The header → metric
-specs are computed once per file (S13), like the reference.
+Input may also be blocks of lines (``sources.blocks``), several rows per file: each carries the file's
+first lines and the number of lines before it, so a block is parsed by itself.
+
+Per block (inside its own row — no shuffle): find the header among the file's first 8 lines with
+the delimiter that exposes a time column (P1-P3), or fall back to the schema's column order (P9)
+or to loose ``key=value`` lines (P10/P11).  The header → metric specs (S13) are computed there too.
 
 Per line (after ``posexplode``, still no shuffle): split with the file's delimiter, re-detect
 for one-cell rows (P4), pad/truncate (P7), build the row map (P8), parse the time and flags
@@ -27,10 +29,11 @@ from pyspark.sql import functions as F
 
 from sluice.functions import metrics as M
 from sluice.functions.text import JS_WS_CHARS, js_trim, strip_bom
-from sluice.functions.tokenize import split_csv, split_lines, split_semicolon, split_tab
+from sluice.functions.tokenize import split_csv, split_semicolon, split_tab
 from sluice.functions.values import coerce_number, coerce_text, is_finite, parse_flag, parse_utc_time
+from sluice.sources.blocks import HEAD_LINES, text_blocks
 
-HEADER_SCAN_MAX_LINES = 8
+HEADER_SCAN_MAX_LINES = HEAD_LINES
 TAB, CSV, SEMI = 1, 2, 3
 
 
@@ -64,8 +67,7 @@ def time_column(headers) -> Column:
 @functools.lru_cache(maxsize=None)
 def _layout_stages() -> tuple[dict[str, Column], ...]:
     """File-level stages up to (mode, headers, delim, start); built once per process."""
-    lines = F.filter(split_lines(strip_bom(F.col("text"))), lambda l: js_trim(l) != "")
-    head = F.slice("_lines", 1, HEADER_SCAN_MAX_LINES)
+    head = F.col("_head")
     # The three splits of each of the first 8 lines are computed once, as arrays; the
     # choice below only indexes into them.
     # A header needs a cell containing both "time" and "utc", so only such lines are split;
@@ -86,13 +88,14 @@ def _layout_stages() -> tuple[dict[str, Column], ...]:
           "_st": F.transform("_semi", lambda h: time_column(h).isNotNull())}
 
     def choose(i):
-        line = F.col("_lines")[i]
+        line = F.col("_head")[i]
         return F.when(line.contains("\t") & F.col("_tt")[i], F.lit(TAB)) \
             .when(F.col("_ct")[i], F.lit(CSV)) \
             .when(line.contains(";") & ~line.contains(",") & F.col("_st")[i], F.lit(SEMI))
 
-    s4 = {"_cand": F.transform(F.sequence(F.lit(0), F.size("_csv") - 1),
-                               lambda i: F.struct(i.alias("i"), choose(i).alias("delim")))}
+    # An empty file has no line to choose; sequence(0, -1) would count down.
+    places = F.when(F.size("_csv") > 0, F.sequence(F.lit(0), F.size("_csv") - 1)).otherwise(F.array().cast("array<int>"))
+    s4 = {"_cand": F.transform(places, lambda i: F.struct(i.alias("i"), choose(i).alias("delim")))}
     # a header line: the chosen split exposes a time column and has at least 4 cells
     with_headers = F.transform("_cand", lambda c: F.struct(
         c["i"].alias("i"), c["delim"].alias("delim"),
@@ -102,8 +105,8 @@ def _layout_stages() -> tuple[dict[str, Column], ...]:
                                             & (F.size(c["headers"]) >= 4)), F.lit(1)),
           "_order_h": F.transform(F.coalesce("column_order", F.array().cast("array<string>")), norm_csv_header)}
     headerless = (F.size("_order_h") > 0) & time_column(F.col("_order_h")).isNotNull()
-    first_line = F.try_element_at(F.col("_lines"), F.lit(1))
-    mode = (F.when(F.size("_lines") == 0, F.lit("empty")).when(F.col("_hit").isNotNull(), F.lit("structured"))
+    first_line = F.try_element_at(F.col("_head"), F.lit(1))
+    mode = (F.when(F.size("_head") == 0, F.lit("empty")).when(F.col("_hit").isNotNull(), F.lit("structured"))
             .when(headerless, F.lit("headerless")).otherwise(F.lit("loose")))
     s6 = {"mode": mode}
     s7 = {"headers": F.when(F.col("mode") == "structured", F.col("_hit.headers"))
@@ -116,7 +119,7 @@ def _layout_stages() -> tuple[dict[str, Column], ...]:
     bad = F.exists(F.transform(raw_maps, _loose_ts_raw), lambda t: t.isNotNull() & F.try_to_timestamp(t).isNull())
     s8 = {"parse_error": F.when(F.col("mode") == "loose", F.when(
         bad, F.lit("invalid timestamp value in key=value line")))}
-    return ({"_lines": lines}, s2, s3, s4, s5, s6, s7, s8)
+    return (s2, s3, s4, s5, s6, s7, s8)
 
 
 @functools.lru_cache(maxsize=None)
@@ -140,17 +143,39 @@ def _header_stages(strict: bool) -> tuple[dict[str, Column], ...]:
 
 
 def file_layout(files: DataFrame, strict: bool = False) -> DataFrame:
-    """Per-file parse plan: lines, mode, delimiter, headers, keys, specs and column indexes.
-
-    The header → spec rules (S13) run once per file on its header list (like the reference),
-    inside the file's row.
+    """Per-block parse plan: lines, mode, delimiter, headers, keys, specs and column indexes.  ``files``
+    are blocks, or files with their ``text``, which are a block each.
     """
-    x = files
+    x = files if "lines" in files.columns else text_blocks(files)
+    x = x.withColumnsRenamed({"lines": "_lines", "head": "_head", "first_line": "_first"})
     for stage in _layout_stages() + _header_stages(strict):
         x = x.withColumns(stage)
     return x.drop("_tab", "_csv", "_semi", "_tt", "_ct", "_st", "_cand", "_hit", "_order_h")
 
 
+def failed_files(layout: DataFrame) -> DataFrame:
+    """(file_id, file_error) of files of several blocks of which one failed: as a whole they fail."""
+    error = F.coalesce("read_error", "parse_error") if "read_error" in layout.columns else F.col("parse_error")
+    return (layout.where(~F.col("whole") & error.isNotNull()).groupBy("file_id")
+            .agg(F.min(F.struct(F.col("block"), error.alias("e"))).alias("_f")).select("file_id", F.col("_f.e").alias("file_error")))
+
+
+def mark_failed(layout: DataFrame, failed: DataFrame, small: bool = False) -> DataFrame:
+    """``layout`` with the errors of ``failed`` on every block of their files.  ``small``: the caller has
+    counted ``failed`` and it may be broadcast, which keeps the lines where they are."""
+    return (layout.join(F.broadcast(failed) if small else failed, "file_id", "left")
+            .withColumn("parse_error", F.coalesce("file_error", "parse_error")).drop("file_error"))
+
+
+def files_of(layout: DataFrame) -> DataFrame:
+    """One row per file: its first block, or the row that says why it could not be read."""
+    if "read_error" not in layout.columns:
+        return layout.where(F.col("block") == 0)
+    unread = layout.where(F.col("block") < 0).select("file_id").distinct()
+    return (layout.where(F.col("block") == 0).join(unread, "file_id", "left_anti")
+            .unionByName(layout.where(F.col("block") < 0).withColumn("parse_error", F.col("read_error"))))
+
+
 # --- loose lines ----------------------------------------------------------------------
 
 def _loose_entries(line) -> Column:
@@ -211,15 +236,17 @@ def structure_lines(layout: DataFrame) -> DataFrame:
     from the header onwards before exploding, so no Filter sits above the parse projections:
     Catalyst would push such a filter down and inline the expensive parse expressions into
     it, evaluating them twice."""
-    keep = [c for c in layout.columns if c not in ("text", "_lines")]
-    data = F.when(F.col("parse_error").isNull(), F.slice("_lines", F.col("start") + 1, F.size("_lines")))
+    keep = [c for c in layout.columns if c not in ("text", "_lines", "_head")]
+    # Lines before the data that fall into this block.
+    skip = F.greatest(F.col("start") - F.col("_first"), F.lit(0)).cast("int")
+    data = F.when(F.col("parse_error").isNull() & (skip <= F.size("_lines")), F.slice("_lines", skip + 1, F.size("_lines")))
     # posexplode_outer + a filter on the generated column: a plain explode makes Catalyst infer
     # size(array) > 0 and push it (with the array expression inlined) below the projections.
     x = layout.select(*keep, F.posexplode_outer(data).alias("_i", "raw_text")) \
-        .where(F.col("_i").isNotNull()).withColumn("_i", F.col("_i") + F.col("start"))
+        .where(F.col("_i").isNotNull()).withColumn("_i", F.col("_i") + F.greatest(F.col("start").cast("long"), F.col("_first")))
     for stage in _line_stages():
         x = x.withColumns(stage)
-    return x.drop("_i", "_c0", "_alt", "_tcell", "_lts")
+    return x.drop("_i", "_first", "_c0", "_alt", "_tcell", "_lts")
 
 
 def candidate_readings(lines: DataFrame, gate: Column | None = None) -> DataFrame:

@@ -1,13 +1,14 @@
 """The batch ingest job (A10 batch form).
 
-list → optional guard (R2) and newest-first batch (R1) → skip checkpointed (J1) → read + inflate (R3)
-→ parse (P*, S*, F*, W3) → write registry / records / readings, checkpoint last (K1-K4).
+list → optional guard (R2) and newest-first batch (R1) → skip checkpointed (J1) → read, inflate and cut
+into blocks of lines (R3, R5, R6) → parse (P*, S*, F*, W3) → write registry / records / readings, checkpoint last (K1-K4).
 Re-running it ingests nothing new; failed files are retried on the next run.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -15,11 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import quality as Q
-from sluice.operators.readings import parse_files
+from sluice.operators import structure as S
+from sluice.operators.readings import Parsed, parse_plan, plan_files
 from sluice.session import checkpoint_dir, configure
 from sluice.sinks.tables import IngestTables, write_batch
 from sluice.sources import config as C
 from sluice.sources import objects as O
+from sluice.sources.blocks import BLOCK_BYTES
 
 
 @dataclass
@@ -31,14 +34,22 @@ class IngestResult:
     plan: DataFrame | None = None   # Q7: what a dry run would write, per file
 
 
-# Status text of a file without header whose schema has no column order.
+# Kinds of warnings.
+MEASURABLE_WITHOUT_DATA = "device marked without data, but measurable headers"       # Q1
+NO_READINGS = "records but no readings"                                              # Q2
+NO_TIMESTAMPS = "readings but no timestamps"                                         # Q3
 NO_COLUMN_ORDER = "no header line and no column order for its schema"
 
+# Bytes of a row group of the stage: what a task parses at least.
+STAGE_BYTES = 16 << 20
+# Failed files whose ids are broadcast to the blocks; more are joined by a shuffle.
+SMALL = 100_000
 
-def ingest_files(spark: SparkSession, files: DataFrame, tables: IngestTables, *, run_id: str, now,
-                 labels: DataFrame | None = None, schemas: DataFrame | None = None, strict_schema: bool = False,
-                 column_orders: str | None = None, dry_run: bool = False, spread: int | None = None):
-    """Parse decoded files and write them (the part shared by batch and streaming ingest).
+
+def ingest_blocks(spark: SparkSession, blocks: DataFrame, tables: IngestTables, *, run_id: str, now,
+                  labels: DataFrame | None = None, schemas: DataFrame | None = None, strict_schema: bool = False,
+                  column_orders: str | None = None, dry_run: bool = False) -> Parsed:
+    """Parse blocks of lines (``sources.blocks``) and write them.
 
     ``column_orders``: path of the column orders file, read on every run, with which files
     without a header line are parsed (P9)."""
@@ -46,58 +57,49 @@ def ingest_files(spark: SparkSession, files: DataFrame, tables: IngestTables, *,
     schemas = schemas if schemas is not None else C.default_schemas(spark)
     if column_orders:
         schemas = C.with_column_orders(schemas, C.load_column_orders(spark, column_orders))
-    # Objects that could not be read carry no text: they cost no parse and become error rows.
-    failed = "read_error" in files.columns
-    p = parse_files(files.where(F.col("text").isNotNull()).select("object_key", "version_token", "last_modified", "text"),
-                    labels, schemas, strict=strict_schema, ingested_at=now, spread=spread)
-    reg = p.registry
-    if failed:
-        reg = reg.unionByName(error_rows(files.where(F.col("text").isNull()), labels, schemas, now))
-    if dry_run:
-        return p, reg
-    # The batch is written by several actions (registry, records, readings, checkpoint):
-    # keep the parsed layout and lines so the parse runs once (recomputable from lineage if an
-    # executor is lost).
-    p.layout.persist(StorageLevel.MEMORY_AND_DISK)
-    p.lines.persist(StorageLevel.MEMORY_AND_DISK)
+    # What was read is written once, apart: inflating is not repeated, and the blocks of a large file,
+    # which one task has read, are dealt to all tasks when they are read back.
+    stage = f"{checkpoint_dir(spark)}/ingest-{run_id}-{uuid.uuid4().hex[:8]}"
+    blocks.write.option("compression", "zstd").option("parquet.block.size", str(STAGE_BYTES)).parquet(stage)
+    blocks = spark.read.schema(blocks.schema).parquet(stage)
+    plan = plan_files(blocks, labels, schemas, strict=strict_schema)
+    # Kept while the batch is written, by several actions (recomputable from the stage if an executor is lost).
+    plan.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_batch(tables, reg, p.records, p.readings, run_id=run_id, processed_at=now)
+        failed = S.failed_files(plan)
+        n = failed.limit(SMALL + 1).count()
+        p = parse_plan(S.mark_failed(plan, failed, small=n <= SMALL) if n else plan, ingested_at=now)
+        if not dry_run:
+            p.lines.persist(StorageLevel.MEMORY_AND_DISK)
+            write_batch(tables, p.registry, p.records, p.readings, run_id=run_id, processed_at=now)
+            p.lines.unpersist()
     finally:
-        p.lines.unpersist()
-        p.layout.unpersist()
-    return p, reg
-
-
-def error_rows(unread: DataFrame, labels: DataFrame, schemas: DataFrame, now) -> DataFrame:
-    """Registry rows of objects that could not be read; the next run tries them again."""
-    blank = parse_files(unread.select("object_key", "version_token", "last_modified", F.lit("").alias("text")),
-                        labels, schemas, ingested_at=now).registry
-    return (blank.join(unread.select("object_key", "version_token", "read_error"), ["object_key", "version_token"])
-            .withColumn("parse_status", F.lit("error")).withColumn("error_text", F.col("read_error")).drop("read_error"))
+        plan.unpersist()
+    return p
 
 
-def run_warnings(p) -> DataFrame:
+def run_warnings(p: Parsed) -> DataFrame:
     """Q1-Q3 of this run: (kind, object_key, detail) per file and finding, and files without header
     whose schema has no column order, which the loose parse takes."""
-    keys = p.layout.select("file_id", "object_key")
-    silent = (p.records.select("file_id").distinct()
-              .join(p.readings.select(F.col("source_file_id").alias("file_id")).distinct(), "file_id", "left_anti")
-              .join(keys, "file_id").select(F.lit("records but no readings").alias("kind"), "object_key", F.lit("").alias("detail")))
-    headerless = (p.layout.where((F.col("mode") == "loose") & (F.size(F.coalesce("column_order", F.array().cast("array<string>"))) <= 0)
-                                 & ~F.exists("_lines", lambda l: l.contains("=")))
+    conflicts = Q.has_data_conflicts(p.layout).select(F.lit(MEASURABLE_WITHOUT_DATA).alias("kind"), "object_key",
+                                                      F.col("measurable_preview").alias("detail"))
+    d = Q.file_diagnostics(p.layout, p.lines, p.melted)
+    counts = F.concat(F.lit("rows="), F.col("n_records").cast("string"), F.lit(" tall="), F.col("n_tall").cast("string"))
+    silent = d.where("no_readings").select(F.lit(NO_READINGS).alias("kind"), "object_key", counts.alias("detail"))
+    timeless = d.where("no_timestamps").select(F.lit(NO_TIMESTAMPS).alias("kind"), "object_key", counts.alias("detail"))
+    keyed = (p.blocks.where((F.col("mode") == "loose") & F.exists("_lines", lambda l: l.contains("="))).select("file_id").distinct())
+    headerless = (p.layout.where((F.col("mode") == "loose") & (F.size(F.coalesce("column_order", F.array().cast("array<string>"))) <= 0))
+                  .join(keyed, "file_id", "left_anti")
                   .select(F.lit(NO_COLUMN_ORDER).alias("kind"), "object_key", F.col("schema_id").alias("detail")))
-    off = (p.candidates.where(~F.col("has_data")).groupBy("object_key").agg(F.count(F.lit(1)).alias("n"))
-           .select(F.lit("readings of a device marked without data").alias("kind"), "object_key", F.col("n").cast("string").alias("detail"))
-           if {"has_data", "object_key"} <= set(p.candidates.columns) else None)
-    out = silent.unionByName(headerless)
-    return out.unionByName(off) if off is not None else out
+    return conflicts.unionByName(silent).unionByName(timeless).unionByName(headerless)
 
 
 def run_ingest(spark: SparkSession, root: str, tables_root: str, *, prefix: str = "log-gz/",
                batch_limit: int | None = None, scan_cap: int | None = None,
                strict_listing: bool = True, skip_processed_first: bool = False, strict_schema: bool = False,
                labels: DataFrame | None = None, schemas: DataFrame | None = None, column_orders: str | None = None,
-               dry_run: bool = False, now: _dt.datetime | None = None, run_id: str | None = None) -> IngestResult:
+               dry_run: bool = False, now: _dt.datetime | None = None, run_id: str | None = None,
+               block_bytes: int = BLOCK_BYTES) -> IngestResult:
     """One ingest run over everything unprocessed under ``root/prefix``; ``batch_limit`` (the newest
     so many) and ``scan_cap`` (R2) are opt-in."""
     configure(spark)
@@ -112,9 +114,9 @@ def run_ingest(spark: SparkSession, root: str, tables_root: str, *, prefix: str
     checkpoint_dir(spark)
     listed = manifest.checkpoint()
     batch = O.unprocessed(listed, checkpoints)
-    files = O.read_objects(spark, batch, root)
-    p, reg = ingest_files(spark, files, tables, run_id=run_id, now=now, labels=labels, schemas=schemas,
-                          strict_schema=strict_schema, column_orders=column_orders, dry_run=dry_run)
-    stats = Q.run_stats(listed, checkpoints, reg)
-    plan = Q.dry_run(p.layout, p.records, p.readings) if dry_run else None
-    return IngestResult(run_id=run_id, stats=stats, registry=reg, warnings=run_warnings(p), plan=plan)
+    blocks = O.read_blocks(spark, batch, root, block_bytes=block_bytes)
+    p = ingest_blocks(spark, blocks, tables, run_id=run_id, now=now, labels=labels, schemas=schemas,
+                      strict_schema=strict_schema, column_orders=column_orders, dry_run=dry_run)
+    stats = Q.run_stats(listed, checkpoints, p.registry)
+    plan = Q.dry_run(p.layout, p.records, p.melted) if dry_run else None
+    return IngestResult(run_id=run_id, stats=stats, registry=p.registry, warnings=run_warnings(p), plan=plan)

@@ -3,9 +3,8 @@
 The object store is whatever Hadoop filesystem Spark reads; a *manifest* is a DataFrame
 ``(object_key, version_token, size, last_modified)``.  ``list_objects`` builds it from
 ``binaryFile`` metadata only — the ``content`` column is pruned, so listing never reads file
-bytes.  Gzip decoding is the single Python step of the ingest (an Arrow-batched pandas UDF):
-Spark has no built-in inflate, and ``spark.read.text`` fails a whole task on a plain-text file
-named ``.gz``.
+bytes.  Gzip decoding is the single Python step of the ingest (Arrow batches): Spark has no built-in
+inflate, and ``spark.read.text`` fails a whole task on a plain-text file named ``.gz``.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from pyspark.sql import types as T
 
 from sluice.functions.naming import header_code
 from sluice.functions.text import col_of, norm_header_line, safe_name
+from sluice.sources.blocks import BLOCK_BYTES, LINE_BYTES, line_blocks
 
 DEFAULT_BATCH_LIMIT = 200
 DEFAULT_SCAN_CAP = 250_000
@@ -155,16 +155,14 @@ def _existing_folders(spark: SparkSession, batch: DataFrame) -> list[str]:
     return out
 
 
-def read_objects(spark: SparkSession, batch: DataFrame, root: str | None = None, *,
-                 max_bytes: int | None = None) -> DataFrame:
-    """Bytes of the selected objects, decoded: ``(object_key, version_token, last_modified, text,
-    is_gzip, read_error)``.
+def _contents(spark: SparkSession, batch: DataFrame, root: str | None, max_bytes: int | None) -> tuple[DataFrame, DataFrame]:
+    """(objects with their bytes, objects without: (…, read_error)), each with object_key, version_token
+    and last_modified.
 
     The folders of the batch are read and joined with it on the path, so the objects themselves
-    are never listed on the driver.  An object that has vanished since the listing, or is larger
-    than ``max_bytes`` (default: what fits a row), keeps ``text`` NULL and a ``read_error`` for the
-    registry; the others are not affected.  The size test filters the scan, so oversize bytes are
-    neither read nor inflated."""
+    are never listed on the driver.  Where the batch says when its objects were modified, files outside
+    that span, which earlier runs have read, are left out before any byte is read.  The size test
+    filters the scan too, so oversize bytes are neither read nor inflated."""
     if "path" not in batch.columns:
         if root is None:
             raise ValueError("batch has no path column: pass root")
@@ -172,21 +170,55 @@ def read_objects(spark: SparkSession, batch: DataFrame, root: str | None = None,
     most = min(max_bytes or MAX_ROW_BYTES, MAX_ROW_BYTES)
     meta = batch.select("path", "object_key", "version_token")
     folders = _existing_folders(spark, meta)
-    columns = "object_key string, version_token string, last_modified timestamp, text string, is_gzip boolean, read_error string"
+    columns = "object_key string, version_token string, last_modified timestamp, read_error string"
+    nothing = F.lit(None).cast("timestamp")
     if not folders:
-        return meta.select("object_key", "version_token", F.lit(None).cast("timestamp").alias("last_modified"),
-                           F.lit(None).cast("string").alias("text"), F.lit(None).cast("boolean").alias("is_gzip"),
-                           F.lit("object not found").alias("read_error")).to(spark.createDataFrame([], columns).schema)
-    raw = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(folders)
+        missing = meta.select("object_key", "version_token", nothing.alias("last_modified"), F.lit("object not found").alias("read_error"))
+        empty = "object_key string, version_token string, last_modified timestamp, content binary"
+        return spark.createDataFrame([], empty), missing.to(spark.createDataFrame([], columns).schema)
+    reader = spark.read.format("binaryFile").option("ignoreMissingFiles", "true")
+    if "last_modified" in batch.columns:
+        second = F.date_trunc("second", "last_modified")
+        span = batch.agg(F.date_format(F.min(second) - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("a"),
+                         F.count_if(F.col("last_modified").isNull()).alias("unknown")).first()
+        if span.a is not None and not span.unknown:
+            # An object replaced since the listing is newer, never older.
+            reader = reader.option("modifiedAfter", span.a).option("timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    raw = reader.load(folders)
     found = raw.where(F.col("length") <= most).join(meta, "path").select(
-        "object_key", "version_token", F.col("modificationTime").alias("last_modified"),
-        inflate_text(F.col("content")).alias("text"), is_gzip("content").alias("is_gzip"), F.lit(None).cast("string").alias("read_error"))
+        "object_key", "version_token", F.col("modificationTime").alias("last_modified"), "content")
     sizes = raw.select("path", "length", "modificationTime")   # metadata only: no bytes are read
     failed = meta.join(sizes, "path", "left").where(F.col("length").isNull() | (F.col("length") > most)).select(
-        "object_key", "version_token", F.col("modificationTime").alias("last_modified"), F.lit(None).cast("string").alias("text"),
-        F.lit(None).cast("boolean").alias("is_gzip"),
+        "object_key", "version_token", F.col("modificationTime").alias("last_modified"),
         F.when(F.col("length").isNull(), F.lit("object not found")).otherwise(F.lit(f"object larger than {most} bytes")).alias("read_error"))
-    return found.unionByName(failed)
+    return found, failed
+
+
+def read_objects(spark: SparkSession, batch: DataFrame, root: str | None = None, *,
+                 max_bytes: int | None = None) -> DataFrame:
+    """The selected objects as a row each, decoded: ``(object_key, version_token, last_modified, text,
+    is_gzip, read_error)``; for objects whose text fits a row (see ``read_blocks``).
+
+    An object that has vanished since the listing, or is larger than ``max_bytes`` (default: what fits
+    a row), keeps ``text`` NULL and a ``read_error`` for the registry; the others are not affected."""
+    found, failed = _contents(spark, batch, root, max_bytes)
+    return found.select("object_key", "version_token", "last_modified", inflate_text(F.col("content")).alias("text"),
+                        is_gzip("content").alias("is_gzip"), F.lit(None).cast("string").alias("read_error")).unionByName(
+        failed.select("object_key", "version_token", "last_modified", F.lit(None).cast("string").alias("text"),
+                      F.lit(None).cast("boolean").alias("is_gzip"), "read_error"))
+
+
+def read_blocks(spark: SparkSession, batch: DataFrame, root: str | None = None, *, max_bytes: int | None = None,
+                block_bytes: int = BLOCK_BYTES, line_bytes: int = LINE_BYTES) -> DataFrame:
+    """The selected objects as blocks of lines (see ``sources.blocks``), however far they inflate.  An
+    object that has vanished, is larger than ``max_bytes`` as stored, or cannot be cut has a row
+    with a ``read_error`` and block -1; the others are not affected."""
+    found, failed = _contents(spark, batch, root, max_bytes)
+    blocks = line_blocks(found, block_bytes, line_bytes)
+    none = F.array().cast("array<string>")
+    return blocks.unionByName(failed.select(
+        "object_key", "version_token", "last_modified", F.lit(None).cast("boolean").alias("is_gzip"), "read_error", F.lit(-1).alias("block"),
+        F.lit(0).cast("long").alias("first_line"), F.lit(False).alias("whole"), none.alias("head"), none.alias("lines")))
 
 
 # --- K11: landing layout --------------------------------------------------------------
