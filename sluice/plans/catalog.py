@@ -60,5 +60,6 @@ def _load() -> None:
     from sluice.plans import q_dashboards  # noqa: F401
     from sluice.plans import q_schedule  # noqa: F401
     from sluice.plans import q_ingest  # noqa: F401
+    from sluice.plans import q_blocks  # noqa: F401
     from sluice.plans import q_alerts  # noqa: F401
     from sluice.plans import q_quality  # noqa: F401

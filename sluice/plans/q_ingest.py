@@ -107,20 +107,31 @@ def ingest_readings(spark, sf_dir):
         "source_system", "error_flag", "low_alarm", "high_alarm", "device_address", "physical_group")
 
 
+_V = "CAST(value AS VARCHAR)"
+_FLAGS = "';error=0;lowalarm=' || (value < 1)::INT || ';highalarm=' || (value > 300)::INT || ';'"
+
+
 @register("ingest_records", sql=f"""
 WITH ev AS (SELECT *, {_KEY_SQL} AS object_key FROM events)
-SELECT object_key, CAST(2 AS INTEGER) AS line_no, {_MS} AS record_ts, CAST(6 AS INTEGER) AS n_fields
+SELECT object_key, CAST(2 AS INTEGER) AS line_no, {_MS} AS record_ts, CAST(6 AS INTEGER) AS n_fields,
+       'time(UTC)=' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') || {_FLAGS} || 'F2 - Wyman Creek Flow Ave (Gpm)=' || {_V}
+       || ';F-1 Reservoir By-pass Ave (Gpm)=' || (value / 2) AS fields
 FROM ev WHERE event_type = 'click'
-UNION ALL SELECT object_key, 3, {_SEC}, 6 FROM ev WHERE event_type = 'view'
-UNION ALL SELECT object_key, 2, {_SEC}, 5 FROM ev WHERE event_type = 'purchase'
-UNION ALL SELECT object_key, 2, {_MS}, 5 FROM ev WHERE event_type = 'signup'
-UNION ALL SELECT object_key, 3, {_MS}, 5 FROM ev WHERE event_type = 'signup'
-UNION ALL SELECT object_key, 1, ts, 3 FROM ev WHERE event_type = 'error'""")
+UNION ALL SELECT object_key, 3, {_SEC}, 6, 'time(UTC)=''' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '''' || {_FLAGS} || 'Booster Pump Flow Ave (Gpm)=' || {_V}
+       || ';Booster Pump Flow Ave (Gpm)__5=' || (value + 1) FROM ev WHERE event_type = 'view'
+UNION ALL SELECT object_key, 2, {_SEC}, 5, 'time(UTC)=' || strftime(ts, '%Y-%-m-%-d %-H:%M:%S') || {_FLAGS} || 'Deep Well Pump Output (Gpm)=' || {_V}
+FROM ev WHERE event_type = 'purchase'
+UNION ALL SELECT object_key, 2, {_MS}, 5, 'time(UTC)=' || (epoch_us(ts) // 1000) || {_FLAGS} || 'Hydro Plant Power Instantaneous (kW)=' || {_V}
+FROM ev WHERE event_type = 'signup'
+UNION ALL SELECT object_key, 3, {_MS}, 5, 'time(UTC)=' || (epoch_us(ts) // 1000) || {_FLAGS} || 'Hydro Plant Power Instantaneous (kW)=' || (value * 2)
+FROM ev WHERE event_type = 'signup'
+UNION ALL SELECT object_key, 1, ts, 3, 'ts=' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || ';kw=' || {_V} || ';status=ok' FROM ev WHERE event_type = 'error'""")
 def ingest_records(spark, sf_dir):
-    """K2 rows: one record per data line (line numbers over non-blank lines, header counted)."""
+    """K2 rows: one record per data line (line numbers over non-blank lines, header counted) and all its values."""
     p = parsed(spark, sf_dir, carry=["object_key"])
+    values = F.array_join(F.transform(F.map_entries("parsed"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
     return p.records.select(
-        "object_key", "line_no", "record_ts", F.size("parsed").cast("int").alias("n_fields"))
+        "object_key", "line_no", "record_ts", F.size("parsed").cast("int").alias("n_fields"), values.alias("fields"))
 
 
 @register("ingest_registry", sql=f"""

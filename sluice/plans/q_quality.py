@@ -161,3 +161,57 @@ def replay_booster_correction(spark, sf_dir):
     out = rp.correct_booster_group(dt.readings(spark, sf_dir))
     return out.select("record_ts", "serial", "source_file_id", "metric_key", "device_address", "physical_group",
                       "source_system")
+
+
+# --- warnings of a run -------------------------------------------------------------------------
+
+# Fixed value: header line of the rendered files.
+_HEADER = "time(UTC),error,lowalarm,highalarm,F2 - Wyman Creek Flow Ave (Gpm),Hydro Plant Power Instantaneous (kW)"
+
+
+def flawed_files(spark, sf_dir):
+    """One file per event, by its number: whole, without a valid time, without a numeric value, of a
+    device without data (with and without measurable headers), and a line without header or ``=``."""
+    e = dt.table(spark, sf_dir, "events")
+    kind = F.col("event_id") % 6
+    time = F.when(kind == 1, F.lit("noon")).otherwise(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss"))
+    v = F.when(kind == 2, F.lit("offline")).otherwise(F.col("value").cast("string"))
+    header = F.when(kind == 4, F.lit("time(UTC),error,lowalarm,highalarm,Signal")).otherwise(F.lit(_HEADER))
+    text = F.when(kind == 5, F.concat(F.lit("started, "), F.col("event_id").cast("string"))).otherwise(
+        F.concat(header, F.lit("\n"), F.concat_ws(",", time, F.lit("0"), F.lit("0"), F.lit("0"), v, F.when(kind != 4, F.lit("")))))
+    code = F.when(kind.isin(3, 4), "002").otherwise("006")
+    key = F.concat(F.lit("log-gz/SN1/logger_mb-"), code, F.lit("_"), F.col("event_id").cast("string"), F.lit(".log"))
+    return e.select(key.alias("object_key"), F.lit("v").alias("version_token"), F.col("ts").cast("timestamp").alias("last_modified"), text.alias("text"))
+
+
+def _flawed(spark, sf_dir):
+    from sluice.operators.readings import parse_files
+    from sluice.sources import config as C
+
+    return parse_files(flawed_files(spark, sf_dir), C.default_labels(spark), C.default_schemas(spark), ingested_at="2024-02-01 00:00:00",
+                       spread=spark.sparkContext.defaultParallelism * 2)
+
+
+_FLAWED_KEY = "'log-gz/SN1/logger_mb-' || CASE WHEN event_id % 6 IN (3, 4) THEN '002' ELSE '006' END || '_' || event_id || '.log'"
+
+
+@register("quality_run_warnings", sql=f"""
+WITH e AS (SELECT {_FLAWED_KEY} AS object_key, event_id % 6 AS kind FROM events)
+SELECT object_key, 'readings but no timestamps' AS kind, 'rows=1 tall=1' AS detail FROM e WHERE kind = 1
+UNION ALL SELECT object_key, 'records but no readings', 'rows=1 tall=0' FROM e WHERE kind IN (2, 5)
+UNION ALL SELECT object_key, 'device marked without data, but measurable headers',
+                 'F2 - Wyman Creek Flow Ave (Gpm) | Hydro Plant Power Instantaneous (kW)' FROM e WHERE kind = 3
+UNION ALL SELECT object_key, 'no header line and no column order for its schema', 'hydro_flex_v1' FROM e WHERE kind = 5""")
+def quality_run_warnings(spark, sf_dir):
+    """Q1, Q2, Q3: what a run says of files whose device, values or times are amiss."""
+    from sluice.plans.ingest import run_warnings
+
+    return run_warnings(_flawed(spark, sf_dir)).select("object_key", "kind", "detail")
+
+
+@register("quality_dry_run", sql=f"""
+SELECT {_FLAWED_KEY} AS object_key, CAST(1 AS BIGINT) AS rows, CAST(CASE WHEN event_id % 6 IN (2, 5) THEN 0 ELSE 1 END AS BIGINT) AS tall FROM events""")
+def quality_dry_run(spark, sf_dir):
+    """Q7: records and melted readings of each file, before hasData, times and duplicates count."""
+    p = _flawed(spark, sf_dir)
+    return qa.dry_run(p.layout, p.records, p.melted).select("object_key", "rows", "tall")
