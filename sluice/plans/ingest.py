@@ -99,14 +99,17 @@ def run_ingest(spark: SparkSession, root: str, tables_root: str, *, prefix: str
                strict_listing: bool = True, skip_processed_first: bool = False, strict_schema: bool = False,
                labels: DataFrame | None = None, schemas: DataFrame | None = None, column_orders: str | None = None,
                dry_run: bool = False, now: _dt.datetime | None = None, run_id: str | None = None,
-               block_bytes: int = BLOCK_BYTES) -> IngestResult:
-    """One ingest run over everything unprocessed under ``root/prefix``; ``batch_limit`` (the newest
-    so many) and ``scan_cap`` (R2) are opt-in."""
+               block_bytes: int = BLOCK_BYTES, manifest: DataFrame | None = None) -> IngestResult:
+    """One ingest run over everything unprocessed under ``root/prefix``, or in ``manifest`` (object_key,
+    version_token, size, last_modified); ``batch_limit`` (the newest so many) and ``scan_cap`` (R2) are
+    opt-in."""
     configure(spark)
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     run_id = run_id or now.strftime("%Y%m%d%H%M%S%f")
     tables = IngestTables(spark, tables_root)
-    manifest = O.check_listing(O.list_objects(spark, root, prefix=prefix), scan_cap, strict=strict_listing)
+    if manifest is None:
+        manifest = O.list_objects(spark, root, prefix=prefix)
+    manifest = O.check_listing(manifest, scan_cap, strict=strict_listing)
     checkpoints = tables.checkpoint.read()
     if batch_limit is not None:
         manifest = O.newest_first(O.unprocessed(manifest, checkpoints) if skip_processed_first else manifest, batch_limit)

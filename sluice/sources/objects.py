@@ -39,13 +39,17 @@ def list_objects(spark: SparkSession, root: str, *, prefix: str = "log-gz/", ver
     if version == "content":
         token = F.sha2(F.col("content"), 256)
     else:
-        token = F.md5(F.concat_ws(":", F.col("length").cast("string"),
-                                  F.unix_millis(F.col("modificationTime")).cast("string")))
+        token = stat_token("length", "modificationTime")
     return df.select(key.alias("object_key"), token.alias("version_token"),
                      F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"),
                      F.col("path"))
 
 
+def stat_token(size: str, modified: str) -> Column:
+    """Version of an object from its size and modification time."""
+    return F.md5(F.concat_ws(":", F.col(size).cast("string"), F.unix_millis(F.col(modified)).cast("string")))
+
+
 def _quote(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in s)
 
@@ -155,6 +159,21 @@ def _existing_folders(spark: SparkSession, batch: DataFrame) -> list[str]:
     return out
 
 
+def failed_before(spark: SparkSession, root: str, tables) -> DataFrame:
+    """Manifest of registered objects that failed, are not checkpointed, and are in the store in the very
+    version that failed: what a stream, which lists modifications only, has to try again."""
+    failed = (tables.registry.read().where(F.col("parse_status") == "error").select("object_key", "version_token")
+              .join(checkpoint_pairs(tables.checkpoint.read()), ["object_key", "version_token"], "left_anti"))
+    failed = failed.withColumn("path", F.concat(F.lit(qualified(spark, root) + "/"), F.col("object_key")))
+    folders = _existing_folders(spark, failed)
+    if not folders:
+        return spark.createDataFrame([], "object_key string, version_token string, size long, last_modified timestamp")
+    there = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(folders)
+    return (there.select("path", stat_token("length", "modificationTime").alias("version_token"), F.col("length").alias("size"),
+                         F.col("modificationTime").alias("last_modified"))
+            .join(failed, ["path", "version_token"]).select("object_key", "version_token", "size", "last_modified"))
+
+
 def _contents(spark: SparkSession, batch: DataFrame, root: str | None, max_bytes: int | None) -> tuple[DataFrame, DataFrame]:
     """(objects with their bytes, objects without: (…, read_error)), each with object_key, version_token
     and last_modified.
