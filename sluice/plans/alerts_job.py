@@ -24,7 +24,8 @@ def run_alerts(spark: SparkSession, tables_root: str, as_of: _dt.datetime, *, st
     configure(spark)
     t = IngestTables(spark, tables_root)
     schedule = t.schedule.read() if t.schedule.current() is not None else None   # A6: skipped when absent
-    b = al.bundle(t.readings_df(), schedule, as_of, stale_after_minutes=stale_after_minutes,
+    # Stale groups and the hydro check ask for latest readings, which the summary holds; history is not read.
+    b = al.bundle(t.latest_df(), schedule, as_of, stale_after_minutes=stale_after_minutes,
                   hydro_recent_minutes=hydro_recent_minutes, hydro_min_kw=hydro_min_kw,
                   alarm_lookback_minutes=alarm_lookback_minutes, alarm_limit=alarm_limit,
                   recent=t.readings_df(as_of - _dt.timedelta(minutes=alarm_lookback_minutes)))

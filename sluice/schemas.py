@@ -28,3 +28,7 @@ SCHEDULE = _st(("ps_code", S), ("group_name", S), ("analyte_number", S), ("analy
                ("source_file", S), ("imported_at", TS))
 
 ALERT_STATE = _st(("alert_key", S), ("last_sent_at", TS), ("last_payload", S))
+
+# Partials of readings (operators.summary), partitioned by the day of the span.
+SUMMARY = _st(("span", TS), ("physical_group", S), ("source_system", S), ("metric_key", S), ("unit", S), ("n", L), ("n_values", L), ("total", D),
+              ("last_ts", TS), ("last_serial", S), ("last_file", L), ("last_value", D), ("dt", DT))

@@ -5,11 +5,10 @@ use the highest committed version (one with a ``_SUCCESS`` marker):
 
 * ``append``  adds files to the current version (new batches of records / readings);
 * ``replace`` writes the full new contents as version ``n+1`` — the copy-on-write step behind
-  upserts (K1), deletes (K7, K9), in-place corrections (K8) and resets (K10).  The version
+  upserts (K1), schedule imports (K5), deletes (K7, K9) and resets (K10).  The version
   being read is never overwritten; the switch happens when the new version commits;
-* ``replace_partitions`` overwrites whole partitions of the current version (K5:
-  re-importing a schedule file replaces exactly that file's rows, and an import with zero
-  rows still clears its partition).
+* ``replace_partitions`` overwrites whole partitions of the current version (the days that a
+  replay or a correction touches).
 
 Filesystem calls go through the Hadoop FileSystem of the session, so the same code works
 on HDFS, object stores and local disks.
@@ -19,11 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice import schemas as SC
+from sluice.operators.summary import latest_readings, partials, bucket_averages, span_start
 
 
 class Table:
@@ -119,8 +119,8 @@ def _escape(v: str) -> str:
 
 
 class IngestTables:
-    """The ingest tables under one root (registry, records, readings, checkpoint), plus the
-    schedule and the alert state."""
+    """The ingest tables under one root (registry, records, readings, checkpoint, and the summary of the
+    readings), plus the schedule and the alert state."""
 
     def __init__(self, spark: SparkSession, root: str):
         r = root.rstrip("/")
@@ -131,6 +131,7 @@ class IngestTables:
         self.checkpoint = Table(spark, f"{r}/checkpoint", SC.CHECKPOINT)
         self.schedule = Table(spark, f"{r}/schedule", SC.SCHEDULE, ["source_file"])
         self.alert_state = Table(spark, f"{r}/alert_state", SC.ALERT_STATE)
+        self.summary = Table(spark, f"{r}/summary", SC.SUMMARY, ["dt"])
 
     def readings_df(self, ts_from=None, ts_to=None) -> DataFrame:
         """Stored readings; with bounds on ``record_ts`` only the partitions that can hold such rows
@@ -142,6 +143,26 @@ class IngestTables:
             df = df.where(F.col("dt") <= F.date_add(F.lit(ts_to).cast("timestamp").cast("date"), 1))
         return df.drop("dt")
 
+    def latest_df(self) -> DataFrame:
+        """Readings among which every latest one is: the latest of each partial of the summary, or all,
+        where readings were stored before there was a summary."""
+        return latest_readings(self.summary.read()) if self.summary.current() is not None else self.readings_df()
+
+    def bucket_series(self, interval: str, where: Column, ts_from, ts_to, by: Sequence[str] = ()) -> DataFrame:
+        """G3 over ``[ts_from, ts_to]`` from the summary: spans inside the range are partials, those it
+        cuts are read as readings.  ``where``: a condition on group, source, metric or unit."""
+        a, b = (F.lit(x).cast("timestamp") for x in (ts_from, ts_to))
+        first = span_start(a) + F.when(span_start(a) < a, F.make_dt_interval(F.lit(0), F.lit(1))).otherwise(F.make_dt_interval(F.lit(0), F.lit(0)))
+        last = span_start(b)
+        inside = (F.col("span") >= first) & (F.col("span") < last)
+        partial = self.summary.read().where((F.col("dt") >= F.to_date(a)) & (F.col("dt") <= F.to_date(b)) & inside)
+        ts = F.col("record_ts")
+        edge = lambda lo, hi: self.readings.read().where((F.col("dt") == F.to_date(lo)) & (ts >= a) & (ts <= b) & (ts >= lo) & hi)
+        # The cut spans: before the first whole one, and from the last one on (a single one, if none is whole).
+        head = edge(span_start(a), (ts < first) & (ts < last))
+        tail = edge(last, ts <= b)
+        return bucket_averages(partial, head.unionByName(tail), interval, where, by)
+
 
 def with_dt(readings: DataFrame) -> DataFrame:
     """Partition column of the readings table (UTC date).  Queries on ``record_ts`` should
@@ -186,8 +207,14 @@ def write_batch(t: IngestTables, registry: DataFrame, records: DataFrame, readin
         old_readings = (t.readings.read().where(F.col("dt").between(F.lit(span.a), F.lit(span.b)))
                         .join(files.select(F.col("file_id").alias("source_file_id")), "source_file_id", "left_semi").select(*rk))
         readings = readings.join(old_readings, rk, "left_anti")
-    t.records.append(records)
-    t.readings.append(with_dt(readings))
+        # What a run cut short has summed up is not known: the days are summed up anew.
+        t.records.append(records)
+        t.readings.append(with_dt(readings))
+        rebuild_summary(t, between=(span.a, span.b))
+    else:
+        t.records.append(records)
+        t.readings.append(with_dt(readings))
+        t.summary.append(partials(readings))
 
     ok = registry.where(F.col("parse_status") == "parsed").select(
         "object_key", "version_token", F.lit(run_id).alias("run_id"),
@@ -195,6 +222,23 @@ def write_batch(t: IngestTables, registry: DataFrame, records: DataFrame, readin
     mark_processed(t, ok)
 
 
+def rebuild_summary(t: IngestTables, days: Sequence | None = None, between: tuple | None = None) -> None:
+    """The summary of some days (all without), from the stored readings.  Also folds the partials that
+    single batches wrote into one per span and series."""
+    readings = t.readings.read()
+    if between is not None:
+        if between[0] is None:
+            return
+        readings = readings.where(F.col("dt").between(F.lit(between[0]), F.lit(between[1])))
+    elif days is not None:
+        readings = readings.where(F.col("dt").isin(list(days)))
+    new = partials(readings.drop("dt"))
+    if days is None and between is None:
+        t.summary.replace(new)
+    else:
+        t.summary.replace_partitions(new)
+
+
 def mark_processed(t: IngestTables, rows: DataFrame) -> None:
     """K4: checkpoint insert-if-absent on (key, version): an append of the absent rows."""
     old = t.checkpoint.read().select("object_key", "version_token")
@@ -243,7 +287,10 @@ def _rewrite_days(t: IngestTables, before: DataFrame, after: DataFrame) -> None:
     side.replace(after.where(F.col("dt").isin(days)))
     new = side.read()
     kept = {r.dt for r in new.select("dt").distinct().collect()}
-    t.readings.replace_partitions(new, [{"dt": d} for d in days if d not in kept])
+    gone = [{"dt": d} for d in days if d not in kept]
+    t.readings.replace_partitions(new, gone)
+    if t.summary.current() is not None:
+        t.summary.replace_partitions(partials(new.drop("dt")), gone)
 
 
 def forget_object(t: IngestTables, object_key: str, version_token: str | None) -> None:
@@ -254,20 +301,18 @@ def forget_object(t: IngestTables, object_key: str, version_token: str | None) -
 
 
 def reset(t: IngestTables) -> None:
-    """K10 as a job: registry, records, readings and checkpoint become empty; the schedule stays."""
-    for table in (t.registry, t.records, t.readings, t.checkpoint):
+    """K10 as a job: registry, records, readings (with their summary) and checkpoint become empty; the
+    schedule stays."""
+    for table in (t.registry, t.records, t.readings, t.checkpoint, t.summary):
         table.replace(table.spark.createDataFrame([], table.schema))
 
 
 # --- K5 ------------------------------------------------------------------------------------
 
 def replace_schedule_files(t: IngestTables, rows: DataFrame, imported_files: Sequence[str], imported_at) -> None:
-    """K5: an import replaces every row of its source files (and nothing else); a file whose
-    import produced no rows is cleared.  The parsed rows are written once, apart, before any stored
-    row is touched: an import that fails leaves the table as it was."""
-    rows = rows.withColumn("imported_at", F.lit(imported_at).cast("timestamp"))
-    parsed = Table(t.schedule.spark, f"{t.schedule.path}_import", SC.SCHEDULE, ["source_file"])
-    parsed.replace(rows.select(*SC.SCHEDULE.fieldNames()))
-    new = parsed.read()
-    present = {r.source_file for r in new.select("source_file").distinct().collect()}  # ≤ imported files
-    t.schedule.replace_partitions(new, [{"source_file": f} for f in imported_files if f not in present])
+    """K5: an import replaces every row of its source files (and nothing else); a file whose import
+    produced no rows is cleared.  The table, a few rows per well, is written as a new version, so
+    that a reader sees all of the old rows or all of the new, and an import that fails changes nothing."""
+    new = rows.withColumn("imported_at", F.lit(imported_at).cast("timestamp")).select(*SC.SCHEDULE.fieldNames())
+    others = t.schedule.read().where(~F.col("source_file").isin(list(imported_files)) | F.col("source_file").isNull())
+    t.schedule.replace(others.unionByName(new))

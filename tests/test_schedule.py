@@ -166,3 +166,23 @@ def test_files_and_lines_give_the_same_rows(spark, tmp_path):
     files = R.parse_schedule_files(R.read_files(spark, str(f))).drop("_no_header")
     lines = R.parse_schedule(R.read_lines(spark, str(f)))
     assert sorted(map(repr, files.collect())) == sorted(map(repr, lines.select(files.columns).collect()))
+
+
+def test_an_import_is_one_step_for_readers(spark, tmp_path):
+    t = IngestTables(spark, str(tmp_path))
+    row = lambda f, n: (None, None, str(n), None, None, None, None, None, None, f, None)
+    rows = lambda *x: spark.createDataFrame([row(*y) for y in x], t.schedule.schema)
+    replace_schedule_files(t, rows(("a", 1), ("b", 1), ("c", 1)), ["a", "b", "c"], "2026-01-01 00:00:00")
+    reader, before = t.schedule.read(), t.schedule.versions()
+    replace_schedule_files(t, rows(("a", 2), ("c", 2), ("c", 3)), ["a", "b", "c"], "2026-01-02 00:00:00")
+    # Who opened the table before the import still sees all of the old rows.
+    assert sorted((x.source_file, x.analyte_number) for x in reader.collect()) == [("a", "1"), ("b", "1"), ("c", "1")]
+    assert sorted((x.source_file, x.analyte_number) for x in t.schedule.read().collect()) == [("a", "2"), ("c", "2"), ("c", "3")]
+    assert len(t.schedule.versions()) == len(before) + 1
+
+    def fails(x):
+        raise OSError("lost")
+    broken = spark.createDataFrame([row("a", 9)], t.schedule.schema).withColumn("analyte_number", F.udf(fails)("analyte_number"))
+    with pytest.raises(Exception):
+        replace_schedule_files(t, broken, ["a"], "2026-01-03 00:00:00")
+    assert t.schedule.read().count() == 3
