@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # The whitespace set of JavaScript's String.prototype.trim and regex \s.
 JS_WS_CHARS = r"\t\n\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 JS_WS = f"[{JS_WS_CHARS}]"
+# The same set as the characters themselves.
+JS_WS_TEXT = "\t\n\x0b\f\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 def col_of(c) -> Column:
@@ -16,7 +18,13 @@ def col_of(c) -> Column:
 
 def js_trim(c) -> Column:
     """Trim every Unicode whitespace character (SQL ``trim`` only removes spaces)."""
-    return F.regexp_replace(col_of(c), f"^{JS_WS}+|{JS_WS}+$", "")
+    return F.btrim(col_of(c), F.lit(JS_WS_TEXT))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it: branches of a CASE
+    share no common subexpressions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def collapse_ws(c) -> Column:

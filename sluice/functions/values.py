@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sluice.functions.text import col_of, js_trim, strip_cell_quotes
+from sluice.functions.text import col_of, js_trim, let, strip_cell_quotes
 
 NUMBER_RE = r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"
 
@@ -41,29 +41,28 @@ def parse_utc_time(value) -> Column:
     and the fraction truncated to ms; ISO date / date-time without seconds as UTC;
     ``M/D/YYYY H:mm:ss`` as UTC; 10-13 digit epochs (≤ 10 digits = seconds).
     """
-    s = strip_cell_quotes(value)
-    zoned = F.try_to_timestamp(s)
-    frac = F.regexp_extract(s, _YMD_HMS, 7)
-    frac_ms = F.when(frac == "", F.lit(0)).otherwise(
-        F.floor(F.concat(F.lit("0"), frac).try_cast("double") * 1000).cast("long"))
-    ymd_hms = civil_millis(_int(s, _YMD_HMS, 1), _int(s, _YMD_HMS, 2), _int(s, _YMD_HMS, 3),
-                           _int(s, _YMD_HMS, 4), _int(s, _YMD_HMS, 5), _int(s, _YMD_HMS, 6), frac_ms)
+    return F.timestamp_millis(let(strip_cell_quotes(value), _utc_millis))
+
+
+def _utc_millis(s: Column) -> Column:
     ymd = civil_millis(_int(s, _YMD, 1), _int(s, _YMD, 2), _int(s, _YMD, 3), F.lit(0), F.lit(0), F.lit(0))
     ymd_hm = civil_millis(_int(s, _YMD_HM, 1), _int(s, _YMD_HM, 2), _int(s, _YMD_HM, 3),
                           _int(s, _YMD_HM, 4), _int(s, _YMD_HM, 5), F.lit(0))
     mdy = civil_millis(_int(s, _MDY_HMS, 3), _int(s, _MDY_HMS, 1), _int(s, _MDY_HMS, 2),
                        _int(s, _MDY_HMS, 4), _int(s, _MDY_HMS, 5), _int(s, _MDY_HMS, 6))
     epoch = F.when(F.length(s) <= 10, s.try_cast("long") * 1000).otherwise(s.try_cast("long"))
-    millis = (
-        F.when(s == "", F.lit(None).cast("long"))
-        .when(s.rlike(_ZONE_RE) & zoned.isNotNull(), F.unix_millis(zoned))
-        .when(s.rlike(_YMD_HMS), ymd_hms)
-        .when(s.rlike(_YMD), ymd)
-        .when(s.rlike(_YMD_HM), ymd_hm)
-        .when(s.rlike(_MDY_HMS), mdy)
-        .when(s.rlike(_EPOCH), epoch)
-    )
-    return F.timestamp_millis(millis)
+    zoned = F.when(s.rlike(_ZONE_RE), F.unix_millis(F.try_to_timestamp(s)))
+    # The usual form is taken apart by one match: its fields, and the fraction as 0.fff.
+    parts = F.split(F.regexp_replace(s, _YMD_HMS, "$1,$2,$3,$4,$5,$6,0$7"), ",")
+    ymd_hms = let(parts, lambda p: civil_millis(*[p[i].try_cast("long") for i in range(6)],
+                                                F.floor(p[6].try_cast("double") * 1000).cast("long")))
+    rest = (F.when(s == "", F.lit(None).cast("long"))
+            .when(s.rlike(_YMD_HMS), ymd_hms)
+            .when(s.rlike(_YMD), ymd)
+            .when(s.rlike(_YMD_HM), ymd_hm)
+            .when(s.rlike(_MDY_HMS), mdy)
+            .when(s.rlike(_EPOCH), epoch))
+    return F.coalesce(zoned, rest)
 
 
 def coerce_number(value) -> Column:
@@ -93,7 +92,10 @@ _RADIX = r"^0([xX][0-9a-fA-F]+|[oO][0-7]+|[bB][01]+)$"
 def parse_flag(value) -> Column:
     """A finite number other than 0 → true; empty, text and quoted cells → false.  Numbers are
     decimals and 0x / 0o / 0b integers; a type suffix (``1d``) makes a text."""
-    v = js_trim(value)
-    n = F.when(v.rlike(_DECIMAL), v.try_cast("double"))
-    whole = v.rlike(_RADIX) & ~v.rlike(r"^0[xXoObB]0+$")
-    return F.coalesce((is_finite(n) & (n != 0)) | whole, F.lit(False))
+    def flag(v: Column) -> Column:
+        n = F.when(v.rlike(_DECIMAL), v.try_cast("double"))
+        whole = v.rlike(_RADIX) & ~v.rlike(r"^0[xXoObB]0+$")
+        return F.coalesce((is_finite(n) & (n != 0)) | whole, F.lit(False))
+
+    c = col_of(value)
+    return F.when(c == "0", F.lit(False)).when(c == "1", F.lit(True)).otherwise(let(js_trim(c), flag))

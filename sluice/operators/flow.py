@@ -194,9 +194,14 @@ def monthly_summary(intervals: DataFrame, *, year: int, end_inclusive, tz: str =
     """G6 + J6 + G7: gallons, minutes, average GPM and acre-feet per month of the interval's
     end timestamp in ``tz``; months without rows give 0 gallons and a NULL average.  The
     period-total row (``month = 'total'``) uses the same ratios."""
-    spark = intervals.sparkSession
     per_month = (intervals.groupBy(year_month_in_tz("record_ts", tz).alias("month"))
                  .agg(F.sum("gallons").alias("gallons"), F.sum("dt_minutes").alias("minutes")))
+    return month_table(per_month, year=year, end_inclusive=end_inclusive, with_total=with_total)
+
+
+def month_table(per_month: DataFrame, *, year: int, end_inclusive, with_total: bool = True) -> DataFrame:
+    """J6 + G7 over ``(month, gallons, minutes)``: every month of the period, the ratios and the total."""
+    spark = per_month.sparkSession
     spine = month_spine(spark, year, end_inclusive)
     # Rows were filtered to the report window, so ``per_month`` has at most one row per month
     # of that window (≤ 12 per report year): a size-bounded broadcast.

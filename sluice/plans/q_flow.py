@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.dates import report_window, round_half_up as r
 from sluice.operators import flow
+from sluice.operators import segments as sg
 from sluice.plans.catalog import register
 from sluice.plans.sqlparts import END, TZ, YEAR, local, ms, rnd, utc_of_local, with_views
 from sluice.sources import driver_tables as dt
@@ -127,3 +128,13 @@ def flow_distinct_on_booster(spark, sf_dir):
     """W2 alone: DISTINCT ON (record_ts) with metric priority flow_avg_A > flow_avg."""
     rows = _rows(spark, sf_dir, "booster")
     return rows.select("record_ts", r("metric_value", 4).alias("metric_value"), "serial", "source_file_id")
+
+
+@register("flow_monthly_segments", sql=_monthly_sql(with_views("readings") + "," + _intervals_sql(_WYMAN_WHERE)))
+def flow_monthly_segments(spark, sf_dir):
+    """W1 + G6 + G7 by segments: slices of a quarter hour, merged to months, merged to the report."""
+    t0, _ = report_window(YEAR, END, TZ)
+    segments = sg.flow_segments(_rows(spark, sf_dir, "wyman"), tz=TZ, slice_ms=900_000)
+    m = sg.monthly_from_segments(segments, t0, year=YEAR, end_inclusive=END)
+    return m.select("month", r("gallons", 2).alias("gallons"), r("minutes", 4).alias("minutes"), r("avg_gpm", 4).alias("avg_gpm"),
+                    r("acre_feet", 4).alias("acre_feet"))

@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.text import js_trim, strip_bom
+from sluice.functions.text import JS_WS_TEXT, js_trim, strip_bom
 from sluice.functions.tokenize import split_lines
 
 # Workers need not have the package on their path.
@@ -36,9 +36,6 @@ _INPUT = 1 << 18
 _BATCH_BYTES = 8 << 20
 MAGIC = b"\x1f\x8b"
 
-# Fixed value: the white space of JavaScript's String.prototype.trim.
-JS_SPACE = "\t\n\x0b\f\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
-
 BLOCK_COLUMNS = ("is_gzip boolean, read_error string, block int, first_line long, whole boolean, head array<string>, lines array<string>")
 
 
@@ -130,7 +127,7 @@ def blocks_of(data: bytes, block_bytes: int = BLOCK_BYTES, line_bytes: int = LIN
         if start and text.startswith("\ufeff"):
             text = text[1:]
         start = False
-        lines += [x for x in text.replace("\r\n", "\n").split("\n") if x.strip(JS_SPACE)]
+        lines += [x for x in text.replace("\r\n", "\n").split("\n") if x.strip(JS_WS_TEXT)]
         if not number:
             # The first block waits until it holds the first lines of the object.
             if len(lines) < HEAD_LINES and not last:

@@ -12,7 +12,8 @@ from sluice.operators.readings import parse_files
 from sluice.plans import ingest as I
 from sluice.sinks.tables import IngestTables
 from sluice.sources import config as C
-from sluice.sources.blocks import JS_SPACE, blocks_of, line_blocks
+from sluice.functions.text import JS_WS_TEXT
+from sluice.sources.blocks import blocks_of, line_blocks
 from sluice.sources.objects import _inflate
 
 HEADER = "time(UTC),error,lowalarm,highalarm,F2 - Wyman Creek Flow Ave (Gpm),Hydro Plant Power Instantaneous (kW)"
@@ -31,7 +32,7 @@ def test_blocks_hold_the_lines_of_the_whole():
         halves = gzip.compress(text[:len(text) // 2]), gzip.compress(text[len(text) // 2:])
         for data in (text, gzip.compress(text), halves[0] + halves[1], halves[0] + halves[1] + b"trail\x1f\x8b",
                      halves[0] + halves[1][:-5], halves[0][:-9], b"\x1f\x8bno gzip\nat all"):
-            want = [x for x in re.split(r"\r?\n", re.sub("^﻿", "", _inflate(data))) if x.strip(JS_SPACE)]
+            want = [x for x in re.split(r"\r?\n", re.sub("^﻿", "", _inflate(data))) if x.strip(JS_WS_TEXT)]
             for size in (1, 7, 64, 1 << 20):
                 blocks = list(blocks_of(data, size))
                 assert [x for b in blocks for x in b["lines"]] == want

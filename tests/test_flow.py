@@ -99,3 +99,72 @@ def test_first_shuffle_is_on_the_slice(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert exchanges and all("_slice" in line for line in exchanges)
+
+
+# --- segments -----------------------------------------------------------------------------------
+
+def _series(seed, n=500, days=70):
+    r = random.Random(seed)
+    out = []
+    for k in range(n):
+        v = r.choice([r.uniform(0, 500)] * 9 + [float("nan")])
+        out.append((START + dt.timedelta(milliseconds=r.randint(-3_600_000, days * 86_400_000)), v, r.choice("AB"), r.randint(1, 3)))
+    # several readings of one instant, and times on both sides of a month's end in the zone
+    out += [(START + dt.timedelta(days=5), 7.0, s, f) for s in "AB" for f in (1, 2)]
+    out += [(dt.datetime(2026, 2, 1, 8, 0) + dt.timedelta(milliseconds=ms), 9.0, "A", 1) for ms in (-1, 0, 1)]
+    return out
+
+
+def _months(df):
+    return {x.month: (round(x.gallons, 6), round(x.minutes, 6), x.avg_gpm and round(x.avg_gpm, 9)) for x in df.collect()}
+
+
+@pytest.mark.parametrize("slice_ms", [60_000, 900_000, 3_600_000, 86_400_000 * 40])
+def test_segments_equal_the_window_form(spark, slice_ms):
+    from sluice.operators import segments as sg
+    rows = _rows(spark, _series(1)).repartition(5)
+    args = dict(year=2026, end_inclusive="2026-04-30")
+    want = flow.monthly_summary(flow.flow_intervals(rows, F.lit(START)), tz=TZ, **args)
+    assert _months(sg.monthly_from_segments(sg.flow_segments(rows, tz=TZ, slice_ms=slice_ms), F.lit(START), **args)) == _months(want)
+
+
+def test_late_readings_change_their_slices_only(spark):
+    from sluice.operators import segments as sg
+    data = _series(2)
+    late = [data[k] for k in range(0, len(data), 25)]
+    early = _rows(spark, [x for k, x in enumerate(data) if k % 25])
+    rows, args = _rows(spark, data), dict(year=2026, end_inclusive="2026-04-30")
+    before = sg.flow_segments(early, tz=TZ)
+    after = sg.refresh(before, rows, _rows(spark, late), tz=TZ)
+    fields = lambda df: {(x.month, x.slice): str(x) for x in df.collect()}
+    a, b, want = fields(before), fields(after), fields(sg.flow_segments(rows, tz=TZ))
+    assert b == want
+    touched = {int(x[0].replace(tzinfo=dt.timezone.utc).timestamp() * 1000) // 3_600_000 for x in late}
+    assert {k for k in b if a.get(k) != b[k]} <= {k for k in b if k[1] in touched}
+    assert _months(sg.monthly_from_segments(after, F.lit(START), **args)) == _months(flow.monthly_summary(flow.flow_intervals(rows, F.lit(START)), tz=TZ, **args))
+
+
+def test_combining_is_associative_and_rows_are_shuffled_once(spark):
+    from sluice.operators import segments as sg
+    rows = _rows(spark, [x for x in _series(3) if x[1] == x[1]])
+    s = sg.flow_segments(rows, tz=TZ)
+    days = sg.merge(s.withColumn("day", F.floor(F.col("slice") / 24)), ["month", "day"])
+    by_day = {x.month: x for x in sg.merge(days, ["month"]).collect()}
+    direct = {x.month: x for x in sg.merge(s, ["month"]).collect()}
+    for k, x in direct.items():
+        y = by_day[k]
+        assert (x.first_t, x.last_t, x.first_v, x.last_v) == (y.first_t, y.last_t, y.first_v, y.last_v)
+        assert x.gallons == pytest.approx(y.gallons) and x.minutes == pytest.approx(y.minutes)
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_segments_by_series_and_before_the_period(spark):
+    from sluice.operators import segments as sg
+    data = [(dt.datetime(2026, 1, 1, 7, 0), 10.0, "S", 1), (dt.datetime(2026, 1, 1, 7, 30), 10.0, "S", 1),
+            (dt.datetime(2026, 1, 1, 9, 0), 30.0, "T", 1), (dt.datetime(2026, 1, 1, 9, 10), 50.0, "T", 1)]
+    rows, args = _rows(spark, data), dict(year=2026, end_inclusive="2026-01-31")
+    want = flow.monthly_summary(flow.flow_intervals(rows, F.lit(START), series=["serial"], scale=4), tz=TZ, **args)
+    got = sg.monthly_from_segments(sg.flow_segments(rows, tz=TZ, series=["serial"], scale=4), F.lit(START), series=["serial"], **args)
+    assert _months(got) == _months(want)
+    assert _months(sg.monthly_from_segments(sg.flow_segments(rows.limit(0), tz=TZ), F.lit(START), **args)) == {"2026-01": (0, 0, None), "total": (0, 0, None)}
