@@ -64,3 +64,4 @@ def _load() -> None:
     from sluice.plans import q_alerts  # noqa: F401
     from sluice.plans import q_quality  # noqa: F401
     from sluice.plans import q_summary  # noqa: F401
+    from sluice.plans import q_units  # noqa: F401

@@ -135,6 +135,4 @@ def flow_monthly_segments(spark, sf_dir):
     """W1 + G6 + G7 by segments: slices of a quarter hour, merged to months, merged to the report."""
     t0, _ = report_window(YEAR, END, TZ)
     segments = sg.flow_segments(_rows(spark, sf_dir, "wyman"), tz=TZ, slice_ms=900_000)
-    m = sg.monthly_from_segments(segments, t0, year=YEAR, end_inclusive=END)
-    return m.select("month", r("gallons", 2).alias("gallons"), r("minutes", 4).alias("minutes"), r("avg_gpm", 4).alias("avg_gpm"),
-                    r("acre_feet", 4).alias("acre_feet"))
+    return _round_monthly(sg.monthly_from_segments(segments, t0, year=YEAR, end_inclusive=END))
