@@ -204,16 +204,20 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], length: int) -> Ite
 
 
 def _tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated spans around the occurrences of each anchor string; rows come sorted by it."""
+    """The repeated span around each occurrence of each anchor string; rows come sorted by it."""
     names = ["ua", "ub", "start", "end"]
     rows: list[tuple] = []
     out: list[list] = [[], [], [], []]
 
     def scan() -> None:
-        spans: set[tuple[int, int, int]] = set()
+        # All spans of an occurrence hold its anchor, so that their union is one: the farthest to both sides.
+        far: dict[int, tuple[int, int]] = {}
         for reach, depth, group in maximal_repeats([r[4] for r in rows], [r[5] for r in rows], LENGTH):
-            spans.update((i, reach, depth) for i in group if rows[i][0])
-        for i, reach, depth in sorted(spans):
+            for i in group:
+                if rows[i][0]:
+                    a, b = far.get(i, (0, 0))
+                    far[i] = (max(a, reach), max(b, depth))
+        for i, (reach, depth) in sorted(far.items()):
             _, ua, ub, p, _, _ = rows[i]
             for column, value in zip(out, (ua, ub, p - reach, p + depth)):
                 column.append(value)
