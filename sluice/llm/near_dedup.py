@@ -181,6 +181,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # Texts of all bucket members, once; every later check reads this table.
     texts = scratch.put("texts", docs.select(F.col("doc_id").alias("id"), "text").join(buckets.select("id").distinct(), "id", "left_semi"))
+    several = scratch.put("several", texts.groupBy("id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("id"))
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         side = lambda s: texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
@@ -211,8 +212,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     split = parts.groupBy("key").agg(F.max_by("component", "size").alias("big"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", "big")
     open_ = scratch.put("open", placed.join(split, "key"))
     for k in range(PEELS):
-        held = texts.join(open_.select("id").distinct(), "id").mapInArrow(_elements, "id bigint, h bigint")
-        alone = (held.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).filter("k = 1")
+        # An id with several texts is not peeled: what is alone in one of them says nothing of the others.
+        held = texts.join(open_.select("id").distinct(), "id").join(several, "id", "left_anti").mapInArrow(_elements, "id bigint, h bigint")
+        held = held.unionByName(texts.join(several, "id").join(open_.select("id").distinct(), "id")
+                                .mapInArrow(_elements, "id bigint, h bigint").withColumn("id", F.lit(None).cast("long")))
+        alone = (held.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).filter("k = 1 AND id IS NOT NULL")
                  .groupBy("id").agg(F.count(F.lit(1)).alias("alone")))
         # The smallest partner that a member can have in a bucket asks for the least overlap.
         least = open_.groupBy("key").agg(F.min("n").alias("least"))
@@ -224,10 +228,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         still = (able.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                  .filter("lo <> hi").select("key"))
         open_ = scratch.put(f"open{k}", able.join(still, "key"))
+    # A pair meets in every bucket that both are in; it is taken from the first of them.
+    keys = open_.groupBy("id", "n").agg(F.collect_set("key").alias("keys"))  # at most one a band and text
+    open_ = scratch.put("crossable", open_.join(keys, ["id", "n"]))
     a, b = open_.filter("component <> big").alias("a"), open_.alias("b")
+    once = F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key")
     possible = F.least("a.shared", "b.shared") * (100 + PERCENT) >= (F.col("a.n") + F.col("b.n")) * PERCENT
     crossing = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
-                       & ((F.col("b.component") == F.col("b.big")) | (F.col("a.id") < F.col("b.id"))) & enough(F.col("a.n"), F.col("b.n")) & possible)
+                       & ((F.col("b.component") == F.col("b.big")) | (F.col("a.id") < F.col("b.id"))) & enough(F.col("a.n"), F.col("b.n")) & possible & once)
                 .select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v")).distinct()
                 .join(stars.select("u", "v"), ["u", "v"], "left_anti"))
     rest = credible(crossing, "crossing")

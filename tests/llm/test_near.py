@@ -269,3 +269,38 @@ def test_common_line_in_different_texts_ends(spark):
     line = sentences(77, 12)
     rows = [(k, " ".join([sentences(40000 + k, 60), line, sentences(50000 + k, 60)])) for k in range(150)]
     assert P.near_duplicate_passages(docs(spark, rows)).collect() == []
+
+
+def test_an_id_with_an_unrelated_second_text_keeps_its_links(spark):
+    """Sixty documents below the threshold around document 100, whose near copy is 101: with or without
+    another text of document 100, the two belong together."""
+    r = random.Random(7)
+    words = [f"w{k}" for k in range(110)]
+
+    def edited(n, tag):
+        out = list(words)
+        for k in r.sample(range(5, 105), n):
+            out[k] = f"{tag}x{k}"
+        return " ".join(out)
+
+    rows = [(100, " ".join(words)), (101, edited(2, "near"))] + [(k, edited(4, f"t{k}")) for k in range(1, 61)]
+    for extra in ([], [(100, sentences(11, 400))]):
+        got = {x.doc_id: x.component_id for x in N.near_duplicates(docs(spark, rows + extra)).collect()}
+        sets = {}
+        for i, t in rows + extra:
+            w = t.split()
+            sets.setdefault(i, []).append({tuple(w[k:k + 5]) for k in range(len(w) - 4)})
+        parent = {i: i for i in sets}
+
+        def find(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+        ids = sorted(sets)
+        for a in ids:
+            for b in ids:
+                if a < b and any(100 * len(x & y) >= 75 * len(x | y) for x in sets[a] for y in sets[b]):
+                    p, q = sorted((find(a), find(b)))
+                    parent[q] = p
+        want = {i: find(i) for i in ids}
+        assert got == want and want[100] == want[101]
