@@ -40,6 +40,7 @@ BASE = 1.001
 LEVEL_0 = 8000          # level of a minimum of 1; levels span e^8 .. e^-57
 MARGIN = 12.0           # log-likelihood ratio below which an estimate rejects a pair
 PEELS = 2               # rounds of peeling; each is sound, more of them only prune more
+FEW = 8                 # members that hold an element at most, for it to pair them
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -211,11 +212,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     split = parts.groupBy("key").agg(F.max_by("component", "size").alias("big"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", "big")
     open_ = scratch.put("open", placed.join(split, "key"))
+
+    def elements(of: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(id, h) of the members with one text, and of those with several."""
+        texts_of = texts.join(of.select("id").distinct(), "id")
+        return (texts_of.join(several, "id", "left_anti").mapInArrow(_elements, "id bigint, h bigint"),
+                texts_of.join(several, "id", "left_semi").mapInArrow(_elements, "id bigint, h bigint").distinct())
+
     for k in range(PEELS):
+        one, more = elements(open_)
         # An id with several texts is not peeled: what is alone in one of them says nothing of the others.
-        held = texts.join(open_.select("id").distinct(), "id").join(several, "id", "left_anti").mapInArrow(_elements, "id bigint, h bigint")
-        held = held.unionByName(texts.join(several, "id").join(open_.select("id").distinct(), "id")
-                                .mapInArrow(_elements, "id bigint, h bigint").withColumn("id", F.lit(None).cast("long")))
+        held = one.unionByName(more.withColumn("id", F.lit(None).cast("long")))
         alone = (held.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).filter("k = 1 AND id IS NOT NULL")
                  .groupBy("id").agg(F.count(F.lit(1)).alias("alone")))
         # The smallest partner that a member can have in a bucket asks for the least overlap.
@@ -228,16 +235,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         still = (able.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                  .filter("lo <> hi").select("key"))
         open_ = scratch.put(f"open{k}", able.join(still, "key"))
+    # Pairs that share an element few members hold are found by it.  All others share only elements that
+    # many hold, so that a member's number of those bounds what it can share with any of them.
+    one, more = elements(open_)
+    held = scratch.put("elements", one.unionByName(more))
+    counts = scratch.put("elements_held", held.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"))
+    few = held.join(counts.filter(F.col("k") <= FEW), "h").groupBy("h").agg(F.collect_set("id").alias("ids"))  # at most FEW
+    by_few = (few.select(F.explode("ids").alias("u"), "ids").select("u", F.explode(F.filter("ids", lambda x: x > F.col("u"))).alias("v")).distinct())
+    member = open_.select("id", "n", "component").distinct()
+    side = lambda s: member.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}"))
+    by_few = by_few.join(side("u"), "u").join(side("v"), "v").filter((F.col("c_u") != F.col("c_v")) & enough(F.col("n_u"), F.col("n_v"))).select("u", "v")
+    many = (held.join(counts.filter(F.col("k") > FEW), "h").join(several, "id", "left_anti").groupBy("id").agg(F.count(F.lit(1)).alias("many")))
     # A pair meets in every bucket that both are in; it is taken from the first of them.
     keys = open_.groupBy("id", "n").agg(F.collect_set("key").alias("keys"))  # at most one a band and text
-    open_ = scratch.put("crossable", open_.join(keys, ["id", "n"]))
+    open_ = scratch.put("crossable", open_.join(keys, ["id", "n"]).join(several.select("id", F.lit(True).alias("more")), "id", "left")
+                        .join(many, "id", "left").withColumn("many", F.when(F.col("more"), F.col("n")).otherwise(F.coalesce("many", F.lit(0)))))
     a, b = open_.filter("component <> big").alias("a"), open_.alias("b")
     once = F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key")
-    possible = F.least("a.shared", "b.shared") * (100 + PERCENT) >= (F.col("a.n") + F.col("b.n")) * PERCENT
-    crossing = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
-                       & ((F.col("b.component") == F.col("b.big")) | (F.col("a.id") < F.col("b.id"))) & enough(F.col("a.n"), F.col("b.n")) & possible & once)
-                .select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v")).distinct()
-                .join(stars.select("u", "v"), ["u", "v"], "left_anti"))
+    possible = F.least("a.many", "b.many") * (100 + PERCENT) >= (F.col("a.n") + F.col("b.n")) * PERCENT
+    by_bucket = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
+                        & ((F.col("b.component") == F.col("b.big")) | (F.col("a.id") < F.col("b.id"))) & enough(F.col("a.n"), F.col("b.n")) & possible & once)
+                 .select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v")))
+    crossing = by_bucket.unionByName(by_few).distinct().join(stars.select("u", "v"), ["u", "v"], "left_anti")
     rest = credible(crossing, "crossing")
     if rest.head(1):
         links = links.unionByName(verified(rest, "links3"))
