@@ -87,8 +87,10 @@ def run_stats(listed: DataFrame, checkpoints: DataFrame, registry: DataFrame | N
 
 def dry_run(parsed_layout: DataFrame, records: DataFrame, melted: DataFrame) -> DataFrame:
     """Q7: per file, the records and the melted readings, before hasData, the timestamp filter and
-    de-duplication, that a run would find, without writing anything."""
+    de-duplication, that a run would find, without writing anything.  Stored readings, which name
+    their file ``source_file_id``, are counted as they are."""
     rec = records.groupBy("file_id").agg(F.count(F.lit(1)).alias("rows"))
-    tall = melted.groupBy("file_id").agg(F.count(F.lit(1)).alias("tall"))
+    file = "file_id" if "file_id" in melted.columns else "source_file_id"
+    tall = melted.groupBy(F.col(file).alias("file_id")).agg(F.count(F.lit(1)).alias("tall"))
     return parsed_layout.select("file_id", "object_key", "label_code").join(rec, "file_id", "left") \
         .join(tall, "file_id", "left").fillna(0, ["rows", "tall"])
