@@ -122,7 +122,7 @@ class Words:
         left = self.count[self.text] - (np.arange(self.n) - self.first[self.text])
         for j in range(k):
             w = np.zeros(self.n, np.uint64)
-            w[: self.n - j] = self.hash[j:]
+            w[: max(0, self.n - j)] = self.hash[j:]
             h = (h + np.where(left > j, w, np.uint64(0))) * _M1
             h ^= h >> np.uint64(29)
         keep = np.flatnonzero((left >= k) | ((self.count[self.text] < k) & (left == self.count[self.text])))

@@ -265,6 +265,81 @@ def test_equal_passages_beside_an_edited_first_one(spark):
     assert lost == 0
 
 
+def _edited_passages(words, edits, groups, seed):
+    """Rows in which documents 2g and 2g + 1 hold a passage and its copy with some inner words replaced,
+    and the similarity of the two."""
+    r = random.Random(seed)
+    rows, alike = [], []
+    for g in range(groups):
+        passage = sentences(seed + g, words).split()
+        copy = list(passage)
+        for k in r.sample(range(5, words - 5), edits):
+            copy[k] = "edit%d" % k
+        for k, p in enumerate((passage, copy)):
+            rows.append((2 * g + k, " ".join([sentences(seed + 7000 + 2 * g + k, r.randint(0, 60)), *p, sentences(seed + 9000 + 2 * g + k, r.randint(0, 60))])))
+        x, y = shingles(" ".join(passage)), shingles(" ".join(copy))
+        alike.append(len(x & y) / len(x | y))
+    return rows, alike
+
+
+def test_recall_of_edited_passages(spark):
+    rows, due = [], {}
+    for n, (words, edits) in enumerate([(52, 1), (55, 1), (60, 1), (60, 2), (66, 1), (66, 2), (120, 2), (120, 3), (400, 8)]):
+        some, alike = _edited_passages(words, edits, 40, 100_000 * (n + 1))
+        rows += [(100 * n + i, t) for i, t in some]
+        due.update({(100 * n + 2 * g, 100 * n + 2 * g + 1): (words, edits) for g, j in enumerate(alike) if j >= 0.76})
+    found = {(r.first_id, r.doc_id) for r in P.near_duplicate_passages(docs(spark, rows)).collect()}
+    assert len(due) > 250
+    for kind in set(due.values()):
+        pairs = [p for p, k in due.items() if k == kind]
+        assert sum(p in found for p in pairs) >= 0.9 * len(pairs), (kind, len(pairs))
+    # Nothing beyond the planted pairs.
+    assert all(a // 2 == b // 2 for a, b in found)
+
+
+def test_passages_against_all_runs():
+    """The longest run of either text that begins and ends with a shared token and is similar enough."""
+    r = random.Random(5)
+    for seed in range(40):
+        words = r.randint(52, 75)
+        passage = sentences(60_000 + seed, words).split()
+        copy = list(passage)
+        for k in r.sample(range(words), r.randint(0, 3)):
+            copy[k:k + 1] = r.choice([[], ["new%d" % k], ["new%d" % k, "more%d" % k]])
+        a, b = P.tokens([" ".join([sentences(61_000 + seed, 20), *p, sentences(62_000 + seed + 100 * i, 20)]).encode() for i, p in enumerate((passage, copy))])
+        where = {h: i for i, h in enumerate(a.hash.tolist())}
+        at = [where.get(h) for h in b.hash.tolist()]
+        best = 0
+        for s in range(len(at)):
+            for e in range(s + P.MIN_TOKENS, len(at) + 1):
+                if at[s] is None or at[e - 1] is None or at[e - 1] - at[s] + 1 < P.MIN_TOKENS:
+                    continue
+                x, y = set(a.hash[at[s]:at[e - 1] + 1].tolist()), set(b.hash[s:e].tolist())
+                if 100 * len(x & y) >= P.PERCENT * len(x | y):
+                    best = max(best, e - s)
+        got = P.passages(a, b)
+        sizes = [int(np.sum((b.start >= p[2]) & (b.end <= p[3]))) for p in got]
+        assert (max(sizes, default=0) >= P.MIN_TOKENS) == (best > 0)
+        assert max(sizes, default=0) >= 0.9 * best
+
+
+def test_shingles_of_a_few_words_do_not_depend_on_the_batch():
+    few = [b"a", b"a b", b"a b c"]
+    for t in few:
+        alone = Words([t], white_table()).shingles(5)[1]
+        w = Words([*few, b"one two three four five six", t], white_table())
+        at, h = w.shingles(5)
+        assert alone.tolist() == h[w.text[at] == 4].tolist()
+
+
+def test_equal_texts_repeat_the_first_as_a_whole(spark):
+    body = sentences(88, 60)
+    rows = [(5, f" \n{body}\t"), (3, f" \n{body}\t"), (9, f" \n{body}\t"), (2, "a b c"), (4, "a b c"), (7, body)]
+    out = {(r.first_id, r.first_start, r.first_end, r.doc_id, r.start, r.end) for r in P.near_duplicate_passages(docs(spark, rows)).collect()}
+    n = len(body.encode())
+    assert out == {(3, 2, 2 + n, 5, 2, 2 + n), (3, 2, 2 + n, 9, 2, 2 + n), (3, 2, 2 + n, 7, 0, n)}
+
+
 def test_common_line_in_different_texts_ends(spark):
     line = sentences(77, 12)
     rows = [(k, " ".join([sentences(40000 + k, 60), line, sentences(50000 + k, 60)])) for k in range(150)]
