@@ -10,10 +10,12 @@ quirks — unanchored phase hints make "Solar Array" end in ``_A`` and "Flow Ave
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sluice.functions.text import JS_WS, col_of, js_trim
+from sluice.functions.text import JS_WS, col_of, js_trim, let
 
 # ---- Fixed values (must equal the reference's tables, in their order) -------------------
 
@@ -38,7 +40,8 @@ TYPO_CORRECTIONS = [
     ("hydo", "hydro"),
 ]
 
-# End-anchored suffix patterns on the normalised source → metric tail.
+# End-anchored suffix patterns on the normalised source → metric tail.  Each pattern holds its tail's last
+# word, without which it is not tried.
 METRIC_SUFFIX_RULES = [
     (r"\bave\s*rate\b$", "avg_rate"),
     (r"\bavg\s*rate\b$", "avg_rate"),
@@ -102,7 +105,8 @@ _UNIT_RE = rf"\(([^()]*)\){JS_WS}*$"
 
 def _replace_first(c: Column, old: str, new: str) -> Column:
     # JavaScript String.replace with a string pattern replaces the first occurrence only.
-    return F.regexp_replace(c, "(?s)^(.*?)" + _quote(old), "$1" + new.replace("$", r"\$"))
+    return let(c, lambda x: F.when(x.contains(old), F.regexp_replace(x, "(?s)^(.*?)" + _quote(old), "$1" + new.replace("$", r"\$")))
+               .otherwise(x))
 
 
 def _quote(s: str) -> str:
@@ -140,7 +144,8 @@ def _first_rule(s: Column):
     """Index-free view of the suffix rules: (matches?, label) of the first matching rule."""
     label = None
     for pat, lab in METRIC_SUFFIX_RULES:
-        label = F.when(s.rlike(pat), lab) if label is None else label.when(s.rlike(pat), lab)
+        hit = s.contains(re.findall("[a-z]+", re.sub(r"\\[bs]", " ", pat))[-1]) & s.rlike(pat)
+        label = F.when(hit, lab) if label is None else label.when(hit, lab)
     return label
 
 

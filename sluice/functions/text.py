@@ -37,7 +37,8 @@ def strip_bom(c) -> Column:
 
 def strip_cell_quotes(c) -> Column:
     """S3: trim, drop one matching pair of '…' or "…" quotes, trim again (input used once)."""
-    return js_trim(F.regexp_replace(js_trim(c), r"""(?s)^(['"])(.*)\1$""", "$2"))
+    return let(js_trim(c), lambda t: F.when(t.startswith("'") | t.startswith('"'), js_trim(F.regexp_replace(t, r"""(?s)^(['"])(.*)\1$""", "$2")))
+               .otherwise(t))
 
 
 def safe_name(c) -> Column:

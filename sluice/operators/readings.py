@@ -8,6 +8,7 @@ shuffle (W3) for the readings.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.naming import file_name, label_code, physical_group, serial_from_key
 from sluice.operators import structure as S
+from sluice.session import checkpoint_dir
 from sluice.sources import config as C
 
 
@@ -36,13 +38,13 @@ def file_id(key_col="object_key", version_col="version_token"):
     return F.xxhash64(F.col(key_col), F.coalesce(F.col(version_col), F.lit("no_etag")))
 
 
-def attach_dims(files: DataFrame, labels: DataFrame, schemas: DataFrame) -> DataFrame:
+def attach_dims(files: DataFrame, labels: DataFrame, schemas: DataFrame, strict: bool = False) -> DataFrame:
     """J2 + J3: label by code from the file name, then schema fields (both broadcast)."""
     f = (files.withColumn("file_name", file_name("object_key"))
          .withColumn("label_code", label_code(F.col("file_name")))
          .withColumn("serial", serial_from_key("object_key")))
     f = C.resolve_label(f, labels)
-    sch = F.broadcast(schemas.select("schema_id", "expected_headers", "header_aliases", "column_order"))
+    sch = F.broadcast(S.order_specs(schemas.select("schema_id", "expected_headers", "header_aliases", "column_order"), strict))
     return f.join(sch, "schema_id", "left")
 
 
@@ -54,12 +56,27 @@ def plan_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, stric
     """Parse plan of every block of ``files``: rows with ``text``, or blocks of lines."""
     if spread:
         files = files.repartition(int(spread))
-    return S.file_layout(attach_dims(files.withColumn("file_id", file_id()), labels, schemas), strict=strict)
+    return S.file_layout(attach_dims(files.withColumn("file_id", file_id()), labels, schemas, strict), strict=strict)
+
+
+# Bytes of a row group of a stage: what a task parses at least.
+STAGE_BYTES = 16 << 20
+# Failed files whose ids are broadcast to the blocks; more are joined by a shuffle.
+SMALL = 100_000
+
+
+def staged(blocks: DataFrame) -> DataFrame:
+    """``blocks`` as written under the checkpoint folder, whose row groups are dealt to all tasks when
+    they are read back."""
+    spark = blocks.sparkSession
+    path = f"{checkpoint_dir(spark)}/parse-{uuid.uuid4().hex}"
+    blocks.write.option("compression", "zstd").option("parquet.block.size", str(STAGE_BYTES)).parquet(path)
+    return spark.read.schema(blocks.schema).parquet(path)
 
 
 def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, strict: bool = False,
                 ingested_at=None, source: str = DEFAULT_SOURCE, spread: int | None = None,
-                carry: Sequence[str] = ()) -> Parsed:
+                carry: Sequence[str] = (), stage: bool = False) -> Parsed:
     """Parse decoded files ``(object_key, version_token, last_modified, text)``, or their blocks of lines
     (``sources.blocks``), of which a file has any number.
 
@@ -67,11 +84,18 @@ def parse_files(files: DataFrame, labels: DataFrame, schemas: DataFrame, *, stri
     and a listing or a small input split can hold many files in one partition; an explicit
     partition count is kept as is by AQE (it would coalesce a count-free repartition of such
     small-in-bytes data back into one task).  ``carry``: file columns (such as ``object_key``) that
-    records and readings keep, which saves a join with the registry.
+    records and readings keep, which saves a join with the registry.  ``stage``: the parse plan of all
+    blocks is written once, for callers that read several of the results: each of them would otherwise read
+    the files and their headers anew.
     """
     blocks = plan_files(files, labels, schemas, strict=strict, spread=spread)
+    if stage:
+        blocks = staged(blocks)
     if "lines" in files.columns:
-        blocks = S.mark_failed(blocks, S.failed_files(blocks))
+        failed = S.failed_files(blocks)
+        n = failed.limit(SMALL + 1).count() if stage else None
+        if n != 0:
+            blocks = S.mark_failed(blocks, failed, small=n is not None and n <= SMALL)
     return parse_plan(blocks, ingested_at=ingested_at, source=source, carry=carry)
 
 

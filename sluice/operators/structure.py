@@ -103,7 +103,7 @@ def _layout_stages() -> tuple[dict[str, Column], ...]:
         .otherwise(F.col("_csv")[c["i"]]).alias("headers")))
     s5 = {"_hit": F.try_element_at(F.filter(with_headers, lambda c: c["delim"].isNotNull()
                                             & (F.size(c["headers"]) >= 4)), F.lit(1)),
-          "_order_h": F.transform(F.coalesce("column_order", F.array().cast("array<string>")), norm_csv_header)}
+          "_order_h": order_headers(F.col("column_order"))}
     headerless = (F.size("_order_h") > 0) & time_column(F.col("_order_h")).isNotNull()
     first_line = F.try_element_at(F.col("_head"), F.lit(1))
     mode = (F.when(F.size("_head") == 0, F.lit("empty")).when(F.col("_hit").isNotNull(), F.lit("structured"))
@@ -130,7 +130,7 @@ def _header_stages(strict: bool) -> tuple[dict[str, Column], ...]:
     expected = F.col("expected_headers") if strict else None
     s1 = {"keys": F.transform(h, lambda v, i: F.when(
               F.array_position(F.slice(h, 1, i), v) > 0, F.concat(v, F.lit("__"), i.cast("string"))).otherwise(v)),
-          "specs": M.column_specs(h, aliases, expected, strict),
+          "specs": F.when(F.col("mode") == "headerless", F.col("order_specs")).otherwise(M.column_specs(h, aliases, expected, strict)),
           "time_idx": (F.array_position(h, time_column(h)) - 1).cast("int"),
           "err_idx": (F.array_position(h, "error") - 1).cast("int"),
           "low_idx": (F.array_position(h, "lowalarm") - 1).cast("int"),
@@ -138,19 +138,33 @@ def _header_stages(strict: bool) -> tuple[dict[str, Column], ...]:
     measurable = F.filter(F.sequence(F.lit(0), F.size(h) - 1),
                           lambda i: F.col("specs")[i].isNotNull() & M.is_measurable(h[i]))
     s2 = {"measurable_headers": F.when(h.isNotNull(), F.transform(measurable, lambda i: h[i]))
-          .otherwise(F.array().cast("array<string>"))}
+          .otherwise(F.array().cast("array<string>")),
+          # The columns that give readings, so that a line's other cells are not looked at.
+          "mapped": F.filter(F.transform("specs", lambda s, i: F.struct(i.alias("col_idx"), s.alias("spec"))), lambda m: m["spec"].isNotNull())}
     return (s1, s2)
 
 
+def order_headers(column_order) -> Column:
+    """The headers of files without a header line."""
+    return F.transform(F.coalesce(column_order, F.array().cast("array<string>")), norm_csv_header)
+
+
+def order_specs(schemas: DataFrame, strict: bool = False) -> DataFrame:
+    """``schemas`` with the specs of their column orders, which all their headerless files share."""
+    specs = M.column_specs(F.col("_order"), F.col("header_aliases") if strict else None, F.col("expected_headers") if strict else None, strict)
+    return schemas.withColumn("_order", order_headers(F.col("column_order"))).withColumn("order_specs", specs).drop("_order")
+
+
 def file_layout(files: DataFrame, strict: bool = False) -> DataFrame:
     """Per-block parse plan: lines, mode, delimiter, headers, keys, specs and column indexes.  ``files``
-    are blocks, or files with their ``text``, which are a block each.
+    are blocks, or files with their ``text``, which are a block each, with the columns of their schema
+    (``order_specs``).
     """
     x = files if "lines" in files.columns else text_blocks(files)
     x = x.withColumnsRenamed({"lines": "_lines", "head": "_head", "first_line": "_first"})
     for stage in _layout_stages() + _header_stages(strict):
         x = x.withColumns(stage)
-    return x.drop("_tab", "_csv", "_semi", "_tt", "_ct", "_st", "_cand", "_hit", "_order_h")
+    return x.drop("_tab", "_csv", "_semi", "_tt", "_ct", "_st", "_cand", "_hit", "_order_h", "order_specs")
 
 
 def failed_files(layout: DataFrame) -> DataFrame:
@@ -255,11 +269,10 @@ def candidate_readings(lines: DataFrame, gate: Column | None = None) -> DataFram
     ``gate``: rows for which the melt is skipped entirely (applied inside the exploded array
     rather than as a Filter, for the reason given in ``structure_lines``)."""
     n = F.size("headers")
-    structured = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.struct(
-        i.alias("col_idx"), F.col("specs")[i]["metric"].alias("metric_key"),
-        coerce_number(F.col("cells")[i]).alias("metric_value"),
-        F.col("specs")[i]["unit"].alias("unit"), F.col("specs")[i]["source"].alias("source_system"),
-        F.col("specs")[i].isNotNull().alias("_ok")))
+    structured = F.transform("mapped", lambda m: F.struct(
+        m["col_idx"].alias("col_idx"), m["spec"]["metric"].alias("metric_key"),
+        coerce_number(F.col("cells")[m["col_idx"]]).alias("metric_value"),
+        m["spec"]["unit"].alias("unit"), m["spec"]["source"].alias("source_system"), F.lit(True).alias("_ok")))
     loose = F.transform(F.map_entries(F.coalesce("_raw_map", F.create_map().cast("map<string,string>"))),
                         lambda e, i: F.struct(
                             i.alias("col_idx"), e["key"].alias("metric_key"),

@@ -61,9 +61,9 @@ def event_files(spark, sf_dir):
                     ts.alias("last_modified"), text.alias("text"))
 
 
-def parsed(spark, sf_dir, carry=()):
+def parsed(spark, sf_dir, carry=(), stage=False):
     return parse_files(event_files(spark, sf_dir), C.default_labels(spark), C.default_schemas(spark),
-                       ingested_at="2024-02-01 00:00:00", spread=spark.sparkContext.defaultParallelism * 2, carry=carry)
+                       ingested_at="2024-02-01 00:00:00", spread=spark.sparkContext.defaultParallelism * 2, carry=carry, stage=stage)
 
 
 _KEY_SQL = """'log-gz/SN' || CAST(user_id % 5 AS VARCHAR) || '/' || strftime(ts, '%Y/%m/%d') || '/logger_mb-'
@@ -225,7 +225,9 @@ def order_files(spark, sf_dir):
     rows = li.select("l_orderkey", F.struct(*_LINE_ORDER, F.array_join(cells, "\t").alias("line")).alias("row"))
     # An order has a handful of line items: its file is bounded.
     text = F.array_join(F.transform(F.array_sort(F.collect_list("row")), lambda x: x["line"]), "\n")
-    files = rows.groupBy("l_orderkey").agg(text.alias("text"))
+    # Parsing follows in the same tasks: with an explicit count AQE does not merge them by their few bytes.
+    parts = max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    files = rows.repartition(parts, "l_orderkey").groupBy("l_orderkey").agg(text.alias("text"))
     key = F.concat(F.lit("log-gz/SN"), (F.col("l_orderkey") % 5).cast("string"), F.lit("/logger_mb-006_"),
                    F.col("l_orderkey").cast("string"), F.lit(".log.gz"))
     return files.select(key.alias("object_key"), F.lit("v1").alias("version_token"),
