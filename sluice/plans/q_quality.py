@@ -115,7 +115,7 @@ SELECT object_key, device_address, has_data, CAST(n_records AS BIGINT) AS n_reco
 FROM f""")
 def quality_file_diagnostics(spark, sf_dir):
     """Q2 / Q3: per-file record and melted-reading counts with the two warning flags."""
-    p = parsed(spark, sf_dir)
+    p = parsed(spark, sf_dir, stage=True)
     d = qa.file_diagnostics(p.layout, p.lines, p.candidates)
     return d.select("object_key", "device_address", "has_data", "n_records", "n_tall", "n_tall_with_ts",
                     "no_readings", "no_timestamps")
@@ -126,7 +126,7 @@ SELECT object_key, CAST(n_records AS BIGINT) AS raw_rows, CAST(n_kept AS BIGINT)
 FROM f ORDER BY object_key LIMIT 50""")
 def quality_raw_vs_tall(spark, sf_dir):
     """Raw vs stored reading counts of the latest 50 parsed files."""
-    p = parsed(spark, sf_dir)
+    p = parsed(spark, sf_dir, stage=True)
     return qa.raw_vs_tall(p.registry, p.records, p.readings, 50).select("object_key", "raw_rows", "tall_rows")
 
 
@@ -141,7 +141,7 @@ FROM f""")
 def replay_flow_devices(spark, sf_dir):
     """K7: GPM readings, raw records and checkpoints removed for the flow-meter devices
     (every parsed file counts as checkpointed)."""
-    p = parsed(spark, sf_dir)
+    p = parsed(spark, sf_dir, stage=True)
     ck = p.registry.select("object_key", "version_token")
     out = rp.replay_flow_devices(p.registry, p.records, p.readings, ck)
     return out["counts"]
@@ -189,7 +189,7 @@ def _flawed(spark, sf_dir):
     from sluice.sources import config as C
 
     return parse_files(flawed_files(spark, sf_dir), C.default_labels(spark), C.default_schemas(spark), ingested_at="2024-02-01 00:00:00",
-                       spread=spark.sparkContext.defaultParallelism * 2)
+                       spread=spark.sparkContext.defaultParallelism * 2, stage=True)
 
 
 _FLAWED_KEY = "'log-gz/SN1/logger_mb-' || CASE WHEN event_id % 6 IN (3, 4) THEN '002' ELSE '006' END || '_' || event_id || '.log'"
