@@ -22,6 +22,7 @@ from sluice.sources.blocks import line_blocks
 ORDERS_A_FILE = 4096
 # Small enough that these files have many blocks.
 BLOCK_BYTES = 64 << 10
+FILES_A_PART = 16
 
 # The first two lines of the rendered files and their column names.
 JUNK = "# exported by data logger"
@@ -32,12 +33,13 @@ _ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
 
 
 def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text as a gzip of two members."""
+    """Each text as a gzip of two members, one at a time: a batch of texts may be large."""
     for b in batches:
-        texts = [t.encode() for t in b.column("text").to_pylist()]
-        zipped = [gzip.compress(t[:len(t) // 2], 1) + gzip.compress(t[len(t) // 2:], 1) for t in texts]
-        keep = [b.column(c) for c in ("object_key", "version_token", "last_modified")]
-        yield pa.RecordBatch.from_arrays([*keep, pa.array(zipped, pa.binary())], names=["object_key", "version_token", "last_modified", "content"])
+        for k in range(b.num_rows):
+            t = b.column("text")[k].as_py().encode()
+            zipped = gzip.compress(t[:len(t) // 2], 1) + gzip.compress(t[len(t) // 2:], 1)
+            keep = [b.column(c).slice(k, 1) for c in ("object_key", "version_token", "last_modified")]
+            yield pa.RecordBatch.from_arrays([*keep, pa.array([zipped], pa.binary())], names=["object_key", "version_token", "last_modified", "content"])
 
 
 def large_objects(spark, sf_dir):
@@ -53,7 +55,9 @@ def large_objects(spark, sf_dir):
     rows = li.select(F.floor(F.col("l_orderkey") / ORDERS_A_FILE).alias("file"), F.struct(*_ORDER, line.alias("line")).alias("row"))
     head = JUNK + "\n" + ",".join(f'"{c}"' for c in COLUMNS) + "\r\n"
     text = F.concat(F.lit(head), F.array_join(F.transform(F.array_sort(F.collect_list("row")), lambda r: r["line"]), ""))
-    files = rows.groupBy("file").agg(text.alias("text"))
+    # As many parts as hold FILES_A_PART files each: a worker is handed the texts of a part at once.
+    parts = max(spark.sparkContext.defaultParallelism * 2, rows.select("file").distinct().count() // FILES_A_PART + 1)
+    files = rows.repartition(parts, "file").groupBy("file").agg(text.alias("text"))
     key = F.concat(F.lit("log-gz/SN1/logger_mb-006_"), F.col("file").cast("string"), F.lit(".log.gz"))
     return files.select(key.alias("object_key"), F.lit("v1").alias("version_token"), F.lit("2024-02-01 00:00:00").cast("timestamp").alias("last_modified"),
                         "text").mapInArrow(_zipped, "object_key string, version_token string, last_modified timestamp, content binary")
@@ -61,7 +65,7 @@ def large_objects(spark, sf_dir):
 
 def parsed_blocks(spark, sf_dir):
     blocks = line_blocks(large_objects(spark, sf_dir), BLOCK_BYTES)
-    return parse_files(blocks, C.default_labels(spark), C.default_schemas(spark), ingested_at="2024-02-01 00:00:00", carry=["object_key"])
+    return parse_files(blocks, C.default_labels(spark), C.default_schemas(spark), ingested_at="2024-02-01 00:00:00", carry=["object_key"], stage=True)
 
 
 def _file_key():
