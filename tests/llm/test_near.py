@@ -297,6 +297,87 @@ def test_recall_of_edited_passages(spark):
     assert all(a // 2 == b // 2 for a, b in found)
 
 
+def test_every_passage_at_the_threshold_is_linked(spark):
+    """Small classes right above the threshold, where three smallest tokens are not enough."""
+    rows, due = [], set()
+    for n, (words, edits) in enumerate([(52, 1), (60, 1), (66, 2), (120, 3)]):
+        some, alike = _edited_passages(words, edits, 150, 900_000 + 10_000 * n)
+        rows += [(1000 * n + i, t) for i, t in some]
+        due |= {(1000 * n + 2 * g, 1000 * n + 2 * g + 1) for g, j in enumerate(alike) if j >= 0.75}
+    found = {(r.first_id, r.doc_id) for r in P.near_duplicate_passages(docs(spark, rows)).collect()}
+    assert len(due) > 400 and due <= found and all(a // 2 == b // 2 for a, b in found)
+
+
+def test_passages_of_words_that_repeat_are_linked(spark):
+    """Runs of few different tokens, in which no token has a partner of its own."""
+    rows = []
+    for n, (period, before, after) in enumerate((p, b, a) for p in (1, 2, 3, 7) for b in (0, 30, 90) for a in (0, 60)):
+        line = " ".join(f"p{n}q{i}" for i in range(period)) + " "
+        rows += [(2 * n, " ".join([sentences(70_000 + n, 40), line * (150 // period), sentences(71_000 + n, after)])),
+                 (2 * n + 1, " ".join([sentences(72_000 + n, before), (line * (90 // period + 1)).split(" ", 1)[-1], sentences(73_000 + n, 20)]))]
+    found = {(r.first_id, r.doc_id) for r in P.near_duplicate_passages(docs(spark, rows)).collect()}
+    assert {(2 * n, 2 * n + 1) for n in range(24)} <= found and all(a // 2 == b // 2 for a, b in found)
+
+
+def _brute_runs(x, y, least):
+    return any(100 * len(set(x[s:e]) & set(y[f:g])) >= P.PERCENT * len(set(x[s:e]) | set(y[f:g]))
+               for s in range(len(x)) for e in range(s + least, len(x) + 1) for f in range(len(y)) for g in range(f + least, len(y) + 1))
+
+
+def test_any_passage_is_that_of_all_runs():
+    r, seen = random.Random(9), set()
+    for n in range(150):
+        x = [r.randrange(4 + n % 30) for _ in range(r.randint(6, 14))]
+        y = [v if r.random() < 0.8 else r.randrange(40) for v in x] + [r.randrange(40)] * r.randint(0, 3)
+        hit = P.any_passage(np.array(x, np.uint64), np.array(y, np.uint64), P.PERCENT, 6)
+        seen.add(hit is not None)
+        assert (hit is not None) == _brute_runs(x, y, 6)
+        if hit:
+            s, e, f, g = hit
+            assert min(e - s, g - f) >= 6 and _brute_runs(x[s:e], y[f:g], min(e - s, g - f))
+    assert seen == {True, False}
+
+
+def test_dense_places_are_those_of_all_runs():
+    r = np.random.default_rng(4)
+    for _ in range(60):
+        cost, segment = r.integers(-2, 4, 40), np.sort(r.integers(0, 3, 40))
+        segment = np.unique(segment, return_inverse=True)[1]
+        slack, least = int(r.integers(0, 4)), int(r.integers(1, 9))
+        want = np.zeros(40, bool)
+        for i in range(40):
+            for j in range(i + least, 41):
+                if segment[i] == segment[j - 1] and cost[i:j].sum() <= slack:
+                    want[i:j] = True
+        assert (P.dense(cost, segment, slack, least) == want).all()
+
+
+def test_regions_with_a_common_passage_share_keys():
+    """With repeated words as well, however often the tokens stand elsewhere."""
+    r, n = random.Random(6), 0
+    for seed in range(120):
+        words = [f"w{r.randrange(4 + 3 * seed)}" for _ in range(r.randint(50, 70))]
+        copy = list(words)
+        for k in r.sample(range(len(words)), r.randint(0, 2)):
+            copy[k] = "new%d" % k
+        a, b = P.tokens([" ".join([sentences(seed, r.randint(0, 9)), *p, sentences(seed + 500 + i, r.randint(0, 9))]).encode() for i, p in enumerate((words, copy))])
+        if not P.any_passage(a.hash, b.hash):
+            continue
+        n += 1
+        [possible] = P._possible([a.hash], [b.hash])
+        assert possible is not None
+        times = {int(h): r.choice([2, 3, 50]) if h in a.hash and h in b.hash else r.choice([1, 2, 3, 50]) for h in np.concatenate((a.hash, b.hash))}
+        weights = []
+        for t in (a, b):
+            keys, low = P.region_keys(t.hash, np.array([times[int(h)] for h in t.hash]), np.zeros(len(t.hash), np.int64))
+            w = {}
+            for h, l in zip(t.hash[keys].tolist(), low[keys].tolist()):
+                w[h] = max(w.get(h, 1), P.SHARED if l else 1)
+            weights.append(w)
+        assert sum(min(w, weights[1][h]) for h, w in weights[0].items() if h in weights[1]) >= P.SHARED
+    assert n > 60
+
+
 def test_passages_against_all_runs():
     """The longest run of either text that begins and ends with a shared token and is similar enough."""
     r = random.Random(5)
