@@ -319,6 +319,13 @@ def test_passages_of_words_that_repeat_are_linked(spark):
     assert {(2 * n, 2 * n + 1) for n in range(24)} <= found and all(a // 2 == b // 2 for a, b in found)
 
 
+def test_passages_of_a_text_that_repeats_itself(spark):
+    part, line = sentences(74_000, 70), sentences(74_001, 20)
+    rows = [(1, " ".join([part, sentences(74_002, 30), part])), (2, " ".join([line] * 4 + [sentences(74_003, 30)] + [line] * 4))]
+    out = P.near_duplicate_passages(docs(spark, rows)).collect()
+    assert {(r.first_id, r.doc_id) for r in out} == {(1, 1), (2, 2)} and all(r.first_end <= r.start for r in out)
+
+
 def _brute_runs(x, y, least):
     return any(100 * len(set(x[s:e]) & set(y[f:g])) >= P.PERCENT * len(set(x[s:e]) | set(y[f:g]))
                for s in range(len(x)) for e in range(s + least, len(x) + 1) for f in range(len(y)) for g in range(f + least, len(y) + 1))
