@@ -467,3 +467,37 @@ def test_an_id_with_an_unrelated_second_text_keeps_its_links(spark):
                     parent[q] = p
         want = {i: find(i) for i in ids}
         assert got == want and want[100] == want[101]
+
+
+def test_spans_of_tokens_are_packed_whole():
+    for text in ["one", "a b  c", " ".join(f"w{k}" + " " * (k % 4) for k in range(300)), "x" * 70_000 + " y" * 90]:
+        [t] = P.tokens([text.encode()])
+        start, end = P._unpack(P._pack(t.start, t.end))
+        assert start.tolist() == t.start.tolist() and end.tolist() == t.end.tolist()
+
+
+def test_regions_that_meet_lie_in_few_cells(spark):
+    # 300 groups of 4 regions each, and one group that fills several parts.
+    groups = [range(10 * g, 10 * g + 4) for g in range(300)]
+    pairs = [(a, b) for g in groups for a in g for b in g if a < b] + [(5000, k) for k in range(5001, 5400)]
+    ids = sorted({n for p in pairs for n in p})
+    regions = spark.createDataFrame([(n, bytearray(800)) for n in ids], "n bigint, tok binary")
+    size, parts = 800 * len(ids), 64
+    part = {r.n: r.part for r in P._dealt_to_parts(spark.createDataFrame(pairs, "x bigint, y bigint"), regions, size, parts).collect()}
+    assert sorted(part) == ids and set(part.values()) <= set(range(parts))
+    assert all(len({part[n] for n in g}) == 1 for g in groups)
+    assert len({part[n] for n in range(5000, 5400)}) > 5
+
+
+def test_shuffle_files_go_with_the_query_that_made_them(spark):
+    import time
+
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    here = lambda: {f for f in (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())) if f.startswith("shuffle_")}
+    before, known = here(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    out = Scratch(spark, "tidy", tidy=True).put("t", spark.range(1000).repartition(7, "id"))
+    until = time.time() + 20
+    while here() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not here() - before and out.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == known
