@@ -501,3 +501,86 @@ def test_shuffle_files_go_with_the_query_that_made_them(spark):
         time.sleep(0.2)
     assert not here() - before and out.count() == 1000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == known
+
+
+def test_search_of_texts_that_repeat_few_words_ends():
+    """Lines just below the threshold, many times over: all their runs have few sets of words."""
+    import time
+
+    began = time.process_time()
+    for words, times in ((33, 70), (60, 40)):
+        line = sentences(92_000 + words, words).split()
+        other = list(line)
+        for k in range(3, words - 4, 30):
+            other[k] = "other%d" % k
+        a, b = P.tokens([" ".join(x * times).encode() for x in (line, other)])
+        hit = P.any_passage(a.hash, b.hash)
+        sa, sb = set(a.hash.tolist()), set(b.hash.tolist())
+        assert words != 33 or (hit is None and 100 * len(sa & sb) < P.PERCENT * len(sa | sb))
+        if hit:
+            x, y = set(a.hash[hit[0]:hit[1]].tolist()), set(b.hash[hit[2]:hit[3]].tolist())
+            assert 100 * len(x & y) >= P.PERCENT * len(x | y)
+    assert time.process_time() - began < 20
+
+
+def test_any_passage_of_a_long_and_a_short_text():
+    a = np.arange(3000, dtype=np.uint64)
+    b = np.concatenate((np.arange(10_000, 10_400), np.arange(1000, 1060))).astype(np.uint64)
+    s, e, f, g = P.any_passage(a, b)
+    x, y = set(a[s:e].tolist()), set(b[f:g].tolist())
+    assert min(e - s, g - f) >= P.MIN_TOKENS and 100 * len(x & y) >= P.PERCENT * len(x | y)
+    assert P.any_passage(a, b[:400]) is None
+
+
+def test_few_sets_of_runs_give_what_all_runs_give():
+    r = random.Random(19)
+    for n in range(150):
+        x = [r.randrange(2 + n % 12) for _ in range(r.randint(6, 16))]
+        y = [v if r.random() < 0.8 else r.randrange(40) for v in x] + [r.randrange(40)] * r.randint(0, 3)
+        a, b = (P._longest_of_each_set(np.array(z), 6) for z in (x, y))
+        [hit] = P._few(a, b, P.PERCENT) or [None]
+        assert (hit is not None) == _brute_runs(x, y, 6)
+        if hit:
+            s, e, f, g = hit
+            assert min(e - s, g - f) >= 6 and _brute_runs(x[s:e], y[f:g], min(e - s, g - f))
+
+
+def test_ranges_of_longest_runs_lose_none(monkeypatch):
+    monkeypatch.setattr(P, "MANY_RANGES", 0)
+    monkeypatch.setattr(P, "FEW_PAIRS", 0)
+    r = random.Random(29)
+    for n in range(100):
+        x = [r.randrange(2 + n % 20) for _ in range(r.randint(6, 14))]
+        y = [v if r.random() < 0.8 else r.randrange(40) for v in x]
+        assert (P.any_passage(np.array(x, np.uint64), np.array(y, np.uint64), P.PERCENT, 6) is not None) == _brute_runs(x, y, 6)
+
+
+def test_further_passages_of_a_linked_pair_are_found(spark):
+    """Documents b and c of a group share an edited passage, and both repeat another one of document a beside it."""
+    rows, due = [], set()
+    for n, (words, edits) in enumerate([(52, 1), (60, 1), (55, 1)]):
+        some, alike = _edited_passages(words, edits, 150, 500_000 + 10_000 * n)
+        for g, j in enumerate(alike):
+            first, second = ([*some[2 * g + k][1].split()] for k in (0, 1))
+            k = 1000 * n + 3 * g
+            common = sentences(700_000 + k, 60)
+            rows += [(k, common), (k + 1, " ".join([common, *first])), (k + 2, " ".join([common, *second]))]
+            due |= {(k + 1, k + 2)} if j >= 0.75 else set()
+    found = {(r.first_id, r.doc_id) for r in P.near_duplicate_passages(docs(spark, rows)).collect()}
+    assert len(due) > 300 and not due - found and all(a // 1000 == b // 1000 and (a % 1000) // 3 == (b % 1000) // 3 for a, b in found)
+
+
+def test_all_passages_of_a_pair_are_found():
+    """One passage that the longest runs show, and one of words that repeat, which they do not."""
+    shared, n = sentences(93_000, 80), 0
+    for period in (1, 2, 3, 5, 7, 11, 13):
+        line = " ".join(f"p{period}q{i}" for i in range(period)) + " "
+        a, b = P.tokens([" ".join([shared, sentences(93_100 + k, 60), line * (size // period), sentences(93_200 + k, 60)]).encode() for k, size in enumerate((150, 90))])
+        plain = P.passages(a, b)
+        n += len(plain) == 1
+        got = P._all_passages(a, b, P._common(a, b))
+        assert len(got) >= 2
+        for a0, a1, b0, b1, both, either in got:
+            x, y = ({int(h) for h, s, e in zip(t.hash, t.start, t.end) if s >= i and e <= j} for t, i, j in ((a, a0, a1), (b, b0, b1)))
+            assert len(x & y) == both and len(x | y) == either and 100 * both >= P.PERCENT * either
+    assert n
